@@ -33,12 +33,16 @@ STOP_WORDS = (
     "el los las y del se por con una para su al lo como más o pero sus"
 ).split()
 
-RULES = ("length", "symbols", "upper", "bangs", "repeats", "dup_lines", "stop_words", "word_length")
+RULES = ("length", "symbols", "upper", "bangs", "repeats", "dup_lines", "stop_words", "word_length", "bare_words")
 MIN_WORDS = 20
 
+#: Bytes of letters; every byte of a character beyond ASCII counts as one.
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
 _FEATURES = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_lines long, n_stop long, n_upper long, n_bang long, votes string"
+    "n_lines long, n_stop long, n_upper long, n_bang long, n_bare long, votes string"
 )
 
 
@@ -77,6 +81,7 @@ def _votes(n: dict[str, np.ndarray]) -> np.ndarray:
         (n["n_dup_lines"] * 10 < np.maximum(n["n_lines"], 1), n["n_dup_lines"] * 10 > 3 * n["n_lines"]),
         (n["n_stop"] * 20 > w, n["n_stop"] * 100 < w),
         ((n["word_chars"] > 3 * w) & (n["word_chars"] < 9 * w), (n["word_chars"] < 2 * w) | (n["word_chars"] > 14 * w)),
+        (n["n_bare"] * 20 < w, n["n_bare"] * 5 > w),
     )
     return np.stack([good.astype(np.int8) - (bad & ~good) for good, bad in good_bad], axis=1)
 
@@ -98,6 +103,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n["n_symbols"] = count(symbol[raw])
         n["n_upper"] = count((raw >= 65) & (raw <= 90))
         n["n_bang"] = count(raw == 33)
+        letters = np.concatenate([[0], np.cumsum(_LETTER[raw])])
+        n["n_bare"] = np.bincount(w.row[letters[w.end] == letters[w.start]], minlength=size)
         n["n_stop"] = np.bincount(w.row[np.isin(hashes, stop)], minlength=size)
         rows = lines(raw, offsets)
         has_word = np.searchsorted(w.start, rows.end) > np.searchsorted(w.start, rows.start)
@@ -112,7 +119,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(marks, begin + 8, -1)
         n["n_repeat_words"] = np.bincount(w.row[np.cumsum(marks)[:-1] > 0], minlength=size)
         votes = ["".join("-0+"[v + 1] for v in row) for row in _votes(n)]
-        order = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop", "n_upper", "n_bang")
+        order = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop", "n_upper", "n_bang", "n_bare")
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(n[k].astype(np.int64)) for k in order), pa.array(votes, pa.string())],
             names=["doc_id", *order, "votes"],

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import packing, quality_rules
 
 QUERIES = {
+    "op6_packing": packing.query,
     "op2_quality_rules": quality_rules.query,
 }
 

@@ -55,7 +55,7 @@ def test_em_recovers_planted_accuracies():
 
     rng = np.random.default_rng(1)
     good = rng.random(20000) < 0.85
-    accuracy = [0.95, 0.9, 0.8, 0.9, 0.85, 0.95, 0.9, 0.7]
+    accuracy = [0.95, 0.9, 0.8, 0.9, 0.85, 0.95, 0.9, 0.7, 0.9]
     votes = Counter()
     for g in good:
         votes["".join("+" if (rng.random() < a) == g else "-" for a in accuracy)] += 1
