@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, quality_rules
+from . import language_id, mixing, packing, quality_rules
 
 QUERIES = {
-    "op6_packing": packing.query,
+    "op1_language_id": language_id.query,
     "op2_quality_rules": quality_rules.query,
+    "op6_packing": packing.query,
+    "op10_mixing": mixing.query,
 }
 
 ORACLES: dict[str, str] = {}
