@@ -33,7 +33,18 @@ from .textcore import slices
 
 CAPACITY = 2048
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
+
+
+class _Both(dict):
+    """The entries of one call, and behind them a cache that is full."""
+
+    def __init__(self, new: dict, behind: dict):
+        super().__init__(new)
+        self.behind = behind
+
+    def __missing__(self, key):
+        return self.behind[key]
 
 
 class Encoder:
@@ -88,20 +99,20 @@ class Encoder:
         return self.pretokens(chunk)
 
     def _chunks(self, need: set[str]) -> dict[str, bytes]:
-        order = sorted(need)
-        pieces = [self._split(c) for c in order]
+        pieces = [self._split(c) for c in need]
         cache = self.cache
-        new = self._new(sorted({p for x in pieces for p in x if p not in cache}))
+        new = self._new([*{p for x in pieces for p in x if p not in cache}])
         if len(cache) + len(new) <= CACHE_ENTRIES:
             cache.update(new)
         else:  # frequent pre-tokens came early; what comes now stays for this call only
             cache = _Both(new, cache)
-        return {c: b"".join([cache[p] for p in x]) for c, x in zip(order, pieces, strict=True)}
+        return {c: cache[x[0]] if len(x) == 1 else b"".join([cache[p] for p in x]) for c, x in zip(need, pieces, strict=True)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = self.chunks
         parts = [text.replace(" ", "\0 ").split("\0") if text and "\0" not in text else None for text in texts]
-        missing = [{w for w in words if w not in chunks} if words else () for words in parts]
+        found = [[*map(chunks.get, words)] if words else () for words in parts]
+        missing = [{w for w, ids in zip(words, own, strict=True) if ids is None} if None in own else () for words, own in zip(parts, found, strict=True)]
         for k, some in enumerate(missing):
             if any(_unsafe(w) for w in some) or parts[k] and parts[k][-1] == " ":
                 parts[k] = None
@@ -109,10 +120,13 @@ class Encoder:
         new = self._chunks(set().union(*(some for some, words in zip(missing, parts, strict=True) if words)))
         if len(chunks) + len(new) <= CACHE_ENTRIES:
             chunks.update(new)
-        else:
-            chunks = _Both(new, chunks)
-        get = chunks.__getitem__
-        return [next(whole) if words is None else b"".join(map(get, words)) for words in parts]
+        out = []
+        for words, own, some in zip(parts, found, missing, strict=True):
+            if words is None:
+                out.append(next(whole))
+            else:
+                out.append(b"".join([new[w] if ids is None else ids for w, ids in zip(words, own, strict=True)] if some else own))
+        return out
 
 
 def _unsafe(chunk: str) -> bool:
