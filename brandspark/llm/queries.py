@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, mixing, packing, quality_mil, quality_rules
+from . import language_id, license_scan, mixing, ngram_join, packing, quality_mil, quality_rules
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op2_quality_rules": quality_rules.query,
     "op5_quality_mil": quality_mil.query,
     "op6_packing": packing.query,
+    "op7_ngram_join": ngram_join.query,
     "op9_license_scan": license_scan.query,
     "op10_mixing": mixing.query,
 }
