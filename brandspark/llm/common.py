@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,5 +73,32 @@ def components(edges: DataFrame, src: str, dst: str, rounds: int = 60) -> DataFr
     return nodes.join(links, nodes.node == links.u, "left").select("node", F.coalesce("v", "node").alias("component"))
 
 
-def empty_like(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)
+BITS = 1 << 23
+
+
+def membership(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size (1 MB) in which the bit of every key is set.
+
+    A row whose bit is not set has no such key; the others still need the exact
+    join.  It spares most rows that join from being shuffled.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(BITS))
+    words = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
+    rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("v")).collect()
+    out = np.zeros(BITS // 32, dtype=np.uint32)
+    for r in rows:
+        out[r["w"]] = r["v"]
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
+def split(docs: DataFrame, column: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose key may be (``inside``) or cannot be among the keys of the bitmap."""
+    packed = np.packbits(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            hit = table[batch.column(batch.schema.get_field_index("__bit")).to_numpy()]
+            yield batch.filter(pa.array(hit if inside else ~hit)).drop_columns(["__bit"])
+
+    return docs.withColumn("__bit", F.pmod(F.xxhash64(column), F.lit(BITS))).mapInArrow(run, docs.schema)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, saved
+from .common import components, membership, saved, split
 from .textcore import BYTE_KEY_LOWER, mix, powers, slices, span_hash, text_bytes, windows, words
 
 BLOCK = 256
@@ -173,31 +173,37 @@ def search(pairs: DataFrame, sets: DataFrame, bound: Fraction) -> DataFrame:
     return queries.groupBy("q", "part").cogroup(candidates.groupBy("x", "block")).applyInArrow(_search(bound), "x long, y long")
 
 
-def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 3) -> DataFrame:
+def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = saved(narrow.mapInArrow(_signatures(width, bound), "doc_id long, n_shingles long, sig long, k int, tokens array<long>"))
     filled = rows.filter("n_shingles > 0")
-    # equal sets are one node, named by its least document
-    unique = saved(
-        filled.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("k").alias("k"), F.first("tokens").alias("tokens"))
-    )
+    # equal sets are one node, named by its least document; only their least shingles are dealt out, two numbers a row
+    named = filled.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("node"))
+    unique = filled.join(named.select("node"), F.col("doc_id") == F.col("node")).dropDuplicates(["node"])
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    tokens = unique.select("node", F.col("n_shingles").alias("n"), "k", F.explode("tokens").alias("token")).repartition(parts, "token")
-    df = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = tokens.join(df, "token")
-    near = shared.groupBy("node").agg(F.count("*").alias("c"), F.first("k").alias("k")).filter("c >= k + 1").select("node")
-    lists = saved(shared.join(near, "node", "left_semi").select("token", "node", "n", "k"))
-    sets = saved(narrow.withColumnRenamed("doc_id", "node").join(lists.select("node").distinct(), "node").dropDuplicates(["node"]).select("node", "text").mapInArrow(_whole_sets(width), "node long, set binary"))
+    tokens = unique.select("node", F.explode("tokens").alias("token")).repartition(parts, "token")
+    df = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    shared = saved(tokens.join(df, "token"))
+    size = filled.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "k").dropDuplicates(["node"])
+    near = saved(shared.groupBy("node").agg(F.count("*").alias("c")).join(size, "node").filter("c >= k + 1").select("node", "n", "k"))
+    lists = shared.join(near.select("node"), "node", "left_semi")
+    texts = split(narrow.withColumnRenamed("doc_id", "node"), "node", membership(near, "node"))
+    sets = texts.join(near.select("node"), "node").dropDuplicates(["node"]).select("node", "text")
+    sets = saved(sets.mapInArrow(_whole_sets(width), "node long, set binary"))
 
     links = searched = None
-    of = lists.select("node", F.col("node").alias("component")).distinct()
+    of = near.withColumn("component", F.col("node"))
     fits = f"least(n, m) * {bound.denominator} >= greatest(n, m) * {bound.numerator}"
     for turn in range(hubs):
-        # each list's hub is the node of least salted hash; a node goes to the hub that it shares most lists with
+        # what is left: the lists that join different components. Each has a hub, the node of least salted hash;
+        # a node goes to the hub that it shares most lists with
+        member = lists.join(of, "node")
+        open_ = member.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z").select("token")
+        lists = saved(lists.join(open_, "token"))
         member = lists.join(of, "node")
         order = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n")
-        hub = member.groupBy("token").agg(F.min(order).alias("h"), F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z")
+        hub = member.groupBy("token").agg(F.min(order).alias("h"))
         hub = hub.select("token", F.col("h.node").alias("x"), F.col("h.component").alias("cx"), F.col("h.n").alias("m"))
         pairs = member.join(hub, "token").filter("component <> cx").filter(fits).groupBy("x", F.col("node").alias("y")).agg(F.count("*").alias("c"))
         pairs = pairs.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
@@ -208,10 +214,8 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
         searched = pairs if searched is None else searched.union(pairs)
         links = found if links is None else links.union(found)
         if not found.isEmpty():
-            of = _labelled(lists, links)
+            of = _labelled(near, links)
     member = lists.join(of, "node")
-    many = member.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z").select("token")
-    member = member.join(many, "token")
     other = member.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("m"), F.col("k").alias("l"))
     rest = (
         member.withColumnRenamed("node", "x")
@@ -225,16 +229,16 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     )
     rest = saved(rest.join(searched, ["x", "y"], "left_anti"))
     links = links.union(saved(search(rest, sets, bound)))
-    of = _labelled(lists, links)
-    by_sig = unique.join(of, "node", "left").select("sig", F.col("n_shingles").alias("n"), F.coalesce("component", "node").alias("component"))
-    return rows.join(by_sig, (rows.sig == by_sig.sig) & (rows.n_shingles == by_sig.n), "left").select(
+    of = _labelled(near, links)
+    by_sig = named.join(of, "node", "left").select(F.col("sig").alias("s"), F.col("n_shingles").alias("m"), F.coalesce("component", "node").alias("component"))
+    return rows.join(by_sig, (rows.sig == F.col("s")) & (rows.n_shingles == F.col("m")), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links, "x", "y")
-    return saved(lists.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+def _labelled(near: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links, "x", "y").withColumnRenamed("component", "c")
+    return saved(near.join(found, "node", "left").select("node", "n", "k", F.coalesce("c", "node").alias("component")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
