@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, mixing, ngram_join, packing, quality_mil, quality_rules
+from . import language_id, license_scan, line_dedup, mixing, ngram_join, packing, quality_mil, quality_rules
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op2_quality_rules": quality_rules.query,
+    "op3_line_dedup": line_dedup.query,
     "op5_quality_mil": quality_mil.query,
     "op6_packing": packing.query,
     "op7_ngram_join": ngram_join.query,
@@ -14,4 +15,4 @@ QUERIES = {
     "op10_mixing": mixing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE}
