@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, line_dedup, mixing, ngram_join, packing, quality_mil, quality_rules
+from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, packing, quality_mil, quality_rules
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_quality_mil": quality_mil.query,
     "op6_packing": packing.query,
     "op7_ngram_join": ngram_join.query,
+    "op8_embedding_dedup": embedding_dedup.query,
     "op9_license_scan": license_scan.query,
     "op10_mixing": mixing.query,
 }
