@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, packing, quality_mil, quality_rules
+from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, packing, quality_mil, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op2_quality_rules": quality_rules.query,
     "op3_line_dedup": line_dedup.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_quality_mil": quality_mil.query,
     "op6_packing": packing.query,
     "op7_ngram_join": ngram_join.query,

@@ -1,15 +1,63 @@
-"""Corpus pipeline: five stages over documents, each written as Parquet and read again."""
+"""Corpus pipeline: five stages over documents, each written as Parquet and read again.
+
+Language ID, line deduplication, near-copy removal, mixing to target weights,
+packing.  Every stage takes the whole result of the one before it; all but the
+last return the columns of documents.  A tokenizer and random draws are not
+SQL, so ORACLE_SQL is None; tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brandspark.llm import language_id, line_dedup, mixing, ngram_join, packing
+from brandspark.llm.common import WORD, saved
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known, by text, declared language and source; lang becomes what was found."""
+    model = language_id.fit(docs)
+    numbered = docs.withColumn("__id", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
+    numbered = numbered.withColumn("__id", F.xxhash64("__id"))
+    found = language_id.identify(numbered, model, "__id", "text", declared_col="lang", host_col="source")
+    known = language_id.accepted(found).select(F.col("id").alias("__id"), F.col("lang").alias("__lang")).dropDuplicates(["__id"])
+    return numbered.join(known, "__id").withColumn("lang", F.col("__lang")).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with each line kept where it stands first; those without a word left go."""
+    kept = line_dedup.line_dedup(docs).filter((F.col("__removed") == 0) | F.col("text").rlike(WORD))
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
 
-STAGES: list = []
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least doc_id, of each group of near copies."""
+    least = saved(ngram_join.ngram_join(docs)).filter("doc_id = component_id OR component_id IS NULL").select("doc_id").distinct()
+    return docs.join(least, docs.doc_id.eqNullSafe(least.doc_id), "left_semi").dropDuplicates(["doc_id"])
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's words that the mix takes, repeats included."""
+    mixed = mixing.mixed_texts(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences, with the digest of their ids."""
+    return packing.digest(packing.pack(docs, *packing.default_tokenizer()))
+
+
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("mixture", mixture), ("packed", packed)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brandspark.llm.common import stored
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stored(docs)
     return docs
