@@ -6,8 +6,7 @@ document, the least document it is linked with through any chain.
 
 Candidates.  A linked pair shares at least T shingles, so of the p + k shingles
 of least hash of either (p = n - T + 1) it shares k + 1.  Equal sets are one
-node.  A node whose p + k shingles hold fewer than k + 1 that other nodes have
-is linked with nothing; only the others (the near copies) get their whole set.
+node, named by its least document.
 
 Search.  A query is a node with a block of candidate nodes.  The block's
 inverted lists are sorted by length; the long ones are set aside, the short
@@ -15,15 +14,15 @@ ones are merged with a heap, and nodes that occur often enough are looked up in
 the long lists by binary search (DivideSkip).  Those that reach the required
 overlap are links.
 
-Groups of copies.  First every node is searched by one hub of the shared lists,
-then by a second; components of the links found are formed; what then remains
-are candidate pairs across components, and all of those are searched.  So a
-group of copies costs about its size, not its square, and no pair that could
-join two components is left out.
+Groups of copies.  First every node is searched by one hub of the lists of its
+few least shingles, then by a second; the links found make components.  What
+then remains are pairs across components: lists that hold two components or
+more, nodes on at least k + 1 of them, pairs on k + 1 together.  All of those
+are searched.  So a group of copies costs about its size, not its square, and
+no pair that could join two components is left out.
 
-Shuffles carry hashes (8 bytes a shingle of least hash) once; texts travel once,
-to join the near copies; sets of near copies travel with their pairs.  Shingles
-are compared by 64-bit hash.
+Shuffles carry hashes (p + k a document) once; texts travel with candidate pairs
+only.  Shingles are compared by 64-bit hash.  Rows of one doc_id hold one text.
 
 Edge cases: no words, or null text: empty set, linked with nothing; fewer than
 ``width`` words: the whole sequence is one shingle; repeated rows and equal sets
@@ -42,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, membership, saved, split
+from .common import components, membership, saved, split, stored
 from .textcore import BYTE_KEY_LOWER, mix, powers, slices, span_hash, text_bytes, windows, words
 
 BLOCK = 256
@@ -103,17 +102,6 @@ def _signatures(width: int, bound: Fraction):
     return run
 
 
-def _whole_sets(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in slices(batches, "text"):
-                key, first = shingle_sets(*text_bytes(batch.column(1)), width)
-                sets = [key[a:z].tobytes() for a, z in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
-
-    return run
-
-
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], needed: list[int]) -> list[bool]:
     """Which of ``sets`` share at least ``needed`` elements with ``query``."""
     least = min(needed)
@@ -148,74 +136,84 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], needed: list[int]) ->
     return out
 
 
-def _search(bound: Fraction):
+def _search(bound: Fraction, width: int):
     num, den = bound.numerator, bound.numerator + bound.denominator
 
+    def sets_of(texts: pa.ChunkedArray) -> list[np.ndarray]:
+        with np.errstate(over="ignore"):
+            key, first = shingle_sets(*text_bytes(texts), width)
+        return [key[a:z] for a, z in zip(first[:-1], first[1:], strict=True)]
+
     def run(query: pa.Table, block: pa.Table) -> pa.Table:
-        q = np.frombuffer(query.column("query")[0].as_py(), dtype=np.uint64)
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in block.column("set").to_pylist()]
-        found = divide_skip(q, sets, [-(-num * (len(q) + len(s)) // den) for s in sets])
-        nodes = block.column("y").to_pylist()
-        x = query.column("q")[0].as_py()
-        y = [n for n, yes in zip(nodes, found, strict=True) if yes]
-        return pa.table({"x": pa.array([x] * len(y), pa.int64()), "y": pa.array(y, pa.int64())})
+        y = []
+        if query.num_rows and block.num_rows:
+            q = sets_of(query.column("query").slice(0, 1))[0]
+            sets = sets_of(block.column("text"))
+            found = divide_skip(q, sets, [-(-num * (len(q) + len(s)) // den) for s in sets])
+            y = [n for n, yes in zip(block.column("y").to_pylist(), found, strict=True) if yes]
+        return pa.table({"x": pa.array(query.column("q").to_pylist()[:1] * len(y), pa.int64()), "y": pa.array(y, pa.int64())})
 
     return run
 
 
-def search(pairs: DataFrame, sets: DataFrame, bound: Fraction) -> DataFrame:
-    """The links among candidate ``pairs`` (x, y): x queries its candidates in blocks of about BLOCK."""
+def search(pairs: DataFrame, texts: DataFrame, bound: Fraction, width: int) -> DataFrame:
+    """The links among candidate ``pairs`` (x, y): x queries its candidates in blocks of about BLOCK.
+
+    Texts travel with their pairs, as they are smaller than their sets; those
+    of other documents stay where they are.
+    """
     size = pairs.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = pairs.join(size, "x").withColumn("block", F.pmod(F.xxhash64("y"), "blocks").cast("int")).drop("blocks")
-    candidates = dealt.join(sets.select(F.col("node").alias("y"), "set"), "y")
+    dealt = saved(pairs.join(size, "x").withColumn("block", F.pmod(F.xxhash64("y"), "blocks").cast("int")).drop("blocks"))
     queries = dealt.select(F.col("x").alias("q"), F.col("block").alias("part")).distinct()
-    queries = queries.join(sets.select(F.col("node").alias("q"), F.col("set").alias("query")), "q")
-    return queries.groupBy("q", "part").cogroup(candidates.groupBy("x", "block")).applyInArrow(_search(bound), "x long, y long")
+    of = lambda keys, name, text: split(texts, "node", membership(keys, name)).select(F.col("node").alias(name), F.col("text").alias(text))
+    candidates = dealt.join(of(dealt, "y", "text"), "y")
+    queries = queries.join(of(queries, "q", "query"), "q")
+    return queries.groupBy("q", "part").cogroup(candidates.groupBy("x", "block")).applyInArrow(_search(bound, width), "x long, y long")
 
 
-def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2) -> DataFrame:
+def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2, sketch: int = 8) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = saved(narrow.mapInArrow(_signatures(width, bound), "doc_id long, n_shingles long, sig long, k int, tokens array<long>"))
+    texts = narrow.withColumnRenamed("doc_id", "node")
+    rows = stored(narrow.mapInArrow(_signatures(width, bound), "doc_id long, n_shingles long, sig long, k int, tokens array<long>"))
     filled = rows.filter("n_shingles > 0")
-    # equal sets are one node, named by its least document; only their least shingles are dealt out, two numbers a row
-    named = filled.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("node"))
-    unique = filled.join(named.select("node"), F.col("doc_id") == F.col("node")).dropDuplicates(["node"])
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    tokens = unique.select("node", F.explode("tokens").alias("token")).repartition(parts, "token")
-    df = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
-    shared = saved(tokens.join(df, "token"))
-    size = filled.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "k").dropDuplicates(["node"])
-    near = saved(shared.groupBy("node").agg(F.count("*").alias("c")).join(size, "node").filter("c >= k + 1").select("node", "n", "k"))
-    lists = shared.join(near.select("node"), "node", "left_semi")
-    texts = split(narrow.withColumnRenamed("doc_id", "node"), "node", membership(near, "node"))
-    sets = texts.join(near.select("node"), "node").dropDuplicates(["node"]).select("node", "text")
-    sets = saved(sets.mapInArrow(_whole_sets(width), "node long, set binary"))
+    # equal sets are one node, named by its least document
+    named = saved(filled.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("node")))
+    nodes = named.select("node", F.col("n_shingles").alias("n"), F.col("node").alias("component"))
+    fits = f"least(n, m) * {bound.denominator} >= greatest(n, m) * {bound.numerator}"
 
+    # hubs: lists of the few shingles of least hash; each has a hub, the node of least salted hash, and a node goes to
+    # the hub that it shares most lists with. This only makes groups of copies small for what follows.
+    short = filled.join(named.select("node"), F.col("doc_id") == F.col("node")).select("node", F.explode(F.slice("tokens", 1, sketch)).alias("token"))
+    common = short.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    short = saved(short.join(common, "token"))
     links = searched = None
-    of = near.withColumn("component", F.col("node"))
-    fits = f"least(n, m) * {bound.denominator} >= greatest(n, m) * {bound.numerator}"
+    of = nodes
     for turn in range(hubs):
-        # what is left: the lists that join different components. Each has a hub, the node of least salted hash;
-        # a node goes to the hub that it shares most lists with
-        member = lists.join(of, "node")
-        open_ = member.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z").select("token")
-        lists = saved(lists.join(open_, "token"))
-        member = lists.join(of, "node")
+        member = short.join(of, "node")
         order = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n")
         hub = member.groupBy("token").agg(F.min(order).alias("h"))
         hub = hub.select("token", F.col("h.node").alias("x"), F.col("h.component").alias("cx"), F.col("h.n").alias("m"))
         pairs = member.join(hub, "token").filter("component <> cx").filter(fits).groupBy("x", F.col("node").alias("y")).agg(F.count("*").alias("c"))
-        pairs = pairs.groupBy("y").agg(F.max_by("x", F.struct("c", "x")).alias("x")).select("x", "y")
+        pairs = pairs.groupBy("y").agg(F.max(F.struct("c", "x")).alias("p")).select("p.x", "y")
         if searched is not None:
             pairs = pairs.join(searched, ["x", "y"], "left_anti")
         pairs = saved(pairs)
-        found = saved(search(pairs, sets, bound))
+        found = saved(search(pairs, texts, bound, width))
         searched = pairs if searched is None else searched.union(pairs)
         links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            of = _labelled(near, links)
-    member = lists.join(of, "node")
+        of = _labelled(nodes, links)
+
+    # all other links: pairs of different components share k + 1 lists, and all these lists hold both components
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    label = of.select("node", "component")
+    tokens = filled.select(F.col("doc_id").alias("node"), "tokens").join(label, "node")
+    tokens = tokens.select("node", "component", F.explode("tokens").alias("token")).repartition(parts, "token")
+    open_ = tokens.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z").select("token")
+    lists = stored(tokens.join(open_, "token"))
+    size = named.select("node", F.col("n_shingles").alias("n")).join(filled.select(F.col("doc_id").alias("node"), "k"), "node").dropDuplicates(["node"])
+    near = saved(lists.groupBy("node").agg(F.count("*").alias("c")).join(size, "node").filter("c >= k + 1").select("node", "n", "k"))
+    member = lists.join(near, "node")
     other = member.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("m"), F.col("k").alias("l"))
     rest = (
         member.withColumnRenamed("node", "x")
@@ -228,17 +226,17 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
         .select("x", "y")
     )
     rest = saved(rest.join(searched, ["x", "y"], "left_anti"))
-    links = links.union(saved(search(rest, sets, bound)))
-    of = _labelled(near, links)
-    by_sig = named.join(of, "node", "left").select(F.col("sig").alias("s"), F.col("n_shingles").alias("m"), F.coalesce("component", "node").alias("component"))
-    return rows.join(by_sig, (rows.sig == F.col("s")) & (rows.n_shingles == F.col("m")), "left").select(
+    links = links.union(saved(search(rest, texts, bound, width)))
+    of = _labelled(nodes, links)
+    by_sig = named.join(of.select("node", "component"), "node").select(F.col("sig").alias("s"), F.col("n_shingles").alias("m"), "component")
+    return rows.select("doc_id", "n_shingles", "sig").join(by_sig, (F.col("sig") == F.col("s")) & (F.col("n_shingles") == F.col("m")), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def _labelled(near: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links, "x", "y").withColumnRenamed("component", "c")
-    return saved(near.join(found, "node", "left").select("node", "n", "k", F.coalesce("c", "node").alias("component")))
+    return saved(nodes.select("node", "n").join(found, "node", "left").select("node", "n", F.coalesce("c", "node").alias("component")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

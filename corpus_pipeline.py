@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brandspark.llm import language_id, line_dedup, mixing, ngram_join, packing
-from brandspark.llm.common import WORD, saved
+from brandspark.llm.common import WORD, membership, saved, split
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +32,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group of near copies."""
-    least = saved(ngram_join.ngram_join(docs)).filter("doc_id = component_id OR component_id IS NULL").select("doc_id").distinct()
-    return docs.join(least, docs.doc_id.eqNullSafe(least.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    """One document, that of the least doc_id, of each group of near copies; rows of one doc_id stay or go together."""
+    gone = saved(ngram_join.ngram_join(docs).filter("doc_id <> component_id").select("doc_id").distinct())
+    bits = membership(gone, "doc_id")
+    rest = split(docs, "doc_id", bits, inside=False)
+    return split(docs, "doc_id", bits).join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(rest)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
