@@ -179,6 +179,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     # lines that occur again, or are near an earlier one
     bad = distinct.filter("first < last").select("lid", "first").withColumn("near", F.lit(False))
     bad = bad.unionByName(near.join(verified, "lid").select("lid", "first", "near")).groupBy("lid").agg(F.min("first").alias("first"), F.max("near").alias("near"))
+    bad = saved(bad)  # a line of many places can then be dealt out anew by the join
     gone = rows.select("lid", "doc_id", "line", "dk").join(bad, "lid").filter("near OR NOT (first.dk = dk AND first.line = line)")
     return gone.groupBy("dk").agg(F.array_distinct(F.collect_list("line")).alias("removed"))
 
