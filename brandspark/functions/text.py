@@ -119,8 +119,9 @@ def is_safe(certificate: Column, risk: Column) -> Column:
 
 
 def flip_person_name(c: Column) -> Column:
-    w = words(c)
-    return F.when(F.size(w) == 2, F.concat(w[1], F.lit(", "), w[0])).when(F.size(w) == 3, F.concat(w[2], F.lit(", "), w[0], F.lit(" "), w[1]))
+    """``A B`` becomes ``B, A``; ``A B C`` becomes ``C, A B``; anything else null."""
+    flipped = F.regexp_replace(squeeze(c), r"^(\S+(?: \S+)?) (\S+)$", "$2, $1")
+    return F.when(squeeze(c).rlike(r"^\S+(?: \S+){1,2}$"), flipped)
 
 
 def clean_name(c: Column) -> Column:

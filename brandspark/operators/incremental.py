@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .cases import new_companies, new_names, pending_cases, unique_brands, unique_plaintiffs
 from .collect import collect_brands
+from .lineage import settled
 from .matching import match_marks, match_owners
 from .resolve import resolve_companies, resolved_companies
 
@@ -20,8 +21,8 @@ def process_pending(cases: DataFrame, matched: DataFrame, path_a: DataFrame, pat
     names = lambda results, name: results.select(F.col("name").alias(name))
     a = new_names(pending, names(path_a, "plaintiff_clean"), queried(unique_plaintiffs(cases), path_a, "plaintiff_clean"), "plaintiff_clean")
     b = new_names(pending.filter("NOT brand_eq_plaintiff"), names(path_b, "brand_clean"), queried(unique_brands(cases), path_b, "brand_clean"), "brand_clean")
-    path_a = path_a.unionByName(match_owners(a.withColumnRenamed("plaintiff_clean", "name"), marks))
-    path_b = path_b.unionByName(match_marks(b.withColumnRenamed("brand_clean", "name"), marks))
+    path_a = path_a.unionByName(settled(match_owners(a.withColumnRenamed("plaintiff_clean", "name"), marks)))
+    path_b = path_b.unionByName(settled(match_marks(b.withColumnRenamed("brand_clean", "name"), marks)))
     added = resolve_companies(pending, path_a, path_b)
     matched = matched.join(pending.select("case_number"), "case_number", "left_anti").select(*added.columns).unionByName(added)
     companies = new_companies(resolved_companies(matched), details)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import inner_trigrams, jaccard, meaningful_tokens, token_score, trigrams, word_boundary_pattern
 from ..functions.text import clean_name, flip_person_name, has_letter, words
 from .keys import cap_per_key
+from .lineage import settled
 
 LEAST_SCORE = 0.3
 CAP = 100
@@ -130,18 +131,21 @@ def similar_names(queries: DataFrame, names: DataFrame, least: float = 0.3, top:
 
 
 def retry_owners(names: DataFrame, marks: DataFrame, accept: float = 0.4, most: int = 3) -> DataFrame:
-    """(name, strategy, companies) by the first strategy that hits: equal after cleaning, flipped person name, similarity."""
+    """(name, strategy, companies) by the first strategy that hits: equal after cleaning, flipped person name, similarity.
+
+    Names that are left after each step are settled: they are few, and several joins read them.
+    """
     owners = marks.select("owner_name").filter("owner_name IS NOT NULL").distinct()
-    names = names.select("name").distinct().withColumn("cleaned", clean_name(F.col("name")))
+    names = settled(names.select("name").distinct().withColumn("cleaned", clean_name(F.col("name"))))
     plain = lambda c: F.upper(F.regexp_replace(c, "[,.]", ""))
     first = names.join(owners, plain(F.col("cleaned")) == plain(F.col("owner_name"))).select("name", "owner_name", F.lit(1.0).alias("rank"), F.lit("clean_exact").alias("strategy"))
     left = names.join(first.select("name").distinct(), "name", "left_anti")
-    flipped = left.withColumn("flipped", flip_person_name(F.col("name"))).filter("flipped IS NOT NULL")
+    flipped = settled(left.withColumn("flipped", flip_person_name(F.col("name"))).filter("flipped IS NOT NULL"))
     hit = contains_candidates(
         flipped.select(F.col("flipped").alias("key"), F.array("flipped").alias("pieces")).distinct(), owners.select(F.col("owner_name").alias("text"))
     )
     second = flipped.join(hit, F.col("flipped") == F.col("key")).select("name", F.col("text").alias("owner_name"), F.lit(1.0).alias("rank"), F.lit("name_flip").alias("strategy"))
-    left = left.join(second.select("name").distinct(), "name", "left_anti").filter(F.length("cleaned") >= 5)
+    left = settled(left.join(second.select("name").distinct(), "name", "left_anti").filter(F.length("cleaned") >= 5))
     near = similar_names(left.select(F.col("name").alias("query")), owners.select(F.col("owner_name").alias("name")))
     best = near.groupBy("query").agg(F.max("sim").alias("best")).filter(F.col("best") >= accept)
     third = near.join(best, "query").select(F.col("query").alias("name"), F.col("name").alias("owner_name"), F.col("sim").alias("rank"), F.lit("similarity").alias("strategy"))

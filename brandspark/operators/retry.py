@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import known_plaintiff, latin_brand
+from .lineage import settled
 from .matching import retry_brands, retry_owners
 
 
@@ -14,7 +15,7 @@ def retry_not_found(matched: DataFrame, cases: DataFrame, marks: DataFrame) -> D
     lost = matched.filter("match_quality = 'not_found'").select("case_number").join(cases, "case_number")
     named = lost.filter(known_plaintiff(F.col("plaintiff_clean")))
     by_name = named.join(retry_owners(named.select(F.col("plaintiff_clean").alias("name")), marks), F.col("plaintiff_clean") == F.col("name"))
-    by_name = by_name.select("case_number", "strategy", "companies")
+    by_name = settled(by_name.select("case_number", "strategy", "companies"))
     left = named.join(by_name.select("case_number"), "case_number", "left_anti").withColumn("strategy", F.lit("brand"))
     bare = lost.filter("coalesce(plaintiff_clean, '') = ''").withColumn("strategy", F.lit("brand_only"))
     asked = left.unionByName(bare).filter(latin_brand(F.col("brand_clean")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cases import build_cases, unique_brands, unique_plaintiffs
 from ..operators.collect import collect_brands
+from ..operators.lineage import settled
 from ..operators.matching import live_marks, match_marks, match_owners
 from ..operators.resolve import resolve_companies, resolved_companies
 from ..sources.status import status_codes
@@ -41,7 +42,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 class Analog:
-    """Lazily built inputs and intermediate results over one folder of tables."""
+    """Lazily built inputs and intermediate results over one folder of tables.
+
+    What several steps read is settled, so that their plans stay small.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -59,23 +63,23 @@ class Analog:
 
     @cached_property
     def cases(self) -> DataFrame:
-        return build_cases(self.view("v_cases_raw"))
+        return settled(build_cases(self.view("v_cases_raw")))
 
     @cached_property
     def marks(self) -> DataFrame:
-        return live_marks(self.view("v_trademarks"), self.view("v_owners"), self.status)
+        return settled(live_marks(self.view("v_trademarks"), self.view("v_owners"), self.status))
 
     @cached_property
     def path_a(self) -> DataFrame:
-        return match_owners(unique_plaintiffs(self.cases).withColumnRenamed("plaintiff_clean", "name"), self.marks)
+        return settled(match_owners(unique_plaintiffs(self.cases).withColumnRenamed("plaintiff_clean", "name"), self.marks))
 
     @cached_property
     def path_b(self) -> DataFrame:
-        return match_marks(unique_brands(self.cases).withColumnRenamed("brand_clean", "name"), self.marks)
+        return settled(match_marks(unique_brands(self.cases).withColumnRenamed("brand_clean", "name"), self.marks))
 
     @cached_property
     def matched(self) -> DataFrame:
-        return resolve_companies(self.cases, self.path_a, self.path_b)
+        return settled(resolve_companies(self.cases, self.path_a, self.path_b))
 
     @cached_property
     def registry(self) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, similarity, text
 from ..operators import cases, collect, images, incremental, keys, lists, matching, patents, registry, reports, resolve, retry
+from ..operators.lineage import settled
 from .analog import Analog
 from .sql import brand, pattern, plaintiff, quote, score, tokens, trigrams, with_ctes, words
 
@@ -461,7 +462,8 @@ def _(a: Analog) -> DataFrame:
     first = a.cases.filter(f"NOT ({_LATER})")
     path_a = matching.match_owners(cases.unique_plaintiffs(first).withColumnRenamed("plaintiff_clean", "name"), a.marks)
     path_b = matching.match_marks(cases.unique_brands(first).withColumnRenamed("brand_clean", "name"), a.marks)
-    matched = resolve.resolve_companies(first, path_a, path_b)
+    path_a, path_b = settled(path_a), settled(path_b)
+    matched = settled(resolve.resolve_companies(first, path_a, path_b))
     return incremental.process_pending(a.cases, matched, path_a, path_b, a.marks, a.details.limit(0), a.registry)["matched"]
 
 
