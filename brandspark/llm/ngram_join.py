@@ -5,8 +5,8 @@ their Jaccard similarity reaches the bound.  The result names, for every
 document, the least document it is linked with through any chain.
 
 Candidates.  A linked pair shares at least T shingles, so of the p + k shingles
-of least hash of either (p = n - T + 1) it shares k + 1.  Equal sets are one
-node, named by its least document.
+of least hash of either (p = n - T + 1) it shares k + 1, k being that of the
+smaller set.  Equal sets are one node, named by its least document.
 
 Search.  A query is a node with a block of candidate nodes.  The block's
 inverted lists are sorted by length; the long ones are set aside, the short
@@ -15,11 +15,16 @@ the long lists by binary search (DivideSkip).  Those that reach the required
 overlap are links.
 
 Groups of copies.  First every node is searched by one hub of the lists of its
-few least shingles, then by a second; the links found make components.  What
-then remains are pairs across components: lists that hold two components or
-more, nodes on at least k + 1 of them, pairs on k + 1 together.  All of those
-are searched.  So a group of copies costs about its size, not its square, and
-no pair that could join two components is left out.
+few least shingles, the node whose lists are longest, then by a second, any
+node; the links found make components.  What then remains are pairs across
+components: lists that hold two components or more, and nodes on at least k + 1
+of them.  A node leaves out its k longest lists, k being that of the least set
+it may link with: of the k + 1 lists that a pair shares, the shortest stays with
+both.  Of sets of n and m shingles, s or more are among those of both, so the
+shortest list they share has s - 1 longer ones at either; pairs that meet on
+such a list are all searched.  So a group of
+copies costs about its size, not its square, a copy changed too much to link is
+alone on its lists, and no pair that could join two components is left out.
 
 Shuffles carry hashes (p + k a document) once; texts travel with candidate pairs
 only.  Shingles are compared by 64-bit hash.  Rows of one doc_id hold one text.
@@ -38,7 +43,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, membership, saved, split, stored
@@ -75,8 +80,9 @@ def least_overlap(n: int, bound: Fraction) -> int:
 
 
 def _prefix_length(n: np.ndarray, bound: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """(p + k, k); both grow with n, so the k of a pair is that of its smaller set."""
     p = n - np.maximum(1, -(-n * bound.numerator // bound.denominator)) + 1
-    k = np.minimum(p // 8 + 1, n - p)
+    k = np.minimum(p, n - p)
     return p + k, k
 
 
@@ -88,7 +94,8 @@ def _signatures(width: int, bound: Fraction):
                 n = np.diff(first)
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(key * np.uint64(3)), dtype=np.uint64)])
                 sig = mix(total[first[1:]] - total[first[:-1]] + n.astype(np.uint64))
-                length, k = _prefix_length(n, bound)
+                length, _ = _prefix_length(n, bound)
+                _, k = _prefix_length(-(-n * bound.numerator // bound.denominator), bound)  # of the least set it links with
                 length = np.where(n > 0, length, 0)
                 # keys are sorted as unsigned numbers, so the least come first
                 ends = np.cumsum(length)
@@ -185,13 +192,16 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     # hubs: lists of the few shingles of least hash; each has a hub, the node of least salted hash, and a node goes to
     # the hub that it shares most lists with. This only makes groups of copies small for what follows.
     short = filled.join(named.select("node"), F.col("doc_id") == F.col("node")).select("node", F.explode(F.slice("tokens", 1, sketch)).alias("token"))
-    common = short.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
-    short = saved(short.join(common, "token"))
+    common = short.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    short = short.join(common, "token")
+    score = short.groupBy("node").agg(F.sum("df").alias("score"))
+    short = saved(short.join(score, "node").select("node", "token", "score"))
     links = searched = None
     of = nodes
     for turn in range(hubs):
         member = short.join(of, "node")
-        order = F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n")
+        first = F.lit(0) if turn else -F.col("score")
+        order = F.struct(first, F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n")
         hub = member.groupBy("token").agg(F.min(order).alias("h"))
         hub = hub.select("token", F.col("h.node").alias("x"), F.col("h.component").alias("cx"), F.col("h.n").alias("m"))
         pairs = member.join(hub, "token").filter("component <> cx").filter(fits).groupBy("x", F.col("node").alias("y")).agg(F.count("*").alias("c"))
@@ -207,24 +217,19 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     # all other links: pairs of different components share k + 1 lists, and all these lists hold both components
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     label = of.select("node", "component")
-    tokens = filled.select(F.col("doc_id").alias("node"), "tokens").join(label, "node")
-    tokens = tokens.select("node", "component", F.explode("tokens").alias("token")).repartition(parts, "token")
-    open_ = tokens.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z").select("token")
-    lists = stored(tokens.join(open_, "token"))
-    size = named.select("node", F.col("n_shingles").alias("n")).join(filled.select(F.col("doc_id").alias("node"), "k"), "node").dropDuplicates(["node"])
-    near = saved(lists.groupBy("node").agg(F.count("*").alias("c")).join(size, "node").filter("c >= k + 1").select("node", "n", "k"))
-    member = lists.join(near, "node")
-    other = member.select("token", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("m"), F.col("k").alias("l"))
-    rest = (
-        member.withColumnRenamed("node", "x")
-        .join(other, "token")
-        .filter("x < y AND component <> cy")
-        .filter(fits)
-        .groupBy("x", "y")
-        .agg(F.count("*").alias("c"), F.first(F.least("k", "l")).alias("k"))
-        .filter("c >= k + 1")
-        .select("x", "y")
-    )
+    tokens = filled.select(F.col("doc_id").alias("node"), "n_shingles", "k", "tokens").join(label, "node").dropDuplicates(["node"])
+    tokens = tokens.withColumn("unseen", F.col("n_shingles") - F.size("tokens"))
+    tokens = tokens.select("node", "component", F.col("n_shingles").alias("n"), "unseen", "k", F.explode("tokens").alias("token")).repartition(parts, "token")
+    lists = stored(_open(tokens))
+    near = lists.groupBy("node").agg(F.count("*").alias("c"), F.first("k").alias("l")).filter("c > l").select("node")
+    lists = _open(lists.join(near, "node"), size=True)
+    by_length = Window.partitionBy("node").orderBy(F.desc("df"), "token")
+    lists = lists.withColumn("place", F.row_number().over(by_length)).filter("place > k").select("token", "node", "component", "n", "unseen", "place")
+    lists = saved(_open(lists))
+    other = lists.toDF("token", "y", "cy", "m", "hidden", "rank")
+    shared = f"ceil((n + m) * {bound.numerator} / {bound.numerator + bound.denominator}) - greatest(unseen, hidden)"
+    rest = lists.withColumnRenamed("node", "x").join(other, "token").filter("x < y AND component <> cy").filter(fits)
+    rest = rest.filter(f"least(place, rank) >= {shared}").select("x", "y").distinct()
     rest = saved(rest.join(searched, ["x", "y"], "left_anti"))
     links = links.union(saved(search(rest, texts, bound, width)))
     of = _labelled(nodes, links)
@@ -234,6 +239,12 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     )
 
 
+def _open(lists: DataFrame, size: bool = False) -> DataFrame:
+    """The lists that hold two components or more, with their length as df if ``size``."""
+    seen = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("df"))
+    return lists.join(seen.filter("a <> z").select("token", *["df"] * size), "token")
+
+
 def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links, "x", "y").withColumnRenamed("component", "c")
     return saved(nodes.select("node", "n").join(found, "node", "left").select("node", "n", F.coalesce("c", "node").alias("component")))
