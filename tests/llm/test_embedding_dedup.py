@@ -1,5 +1,6 @@
 import numpy as np
 
+from brandspark.llm import embedding_dedup
 from brandspark.llm.common import read
 from brandspark.llm.embedding_dedup import audit, near_dup, range_search, robust_prune
 
@@ -72,3 +73,33 @@ def test_search_along_the_graph():
     s = x @ x.T >= 0.93
     np.fill_diagonal(s, False)
     assert len(q) >= 0.97 * s.sum() and s[q, v].all()
+
+
+def test_groups_larger_than_the_pool():
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((30, 64)), 50, axis=0) + 0.1 * rng.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, v = range_search(x, robust_prune(x.astype(np.float32)), 0.93)
+    s = x @ x.T >= 0.93
+    np.fill_diagonal(s, False)
+    assert len(q) >= 0.97 * s.sum() and s[q, v].all()
+
+
+def test_all_pairs_where_the_graph_misses(spark, monkeypatch):
+    def nothing(nodes, bound, overlap, centroids):
+        return spark.createDataFrame([], "node long, links long"), spark.createDataFrame([], "node long, head long")
+
+    monkeypatch.setattr(embedding_dedup, "_once", nothing)
+    monkeypatch.setattr(embedding_dedup, "SHARD", 10)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((40, 16))
+    rows = [(k, k % 2, (base[k % 40] + 0.1 * rng.standard_normal(16)).tolist()) for k in range(160)]
+    rows += [(160 + k, 0, rows[0][2]) for k in range(5)] + [(170, 0, rows[0][2][:8])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_audit_is_a_mean_over_queries(spark):
+    vectors = [[1.0, 0.0]] * 1 + [[1.0, 0.001 * k] for k in range(1, 9)] + [[0.0, 1.0], [0.001, 1.0]]
+    nodes = spark.createDataFrame([(k, 0, v, 1) for k, v in enumerate(vectors)], "node long, label int, embedding array<float>, m long")
+    found = spark.createDataFrame([(k, 8) for k in range(9)], "node long, links long")  # the second group is lost
+    assert abs(audit(nodes, found, 0.93) - 9 / 11) < 1e-9
