@@ -8,6 +8,8 @@ SQL, so ORACLE_SQL is None; tests hold the stages against brute force.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group of near copies; rows of one doc_id stay or go together."""
-    gone = saved(ngram_join.ngram_join(docs).filter("doc_id <> component_id").select("doc_id").distinct())
+    """One document, that of the least doc_id, of each group of near copies; rows of one doc_id stay or go together.
+
+    Near copies share 0.8 of their five-word shingles or more.
+    """
+    gone = saved(ngram_join.ngram_join(docs, width=5, bound=Fraction(8, 10)).filter("doc_id <> component_id").select("doc_id").distinct())
     bits = membership(gone, "doc_id")
     rest = split(docs, "doc_id", bits, inside=False)
     return split(docs, "doc_id", bits).join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(rest)
