@@ -12,6 +12,7 @@ from ..operators.registry import load_registry
 from ..sources.readers import unzip_case_files
 
 CHILDREN = ("classes", "statements", "owners", "design_codes")
+TABLES = ("trademarks", *CHILDREN)
 
 
 def next_version(spark: SparkSession, base: dict[str, str] | None, raw: DataFrame, target: str) -> dict[str, str]:
@@ -34,14 +35,32 @@ def next_version(spark: SparkSession, base: dict[str, str] | None, raw: DataFram
         raw.unpersist()
 
 
+def last_version(spark: SparkSession, versions: str, below: int) -> dict[str, str] | None:
+    """Paths of the tables of the highest complete version under ``below``; a later run goes on from there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(versions).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path(versions)):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(path(versions))]
+    numbers = sorted((int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and int(n[1:]) < below), reverse=True)
+    for number in numbers:
+        tables = {name: f"{versions}/v{number:06d}/{name}" for name in TABLES}
+        if all(fs.exists(path(f"{p}/_SUCCESS")) for p in tables.values()):
+            return tables
+    return None
+
+
 def ingest_daily(spark: SparkSession, folder: str, checkpoint: str, versions: str, done: Callable[[dict[str, str]], None] | None = None) -> StreamingQuery:
-    """Take in all new archives of ``folder``; the stream's checkpoint is the ledger of files."""
-    current: dict[str, dict[str, str] | None] = {"tables": None}
+    """Take in all new archives of ``folder``; the stream's checkpoint is the ledger of files.
+
+    Each version is built on the last complete one before it, also of an earlier run.
+    """
 
     def take(batch: DataFrame, number: int) -> None:
-        current["tables"] = next_version(spark, current["tables"], unzip_case_files(batch), f"{versions}/v{number:06d}")
+        tables = next_version(spark, last_version(spark, versions, number), unzip_case_files(batch), f"{versions}/v{number:06d}")
         if done:
-            done(current["tables"])
+            done(tables)
 
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
     return files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

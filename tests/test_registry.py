@@ -2,7 +2,7 @@ import zipfile
 
 from brandspark.operators.registry import file_load_stats, load_registry
 from brandspark.sources.readers import read_case_files, read_zipped_case_files
-from brandspark.streaming.ingest import ingest_daily
+from brandspark.streaming.ingest import ingest_daily, last_version
 
 RECORD = """<case-file><serial-number>{0}</serial-number><case-file-header><mark-identification>{1}</mark-identification>
 <status-code>700</status-code><filing-date>20240105</filing-date><trademark-in>T</trademark-in></case-file-header>
@@ -40,3 +40,21 @@ def test_daily_stream_replaces_serial_numbers(spark, tmp_path):
     assert {r.mark_identification for r in spark.read.parquet(seen[-1]["trademarks"]).collect()} == {"OLD", "TWO"}
     run()
     assert len(seen) == 1
+
+
+def test_second_run_keeps_what_the_first_took_in(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    seen = []
+    run = lambda: ingest_daily(spark, str(folder), str(tmp_path / "cp"), str(tmp_path / "v"), seen.append).awaitTermination()
+    _zip(folder / "apc240101.zip", (1, "OLD"), (2, "TWO"))
+    run()
+    _zip(folder / "apc240102.zip", (1, "NEW"), (3, "THREE"))
+    (tmp_path / "v" / "v000000" / "x").mkdir()
+    run()
+    assert len(seen) == 2
+    assert sorted(r.mark_identification for r in spark.read.parquet(seen[-1]["trademarks"]).collect()) == ["NEW", "THREE", "TWO"]
+    assert sorted(r.party_name for r in spark.read.parquet(seen[-1]["owners"]).collect()) == ["NEW Inc.", "THREE Inc.", "TWO Inc."]
+    assert spark.read.parquet(seen[-1]["classes"]).count() == 3
+    (tmp_path / "v" / "v000001" / "owners" / "_SUCCESS").unlink()  # not complete: the version before it is the base
+    assert last_version(spark, str(tmp_path / "v"), 2)["owners"].endswith("v000000/owners")
