@@ -45,7 +45,14 @@ OTHER = "und"
 _FOLD = np.full(256, 32, dtype=np.uint32)
 _FOLD[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LOWER[[*range(65, 91), *range(97, 123), *range(128, 256)]]
 _HIDDEN = re.compile(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b""")
+_HTML = re.compile(r"(?i)<html\b[^>]*")
+_LANG = re.compile(r"""(?i)\blang\s*=\s*(?:["']\s*)?([a-z]{2,3})\b""")
+
+
+def declared_language(page: str) -> str | None:
+    """The language of the first html tag that declares one; each tag is read once, so time is linear."""
+    found = (_LANG.search(m[0], 5) for m in _HTML.finditer(page))
+    return next((m[1].lower() for m in found if m), None)
 
 
 @dataclass
@@ -114,8 +121,7 @@ def _score(model: Model, html: bool, most: float):
             text, declared = batch.column(1), batch.column(2)
             if html:
                 pages = [x or "" for x in text.to_pylist()]
-                found = [_DECLARED.search(x[:20_000]) for x in pages]
-                declared = pa.array([m[1].lower() if m else None for m in found], pa.string())
+                declared = pa.array([declared_language(x) for x in pages], pa.string())
                 text = pa.array([_HIDDEN.sub(" ", x) for x in pages], pa.string())
             raw, offsets = text_bytes(text)
             row, bucket = _trigrams(raw, offsets)

@@ -55,3 +55,10 @@ def test_unknown_script_is_undetermined(spark, model):
     docs = spark.createDataFrame([(1, "これは日本語の文章です。" * 20), (1, "これは日本語の文章です。" * 20)], "doc_id long, text string")
     assert {r.lang for r in identify(docs, model, "doc_id", "text").collect()} == {OTHER}
     assert identify(docs.limit(0), model, "doc_id", "text").count() == 0
+
+
+def test_declaration_behind_a_long_head(spark, model):
+    page = "<html class=x lang='FR'><body>1234</body></html>"
+    pages = [(1, page), (2, "<!--" + "x" * 30_000 + "-->" + page), (3, " " * 60_000 + page), (4, "<html " * 20_000), (5, "<html><p>1</p>")]
+    got = {r.id: r.declared_lang for r in identify(spark.createDataFrame(pages, "page_id long, html string"), model, "page_id", "html", html=True).collect()}
+    assert got == {1: "fr", 2: "fr", 3: "fr", 4: "none", 5: "none"}
