@@ -46,6 +46,16 @@ def _(a: Analog) -> DataFrame:
     return rows.select("doc_id", text.clean_plaintiff(F.col("x")).alias("plaintiff"))
 
 
+_F1_WHOLE = "text || CASE doc_id % 5 WHEN 0 THEN ' | x' WHEN 1 THEN '; an Individual of' WHEN 2 THEN '; 3200 Corporate Drive' WHEN 3 THEN ' doing business as Y;' ELSE '' END"
+
+
+@query("f01_clean_whole_plaintiff", f"SELECT doc_id, {plaintiff('x')} AS plaintiff FROM (SELECT doc_id, replace({_F1_WHOLE}, chr(10), ' ') AS x FROM documents)")
+def _(a: Analog) -> DataFrame:
+    """As f01_clean_plaintiff, over whole texts."""
+    rows = a.table("documents").select("doc_id", F.replace(F.expr(_F1_WHOLE), F.lit("\n"), F.lit(" ")).alias("x"))
+    return rows.select("doc_id", text.clean_plaintiff(F.col("x")).alias("plaintiff"))
+
+
 _DAY = "CASE WHEN event_id % 9 = 0 THEN '20240230' WHEN event_id % 11 = 0 THEN '00000101' ELSE CAST(20240101 + event_id % 28 AS STRING) END"
 
 
@@ -456,15 +466,27 @@ def _(a: Analog) -> DataFrame:
     return keys.upsert(a.cases.select("case_number", "nature_of_suit"), delta, ["case_number"], ["position"])
 
 
-@query("i4_process_pending", "SELECT * FROM matched")
-def _(a: Analog) -> DataFrame:
-    """Resolve most cases, then the rest as pending: the same as one full run."""
+def _pending_run(a: Analog) -> dict[str, DataFrame]:
+    """Resolve and collect most cases, then the rest as pending."""
     first = a.cases.filter(f"NOT ({_LATER})")
     path_a = matching.match_owners(cases.unique_plaintiffs(first).withColumnRenamed("plaintiff_clean", "name"), a.marks)
     path_b = matching.match_marks(cases.unique_brands(first).withColumnRenamed("brand_clean", "name"), a.marks)
     path_a, path_b = settled(path_a), settled(path_b)
     matched = settled(resolve.resolve_companies(first, path_a, path_b))
-    return incremental.process_pending(a.cases, matched, path_a, path_b, a.marks, a.details.limit(0), a.registry)["matched"]
+    details = settled(collect.collect_brands(resolve.resolved_companies(matched), **a.registry))
+    return incremental.process_pending(a.cases, matched, path_a, path_b, a.marks, details, a.registry)
+
+
+@query("i4_process_pending", "SELECT * FROM matched")
+def _(a: Analog) -> DataFrame:
+    """The matches after the pending cases: the same as one full run."""
+    return _pending_run(a)["matched"]
+
+
+@query("i4_process_pending_details", "SELECT * FROM details")
+def _(a: Analog) -> DataFrame:
+    """The details after the pending cases, with those of new companies: the same as one full run."""
+    return _pending_run(a)["details"]
 
 
 @query("i5_refresh_brands", "SELECT count(*) FILTER (WHERE serial_number % 2 = 0) AS old_rows, count(*) AS new_rows, count(*) FILTER (WHERE serial_number % 2 <> 0) AS change FROM details")

@@ -28,3 +28,8 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_entry_lists_queries():
     assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["f01_clean_whole_plaintiff", "i4_process_pending", "i4_process_pending_details"])
+def test_whole_texts_and_details_equal_sql(spark, sf, name):
+    test_query_equals_sql(spark, sf, name)
