@@ -1,6 +1,7 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Lines are stripped; those of ``min_chars`` characters or more take part.  Of
+Lines are stripped; those of ``min_chars`` characters or more take part, and
+those of ``exact_chars`` or more where lines are equal.  Of
 equal lines the earliest occurrence (by doc_id, then line number) stays.  Of
 distinct lines within one edit (a character inserted, deleted or replaced) the
 one whose first occurrence is earlier stays; a line goes when any earlier line
@@ -78,13 +79,13 @@ def _finish(h: np.ndarray, length: np.ndarray, salt: int) -> np.ndarray:
     return mix(h + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt)).view(np.int64)
 
 
-def _line_rows(min_chars: int):
+def _line_rows(min_chars: int, exact_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, "text"):
                 c = Chars(batch.column(2))
                 n = c.end - c.start
-                use = np.flatnonzero(n >= min_chars)
+                use = np.flatnonzero(n >= min(min_chars, exact_chars))
                 a, z, n = c.start[use], c.end[use], n[use]
                 row = pa.array(c.row[use])
                 halves = []
@@ -92,7 +93,7 @@ def _line_rows(min_chars: int):
                     h = m // 2
                     halves += [_finish(c.raw_hash(a, a + h), m, 1), _finish(c.raw_hash(z - (m - h), z), m, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(c.number[use].astype(np.int32)), pa.array(_finish(c.raw_hash(a, z), n, 0)), *map(pa.array, halves)],
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(c.number[use].astype(np.int32)), pa.array(_finish(c.raw_hash(a, z), n, 0)), *(pa.array(h, mask=n < min_chars) for h in halves)],
                     names=["doc_id", "dk", "line", "lid", "k1", "k2", "k3", "k4"],
                 )
 
@@ -137,15 +138,15 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
     """(dk, removed): the numbers of the lines that go, for each document with any; dk is the hash of doc_id and text."""
     keyed = docs.select(F.col("doc_id").cast("long"), _document_key(), F.col("text").cast("string"))
     rows = saved(
-        keyed.mapInArrow(_line_rows(min_chars), "doc_id long, dk long, line int, lid long, k1 long, k2 long, k3 long, k4 long")
+        keyed.mapInArrow(_line_rows(min_chars, exact_chars), "doc_id long, dk long, line int, lid long, k1 long, k2 long, k3 long, k4 long")
     )
     place = F.struct("doc_id", "line", "dk")
     distinct = rows.groupBy("lid").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.first(f"k{k}").alias(f"k{k}") for k in (1, 2, 3, 4)])
-    keys = distinct.select("lid", "first", F.explode(F.array("k1", "k2", "k3", "k4")).alias("key"))
+    keys = distinct.filter("k1 IS NOT NULL").select("lid", "first", F.explode(F.array("k1", "k2", "k3", "k4")).alias("key"))
     shared = keys.groupBy("key").agg(F.min("lid").alias("a"), F.max("lid").alias("z")).filter("a <> z").select("key")
     near = saved(keys.join(shared, "key").select("lid", "first").dropDuplicates(["lid"]))
 
@@ -188,9 +189,9 @@ def _document_key():
     return F.xxhash64("doc_id", "text").alias("dk")
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with their kept lines, and ``__removed``, how many went."""
-    gone = saved(removed_lines(docs, min_chars))
+    gone = saved(removed_lines(docs, min_chars, exact_chars))
     bits = membership(gone, "dk")
     keyed = docs.withColumn("__dk", _document_key())
     kept = F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains("removed", k))

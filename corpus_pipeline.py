@@ -28,8 +28,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with each line kept where it stands first; those without a word left go."""
-    kept = line_dedup.line_dedup(docs).filter((F.col("__removed") == 0) | F.col("text").rlike(WORD))
+    """Documents with each line kept where it stands first, short lines too where they are equal; documents without a word left go."""
+    kept = line_dedup.line_dedup(docs, exact_chars=1).filter((F.col("__removed") == 0) | F.col("text").rlike(WORD))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
