@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,16 +20,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for what jobs leave for each other: ``spark.checkpoint.dir`` of the session.
 
-    ``spark.checkpoint.dir`` is read from the session; only where it is unset,
-    as in tests, a folder is made.
+    Where it is unset, a local session, as in tests, gets a temporary one; a cluster has to name one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="checkpoint-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -76,39 +86,40 @@ def components(edges: DataFrame, src: str, dst: str, rounds: int = 60) -> DataFr
 
 def stored(df: DataFrame) -> DataFrame:
     """As ``saved``, but as a compressed table in the same shared folder; for wide intermediate rows."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="checkpoint-")
-    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-BITS = 1 << 23
+MOST_BITS = 1 << 26
 
 
-def membership(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size (1 MB) in which the bit of every key is set.
+def membership(keys: DataFrame, column: str) -> np.ndarray | None:
+    """A bitmap in which the bit of every key is set, of 8 to 16 bits a key; None beyond ``MOST_BITS`` (8 MB).
 
     A row whose bit is not set has no such key; the others still need the exact
-    join.  It spares most rows that join from being shuffled.
+    join.  It spares most rows that join from being shuffled.  ``keys`` is read twice.
     """
-    bit = F.pmod(F.xxhash64(column), F.lit(BITS))
-    words = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
-    rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("v")).collect()
-    out = np.zeros(BITS // 32, dtype=np.uint32)
-    for r in rows:
-        out[r["w"]] = r["v"]
+    size = 1 << max(16, (8 * keys.count()).bit_length())
+    if size > MOST_BITS:
+        return None
+    bit = F.pmod(F.xxhash64(column), F.lit(size))
+    words = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).toArrow()
+    out = np.zeros(size // 64, dtype=np.int64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy()
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def split(docs: DataFrame, column: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """The rows of ``docs`` whose key may be (``inside``) or cannot be among the keys of the bitmap."""
-    packed = np.packbits(bits)
+def split(docs: DataFrame, column: str, bits: np.ndarray | None, inside: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose key may be (``inside``) or cannot be among the keys of the bitmap; without one, all may be."""
+    if bits is None:
+        return docs if inside else docs.filter(F.lit(False))
+    packed, size, name = np.packbits(bits), len(bits), f"__bit_{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.unpackbits(packed).astype(bool)
         for batch in batches:
-            hit = table[batch.column(batch.schema.get_field_index("__bit")).to_numpy()]
-            yield batch.filter(pa.array(hit if inside else ~hit)).drop_columns(["__bit"])
+            hit = table[batch.column(batch.schema.get_field_index(name)).to_numpy()]
+            yield batch.filter(pa.array(hit if inside else ~hit)).drop_columns([name])
 
-    return docs.withColumn("__bit", F.pmod(F.xxhash64(column), F.lit(BITS))).mapInArrow(run, docs.schema)
+    return docs.withColumn(name, F.pmod(F.xxhash64(column), F.lit(size))).mapInArrow(run, docs.schema)

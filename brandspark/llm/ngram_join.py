@@ -2,54 +2,61 @@
 
 A document's set holds its distinct word shingles; two documents link when
 their Jaccard similarity reaches the bound.  The result names, for every
-document, the least document it is linked with through any chain.
-
-Candidates.  A linked pair shares at least T shingles, so of the p + k shingles
-of least hash of either (p = n - T + 1) it shares k + 1, k being that of the
-smaller set.  Equal sets are one node, named by its least document.
-
-Search.  A query is a node with a block of candidate nodes.  The block's
-inverted lists are sorted by length; the long ones are set aside, the short
-ones are merged with a heap, and nodes that occur often enough are looked up in
-the long lists by binary search (DivideSkip).  Those that reach the required
-overlap are links.
-
-Groups of copies.  First every node is searched by one hub of the lists of its
-few least shingles, the node whose lists are longest, then by a second, any
-node; the links found make components.  What then remains are pairs across
-components: lists that hold two components or more, and nodes on at least k + 1
-of them.  A node leaves out its k longest lists, k being that of the least set
-it may link with: of the k + 1 lists that a pair shares, the shortest stays with
-both.  Of sets of n and m shingles, s or more are among those of both, so the
-shortest list they share has s - 1 longer ones at either; pairs that meet on
-such a list are all searched.  So a group of
-copies costs about its size, not its square, a copy changed too much to link is
-alone on its lists, and no pair that could join two components is left out.
-
-Shuffles carry hashes (p + k a document) once; texts travel with candidate pairs
-only.  Shingles are compared by 64-bit hash.  Rows of one doc_id hold one text.
+document, the least document it is linked with through any chain.  Equal sets
+are one node.
+
+Order.  Shingles have one order: how often they stand in a sample of the
+documents (the ``heavy`` most frequent ones, a parameter; all others count as
+rare), then their hash.  Any order gives the same result; this one puts a set's
+rare shingles first.
+
+Inverted lists.  A set is posted under its n - T + 1 first shingles, T being the
+least overlap with any set it may link with.  The first shingle that a linked
+pair shares is among those of both, and so far in front that the rest can
+still reach the overlap; postings that can reach it with no set of their list
+are dropped.  A copy changed too much to link is posted under its own shingles,
+where it is alone.
+
+Search.  Lists are gathered in cells of bounded size: many short lists in one, a
+long list in a grid of several.  In a cell, every query's inverted lists are
+taken by length: the short ones are merged with a heap, and what they give is
+looked up in the long ones by binary search (DivideSkip).  Sets that reach the
+required overlap link.
+
+Groups of copies.  First each set is searched by one hub of its lists, the set
+with the most frequent shingles, later by any other.  The links make components;
+lists that hold one component only are closed, and in what stays open the
+largest component of a list sends no queries.  So a group of copies costs
+about its size, not its square, and no link between components is left out.
+
+Shuffles carry hashes (0.15 of a set) once; texts travel to the cells they are
+needed in.  Shingles and sets are compared by 64-bit hash.
 
 Edge cases: no words, or null text: empty set, linked with nothing; fewer than
 ``width`` words: the whole sequence is one shingle; repeated rows and equal sets
-are linked; extra columns are ignored; an empty table gives an empty result.
+are linked; rows of one doc_id may hold different texts, each row has its own
+result; a null doc_id takes part and is never the name of a component that has
+others; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, membership, saved, split, stored
 from .textcore import BYTE_KEY_LOWER, mix, powers, slices, span_hash, text_bytes, windows, words
 
-BLOCK = 256
+#: Shingles of a cell, as queries and as lists.
+CELL = 400_000
+#: One document of so many is in the sample that orders the shingles.
+SAMPLE = 16
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -74,19 +81,40 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = 4) -> tuple[
     return key, np.searchsorted(row, np.arange(rows + 1))
 
 
-def least_overlap(n: int, bound: Fraction) -> int:
+def least_overlap(n, bound: Fraction):
     """Shingles that a set of ``n`` shares at least with any set it links with."""
-    return max(1, -(-n * bound.numerator // bound.denominator))
+    return np.maximum(1, -(-n * bound.numerator // bound.denominator))
 
 
-def _prefix_length(n: np.ndarray, bound: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """(p + k, k); both grow with n, so the k of a pair is that of its smaller set."""
-    p = n - np.maximum(1, -(-n * bound.numerator // bound.denominator)) + 1
-    k = np.minimum(p, n - p)
-    return p + k, k
+def frequent(docs: DataFrame, width: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, levels): at most ``heavy`` shingles that stand most often in the sample, sorted by hash.
 
+    A level is eight times the binary logarithm of the count.
+    """
 
-def _signatures(width: int, bound: Fraction):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in slices(batches, "text"):
+                key, _ = shingle_sets(*text_bytes(batch.column(1)), width)
+                key, n = np.unique(key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["token", "n"])
+
+    sample = docs.filter(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0)
+    counts = sample.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
+    counts = saved(counts.select("token", F.floor(F.log2("n") * 8).cast("int").alias("level")))
+    left, least = heavy, 0
+    for r in sorted(counts.groupBy("level").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["level"]):
+        left -= r["n"]
+        if left < 0:
+            least = r["level"] + 1
+            break
+    found = counts.filter(F.col("level") >= least).toArrow()
+    token = found.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    return token[order], found.column("level").to_numpy().astype(np.int32)[order]
+
+
+def _postings(width: int, bound: Fraction, hashes: np.ndarray, levels: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, "text"):
@@ -94,160 +122,199 @@ def _signatures(width: int, bound: Fraction):
                 n = np.diff(first)
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(key * np.uint64(3)), dtype=np.uint64)])
                 sig = mix(total[first[1:]] - total[first[:-1]] + n.astype(np.uint64))
-                length, _ = _prefix_length(n, bound)
-                _, k = _prefix_length(-(-n * bound.numerator // bound.denominator), bound)  # of the least set it links with
-                length = np.where(n > 0, length, 0)
-                # keys are sorted as unsigned numbers, so the least come first
+                row = np.repeat(np.arange(len(n)), n)
+                level = np.zeros(len(key), dtype=np.int32)
+                if len(hashes) and len(key):
+                    at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
+                    level = np.where(hashes[at] == key, levels[at], 0)
+                score = np.bincount(row, level, minlength=len(n)) / np.maximum(n, 1)
+                length = np.where(n > 0, n - least_overlap(n, bound) + 1, 0)
                 ends = np.cumsum(length)
                 pick = np.arange(int(ends[-1])) - np.repeat(ends - length, length) + np.repeat(first[:-1], length)
-                tokens = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), key[pick].view(np.int64))
+                # hashes are sorted, so a stable sort by level leaves them so among equals
+                tokens = key[np.lexsort((level, row))][pick]
+                tokens = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), tokens.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n), pa.array(sig.view(np.int64)), pa.array(k.astype(np.int32)), tokens],
-                    names=["doc_id", "n_shingles", "sig", "k", "tokens"],
+                    [batch.column(0), batch.column(2), pa.array(n), pa.array(sig.view(np.int64)), pa.array(score.astype(np.float32)), tokens],
+                    names=["key", "doc_id", "n_shingles", "sig", "score", "tokens"],
                 )
 
     return run
 
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray], needed: list[int]) -> list[bool]:
-    """Which of ``sets`` share at least ``needed`` elements with ``query``."""
-    least = min(needed)
-    at = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    place = np.searchsorted(query, at)
-    hit = query[np.minimum(place, len(query) - 1)] == at
-    place, owner = place[hit], owner[hit]
-    order = np.lexsort((owner, place))
-    place, owner = place[order], owner[order]
-    bounds = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, int)
-    lists = [x.tolist() for x in np.split(owner, bounds[1:])] if len(place) else []
-    if len(lists) < least:
-        return [False] * len(sets)
-    lists.sort(key=len)
-    # the longest lists are set aside: all that the bound allows, as they are the dearest to merge
-    long_count = min(least - 1, len(lists))
-    short, long = lists[: len(lists) - long_count], lists[len(lists) - long_count :]
-    count: dict[int, int] = {}
-    for node in heapq.merge(*short):
-        count[node] = count.get(node, 0) + 1
-    out = [False] * len(sets)
-    for node, n in count.items():
-        left = len(long)
-        for own in long:
-            if n >= needed[node] or n + left < needed[node]:
-                break
-            k = bisect_left(own, node)
-            n += k < len(own) and own[k] == node
-            left -= 1
-        out[node] = n >= needed[node]
+class Index:
+    """Inverted lists of some sets.  Sets are numbered by size, so that a list is sorted by size too."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.tokens, at = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(at, kind="stable")
+        self.owner = owner[order]
+        self.entry = at[order] * len(sets) + self.owner
+        self.first = np.searchsorted(at[order], np.arange(len(self.tokens) + 1))
+
+    def search(self, query: np.ndarray, bound: Fraction, skip) -> list[int]:
+        """Sets that reach ``bound`` with ``query``; those for which ``skip`` is true are left out.
+
+        DivideSkip: of the query's lists the longest, all that the least overlap
+        allows, are set aside; the short ones are merged with a heap and give
+        the candidates with their counts; the long ones are probed.
+        """
+        n, count = len(query), len(self.sizes)
+        num, den = bound.numerator, bound.numerator + bound.denominator
+        low = int(np.searchsorted(self.sizes, -(-n * bound.numerator // bound.denominator)))
+        high = int(np.searchsorted(self.sizes, n * bound.denominator // bound.numerator, "right"))
+        if not n or low >= high:
+            return []
+        least = -(-num * (n + int(self.sizes[low])) // den)
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
+        if len(at) < least:
+            return []
+        length = self.first[at + 1] - self.first[at]
+        at = at[np.argsort(length, kind="stable")]
+        short, long = at[: len(at) - least + 1], at[len(at) - least + 1 :]
+        merged: dict[int, int] = {}
+        lists = (self.owner[self.first[t] : self.first[t + 1]].tolist() for t in short)
+        for k in heapq.merge(*lists):
+            if low <= k < high:
+                merged[k] = merged.get(k, 0) + 1
+        out = []
+        for k, hits in merged.items():
+            need = -(-num * (n + int(self.sizes[k])) // den)
+            if hits + len(long) < need or skip(k):
+                continue
+            if hits < need:
+                probe = long * count + k
+                place = np.searchsorted(self.entry, probe)
+                hits += int((self.entry[np.minimum(place, len(self.entry) - 1)] == probe).sum())
+            if hits >= need:
+                out.append(k)
+        return out
+
+
+def links_of(names: list, sets: list[np.ndarray], labels: list, queries: Iterable[bool], listed: Iterable[bool], bound: Fraction) -> list[tuple]:
+    """(x, y): links between sets of different labels, as many as join what these links join at all."""
+    order = sorted((k for k, yes in enumerate(listed) if yes), key=lambda k: len(sets[k]))
+    index = Index([sets[k] for k in order])
+    root = {x: x for x in labels}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for q, yes in enumerate(queries):
+        if yes:
+            for y in index.search(sets[q], bound, lambda k, q=q: find(labels[order[k]]) == find(labels[q])):
+                a, b = find(labels[q]), find(labels[order[y]])
+                if a != b:
+                    root[a] = b
+                    out.append((names[q], names[order[y]]))
     return out
 
 
 def _search(bound: Fraction, width: int):
-    num, den = bound.numerator, bound.numerator + bound.denominator
-
-    def sets_of(texts: pa.ChunkedArray) -> list[np.ndarray]:
+    def run(cell: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
-            key, first = shingle_sets(*text_bytes(texts), width)
-        return [key[a:z] for a, z in zip(first[:-1], first[1:], strict=True)]
-
-    def run(query: pa.Table, block: pa.Table) -> pa.Table:
-        y = []
-        if query.num_rows and block.num_rows:
-            q = sets_of(query.column("query").slice(0, 1))[0]
-            sets = sets_of(block.column("text"))
-            found = divide_skip(q, sets, [-(-num * (len(q) + len(s)) // den) for s in sets])
-            y = [n for n, yes in zip(block.column("y").to_pylist(), found, strict=True) if yes]
-        return pa.table({"x": pa.array(query.column("q").to_pylist()[:1] * len(y), pa.int64()), "y": pa.array(y, pa.int64())})
+            key, first = shingle_sets(*text_bytes(cell.column("text")), width)
+        sets = [key[a:z] for a, z in zip(first[:-1], first[1:], strict=True)]
+        node, label, queries, listed = (cell.column(c).to_pylist() for c in ("node", "component", "asks", "listed"))
+        links = links_of(node, sets, label, queries, listed, bound)
+        return pa.table({"x": pa.array([a for a, _ in links], pa.int64()), "y": pa.array([b for _, b in links], pa.int64())})
 
     return run
 
 
-def search(pairs: DataFrame, texts: DataFrame, bound: Fraction, width: int) -> DataFrame:
-    """The links among candidate ``pairs`` (x, y): x queries its candidates in blocks of about BLOCK.
+def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) -> DataFrame:
+    """The links (x, y) inside groups; ``members`` is (group, node, component, n, asks).
 
-    Texts travel with their pairs, as they are smaller than their sets; those
-    of other documents stay where they are.
+    Members that ask are queries, the group's lists are of all members.  Small
+    groups share a cell; a group of more than CELL shingles has a grid of cells,
+    so that each has a bounded part of the lists and of the queries.
     """
-    size = pairs.groupBy("x").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = saved(pairs.join(size, "x").withColumn("block", F.pmod(F.xxhash64("y"), "blocks").cast("int")).drop("blocks"))
-    queries = dealt.select(F.col("x").alias("q"), F.col("block").alias("part")).distinct()
-    of = lambda keys, name, text: split(texts, "node", membership(keys, name)).select(F.col("node").alias(name), F.col("text").alias(text))
-    candidates = dealt.join(of(dealt, "y", "text"), "y")
-    queries = queries.join(of(queries, "q", "query"), "q")
-    return queries.groupBy("q", "part").cogroup(candidates.groupBy("x", "block")).applyInArrow(_search(bound, width), "x long, y long")
-
-
-def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2, sketch: int = 8) -> DataFrame:
+    size = members.groupBy("group").agg(F.sum("n").alias("w"), F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)).alias("v"))
+    total = size.agg(F.sum(F.when(F.col("w") <= CELL, F.col("w")))).first()[0] or 0
+    size = size.select("group", F.ceil(F.col("w") / CELL).alias("parts"), F.greatest(F.ceil(F.col("v") / CELL), F.lit(1)).alias("turns"))
+    dealt = members.join(size, "group")
+    own, turn = F.pmod(F.xxhash64("node"), "parts"), F.pmod(F.xxhash64("node", F.lit(1)), "turns")
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    listed = dealt.select("*", F.lit(True).alias("listed"), F.lit(False).alias("query"), own.alias("part"), spread("turns").alias("turn"))
+    asking = dealt.filter("asks").select("*", F.lit(False).alias("listed"), F.lit(True).alias("query"), turn.alias("turn"), spread("parts").alias("part"))
+    cells = listed.unionByName(asking)
+    shared = F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CELL))))
+    cell = F.when(F.col("parts") * F.col("turns") == 1, shared).otherwise(F.xxhash64("group", "part", "turn"))
+    cells = cells.groupBy(cell.alias("cell"), "node", "component").agg(F.max("query").alias("asks"), F.max("listed").alias("listed"))
+    cells = saved(cells)
+    wanted = split(texts, "node", membership(cells.select("node").distinct(), "node")).dropDuplicates(["node"])
+    return cells.join(wanted, "node").groupBy("cell").applyInArrow(_search(bound, width), "x long, y long")
+
+
+def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2, heavy: int = 1 << 18) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = narrow.withColumnRenamed("doc_id", "node")
-    rows = stored(narrow.mapInArrow(_signatures(width, bound), "doc_id long, n_shingles long, sig long, k int, tokens array<long>"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = narrow.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
+    texts = narrow.select(F.col("key").alias("node"), "text")
+    hashes, levels = frequent(narrow, width, heavy)
+    schema = "key long, doc_id long, n_shingles long, sig long, score float, tokens array<long>"
+    rows = stored(narrow.mapInArrow(_postings(width, bound, hashes, levels), schema))
     filled = rows.filter("n_shingles > 0")
-    # equal sets are one node, named by its least document
-    named = saved(filled.groupBy("sig", "n_shingles").agg(F.min("doc_id").alias("node")))
-    nodes = named.select("node", F.col("n_shingles").alias("n"), F.col("node").alias("component"))
-    fits = f"least(n, m) * {bound.denominator} >= greatest(n, m) * {bound.numerator}"
-
-    # hubs: lists of the few shingles of least hash; each has a hub, the node of least salted hash, and a node goes to
-    # the hub that it shares most lists with. This only makes groups of copies small for what follows.
-    short = filled.join(named.select("node"), F.col("doc_id") == F.col("node")).select("node", F.explode(F.slice("tokens", 1, sketch)).alias("token"))
-    common = short.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    short = short.join(common, "token")
-    score = short.groupBy("node").agg(F.sum("df").alias("score"))
-    short = saved(short.join(score, "node").select("node", "token", "score"))
-    links = searched = None
-    of = nodes
-    for turn in range(hubs):
-        member = short.join(of, "node")
-        first = F.lit(0) if turn else -F.col("score")
-        order = F.struct(first, F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n")
-        hub = member.groupBy("token").agg(F.min(order).alias("h"))
-        hub = hub.select("token", F.col("h.node").alias("x"), F.col("h.component").alias("cx"), F.col("h.n").alias("m"))
-        pairs = member.join(hub, "token").filter("component <> cx").filter(fits).groupBy("x", F.col("node").alias("y")).agg(F.count("*").alias("c"))
-        pairs = pairs.groupBy("y").agg(F.max(F.struct("c", "x")).alias("p")).select("p.x", "y")
-        if searched is not None:
-            pairs = pairs.join(searched, ["x", "y"], "left_anti")
-        pairs = saved(pairs)
-        found = saved(search(pairs, texts, bound, width))
-        searched = pairs if searched is None else searched.union(pairs)
-        links = found if links is None else links.union(found)
-        of = _labelled(nodes, links)
-
-    # all other links: pairs of different components share k + 1 lists, and all these lists hold both components
+    # equal sets are one node, named by the key of one of their rows
+    named = saved(filled.groupBy("sig", "n_shingles").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("r"), F.count("*").alias("rows")))
+    named = named.select("sig", F.col("n_shingles").alias("n"), F.col("r.doc_id").alias("least"), F.col("r.key").alias("node"), "rows")
+    of = None
+
+    num, den = bound.numerator, bound.numerator + bound.denominator
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    label = of.select("node", "component")
-    tokens = filled.select(F.col("doc_id").alias("node"), "n_shingles", "k", "tokens").join(label, "node").dropDuplicates(["node"])
-    tokens = tokens.withColumn("unseen", F.col("n_shingles") - F.size("tokens"))
-    tokens = tokens.select("node", "component", F.col("n_shingles").alias("n"), "unseen", "k", F.explode("tokens").alias("token")).repartition(parts, "token")
-    lists = stored(_open(tokens))
-    near = lists.groupBy("node").agg(F.count("*").alias("c"), F.first("k").alias("l")).filter("c > l").select("node")
-    lists = _open(lists.join(near, "node"), size=True)
-    by_length = Window.partitionBy("node").orderBy(F.desc("df"), "token")
-    lists = lists.withColumn("place", F.row_number().over(by_length)).filter("place > k").select("token", "node", "component", "n", "unseen", "place")
-    lists = saved(_open(lists))
-    other = lists.toDF("token", "y", "cy", "m", "hidden", "rank")
-    shared = f"ceil((n + m) * {bound.numerator} / {bound.numerator + bound.denominator}) - greatest(unseen, hidden)"
-    rest = lists.withColumnRenamed("node", "x").join(other, "token").filter("x < y AND component <> cy").filter(fits)
-    rest = rest.filter(f"least(place, rank) >= {shared}").select("x", "y").distinct()
-    rest = saved(rest.join(searched, ["x", "y"], "left_anti"))
-    links = links.union(saved(search(rest, texts, bound, width)))
-    of = _labelled(nodes, links)
-    by_sig = named.join(of.select("node", "component"), "node").select(F.col("sig").alias("s"), F.col("n_shingles").alias("m"), "component")
-    return rows.select("doc_id", "n_shingles", "sig").join(by_sig, (F.col("sig") == F.col("s")) & (F.col("n_shingles") == F.col("m")), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "score", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
+    posted = sets.select("node", "n", "score", F.posexplode("tokens").alias("place", "token"))
+    posted = posted.select("node", "n", "score", "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
+    lists = stored(_alive(posted.withColumn("component", F.col("node")), num, den).drop("component"))
+
+    links = None
+    for turn in range(hubs + 1):
+        member = lists.withColumn("component", F.col("node")) if of is None else lists.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if turn:
+            member = saved(_alive(_alive(member, num, den), num, den))
+        if turn < hubs:
+            order = F.struct(F.lit(0) if turn else -F.col("score"), F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n", "rest")
+            hub = member.groupBy("token").agg(F.min(order).alias("h"))
+            hub = hub.select("token", F.col("h.node").alias("hub"), F.col("h.component").alias("c"), F.col("h.n").alias("m"), F.col("h.rest").alias("far"))
+            pairs = member.join(hub, "token").filter("component <> c").filter(f"least(rest, far) * {den} >= (n + m) * {num}")
+            pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m").agg(F.count("*").alias("k"))
+            best = pairs.groupBy("node").agg(F.max(F.struct("k", "hub", "c", "m", "component", "n")).alias("p")).select("node", "p.*")
+            best = saved(best)
+            groups = best.select(F.col("hub").alias("group"), "node", "component", "n", F.lit(False).alias("asks"))
+            groups = groups.unionByName(best.select(F.col("hub").alias("group"), F.col("hub").alias("node"), F.col("c").alias("component"), F.col("m").alias("n"), F.lit(True).alias("asks")).distinct())
+        else:
+            # of lists with the same members one is enough; the largest component of a list need not ask
+            same = member.groupBy("token").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.count("*").alias("k"))
+            same = same.groupBy("s", "k").agg(F.min("token").alias("token")).select("token")
+            weight = member.groupBy("token", "component").agg(F.sum("n").alias("w"))
+            largest = weight.groupBy("token").agg(F.max(F.struct("w", "component"))["component"].alias("c"))
+            groups = member.join(same, "token").join(largest, "token")
+            groups = groups.select(F.col("token").alias("group"), "node", "component", "n", (F.col("component") != F.col("c")).alias("asks"))
+        found = saved(search(groups, texts, bound, width))
+        links = found if links is None else links.unionByName(found)
+        of = saved(components(links, "x", "y"))
+
+    # a component is named by its least document
+    linked = named.join(of, "node").select("sig", "n", "least", "component")
+    name = linked.groupBy("component").agg(F.min("least").alias("name"))
+    linked = linked.join(name, "component").select("sig", "n", "name")
+    alone = named.filter("rows > 1").join(of, "node", "left_anti").select("sig", "n", F.col("least").alias("name"))
+    label = linked.unionByName(alone).toDF("s", "m", "name")
+    return rows.select("doc_id", "n_shingles", "sig").join(label, (F.col("sig") == F.col("s")) & (F.col("n_shingles") == F.col("m")), "left").select(
+        "doc_id", "n_shingles", F.coalesce("name", "doc_id").alias("component_id")
     )
 
 
-def _open(lists: DataFrame, size: bool = False) -> DataFrame:
-    """The lists that hold two components or more, with their length as df if ``size``."""
-    seen = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("df"))
-    return lists.join(seen.filter("a <> z").select("token", *["df"] * size), "token")
-
-
-def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links, "x", "y").withColumnRenamed("component", "c")
-    return saved(nodes.select("node", "n").join(found, "node", "left").select("node", "n", F.coalesce("c", "node").alias("component")))
+def _alive(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Postings of lists with two components or more that can reach the overlap with some set of their list."""
+    seen = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.min("n").alias("m"))
+    return lists.join(seen.filter("a <> z").select("token", "m"), "token").filter(f"rest * {den} >= (n + m) * {num}").drop("m")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from brandspark.llm.common import components, read
-from brandspark.llm.ngram_join import divide_skip, ngram_join
+from brandspark.llm.ngram_join import Index, links_of, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -70,14 +70,66 @@ def test_edges(spark):
     assert ngram_join(docs.limit(0)).count() == 0
 
 
-def test_divide_skip_equals_sets():
+def jaccard(s, t):
+    s, t = set(s.tolist()), set(t.tolist())
+    return Fraction(len(s & t), len(s | t)) if s or t else Fraction(0)
+
+
+@pytest.mark.parametrize("bound", [Fraction(1, 2), Fraction(8, 10), Fraction(85, 100)])
+def test_divide_skip_equals_sets(bound):
     rng = np.random.default_rng(3)
-    for _ in range(50):
-        q = np.unique(rng.integers(0, 60, 30)).astype(np.uint64)
-        sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.uint64) for _ in range(20)]
-        needed = [int(rng.integers(1, 1 + len(q))) for _ in sets]
-        got = divide_skip(q, sets, needed)
-        assert got == [len(set(q.tolist()) & set(s.tolist())) >= n for s, n in zip(sets, needed, strict=True)]
+    for size in (12, 60, 300):
+        base = np.unique(rng.integers(0, size, size // 2))
+        sets = [np.unique(np.where(rng.random(len(base)) < share, rng.integers(0, size, len(base)), base)).astype(np.uint64) for share in (0, 0.02, 0.1, 0.3) for _ in range(12)]
+        sets = sorted([*sets, np.zeros(0, np.uint64), base[:1].astype(np.uint64)], key=len)
+        index = Index(sets)
+        for q in sets:
+            expected = [k for k, s in enumerate(sets) if len(q) and jaccard(q, s) >= bound]
+            assert sorted(index.search(q, bound, lambda k: False)) == expected
+            assert sorted(index.search(q, bound, lambda k: k % 2 == 0)) == [k for k in expected if k % 2]
+        assert index.search(np.array([10**6], dtype=np.uint64), bound, lambda k: False) == []
+
+
+def test_links_join_what_all_links_join():
+    rng = np.random.default_rng(5)
+    base = np.arange(100)
+    sets = [np.unique(np.where(rng.random(100) < 0.06, rng.integers(1000, 9000, 100), base)).astype(np.uint64) for _ in range(40)]
+    bound = Fraction(85, 100)
+    links = links_of([*range(40)], sets, [*range(40)], [True] * 40, [True] * 40, bound)
+    assert all(jaccard(sets[a], sets[b]) >= bound for a, b in links)
+
+    def groups(edges):
+        root = [*range(40)]
+        for _ in range(40):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert groups(links) == groups([(a, b) for a in range(40) for b in range(a) if jaccard(sets[a], sets[b]) >= bound])
+
+
+@pytest.mark.parametrize("cell, heavy", [(300, 1 << 18), (300, 0), (10**6, 5)])
+def test_long_lists_in_a_grid_of_cells(spark, monkeypatch, cell, heavy):
+    """Copies changed too much to link with most others, far more than a cell holds."""
+    monkeypatch.setattr("brandspark.llm.ngram_join.CELL", cell)
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(150):
+        words = [f"w{v}" for v in range(60)]
+        for at in rng.integers(0, 60, rng.integers(0, 4)):
+            words[at] = f"x{rng.integers(0, 2)}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for hubs in (0, 2):
+        got = ngram_join(docs, hubs=hubs, heavy=heavy).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+
+
+def test_one_doc_id_with_different_texts(spark):
+    rows = [(1, "a b c d e f"), (1, "p q r s t u"), (2, "P q r s t u"), (None, "p q r s t u"), (None, "z"), (3, "a b c d e f"), (3, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(docs).collect()), key=str)
+    assert got == sorted([(1, 3, 1), (1, 3, 1), (2, 3, 1), (None, 3, 1), (None, 1, None), (3, 3, 1), (3, 3, 1)], key=str)
 
 
 def test_components_of_a_path_and_a_star(spark):
