@@ -10,12 +10,12 @@ documents (the ``heavy`` most frequent ones, a parameter; all others count as
 rare), then their hash.  Any order gives the same result; this one puts a set's
 rare shingles first.
 
-Inverted lists.  A set is posted under its n - T + 1 first shingles, T being the
-least overlap with any set it may link with.  The first shingle that a linked
-pair shares is among those of both, and so far in front that the rest can
-still reach the overlap; postings that can reach it with no set of their list
-are dropped.  A copy changed too much to link is posted under its own shingles,
-where it is alone.
+Inverted lists.  A set is posted under its p + k first shingles, p = n - T + 1, T
+being the least overlap with any set it may link with.  A linked pair meets in
+k + 1 of these lists (k of the smaller set), each so far in front that what
+follows can still reach the overlap.  Postings that can reach it with no set of
+their list are dropped, and so are sets left in k lists or fewer.  A copy changed
+too much to link is posted under its own shingles, where it is alone.
 
 Search.  Lists are gathered in cells of bounded size: many short lists in one, a
 long list in a grid of several.  In a cell, every query's inverted lists are
@@ -29,7 +29,7 @@ lists that hold one component only are closed, and in what stays open the
 largest component of a list sends no queries.  So a group of copies costs
 about its size, not its square, and no link between components is left out.
 
-Shuffles carry hashes (0.15 of a set) once; texts travel to the cells they are
+Shuffles carry hashes (p + k of a set) once; texts travel to the cells they are
 needed in.  Shingles and sets are compared by 64-bit hash.
 
 Edge cases: no words, or null text: empty set, linked with nothing; fewer than
@@ -47,7 +47,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, membership, saved, split, stored
@@ -86,6 +86,12 @@ def least_overlap(n, bound: Fraction):
     return np.maximum(1, -(-n * bound.numerator // bound.denominator))
 
 
+def posted_shingles(n, bound: Fraction):
+    """(p, k); both grow with n, so the k of a pair is that of its smaller set."""
+    p = n - least_overlap(n, bound) + 1
+    return p, np.minimum(p // 3, n - p)
+
+
 def frequent(docs: DataFrame, width: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, levels): at most ``heavy`` shingles that stand most often in the sample, sorted by hash.
 
@@ -128,15 +134,17 @@ def _postings(width: int, bound: Fraction, hashes: np.ndarray, levels: np.ndarra
                     at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
                     level = np.where(hashes[at] == key, levels[at], 0)
                 score = np.bincount(row, level, minlength=len(n)) / np.maximum(n, 1)
-                length = np.where(n > 0, n - least_overlap(n, bound) + 1, 0)
+                p, k = posted_shingles(n, bound)
+                _, lowest = posted_shingles(least_overlap(n, bound), bound)  # of the least set it links with
+                length = np.where(n > 0, p + k, 0)
                 ends = np.cumsum(length)
                 pick = np.arange(int(ends[-1])) - np.repeat(ends - length, length) + np.repeat(first[:-1], length)
                 # hashes are sorted, so a stable sort by level leaves them so among equals
                 tokens = key[np.lexsort((level, row))][pick]
                 tokens = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), tokens.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(n), pa.array(sig.view(np.int64)), pa.array(score.astype(np.float32)), tokens],
-                    names=["key", "doc_id", "n_shingles", "sig", "score", "tokens"],
+                    [batch.column(0), batch.column(2), pa.array(n), pa.array(sig.view(np.int64)), pa.array(score.astype(np.float32)), pa.array(k), pa.array(lowest), tokens],
+                    names=["key", "doc_id", "n_shingles", "sig", "score", "k", "lowest", "tokens"],
                 )
 
     return run
@@ -258,7 +266,7 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     narrow = narrow.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
     texts = narrow.select(F.col("key").alias("node"), "text")
     hashes, levels = frequent(narrow, width, heavy)
-    schema = "key long, doc_id long, n_shingles long, sig long, score float, tokens array<long>"
+    schema = "key long, doc_id long, n_shingles long, sig long, score float, k long, lowest long, tokens array<long>"
     rows = stored(narrow.mapInArrow(_postings(width, bound, hashes, levels), schema))
     filled = rows.filter("n_shingles > 0")
     # equal sets are one node, named by the key of one of their rows
@@ -268,23 +276,26 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
 
     num, den = bound.numerator, bound.numerator + bound.denominator
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "score", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
-    posted = sets.select("node", "n", "score", F.posexplode("tokens").alias("place", "token"))
-    posted = posted.select("node", "n", "score", "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
-    lists = stored(_alive(posted.withColumn("component", F.col("node")), num, den).drop("component"))
+    about = ["node", "n", "score", "k", "lowest"]
+    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "score", "k", "lowest", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
+    posted = sets.select(*about, F.posexplode("tokens").alias("place", "token"))
+    posted = posted.select(*about, "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
+    lists = stored(_often(_alive(posted.withColumn("component", F.col("node")), num, den)).drop("component"))
 
     links = None
     for turn in range(hubs + 1):
         member = lists.withColumn("component", F.col("node")) if of is None else lists.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn:
-            member = saved(_alive(_alive(member, num, den), num, den))
+            member = _alive(_often(_alive(_often(_alive(member, num, den)), num, den)), num, den)
+            member = saved(member if turn < hubs else _alive(member, num, den, strict=True))
         if turn < hubs:
-            order = F.struct(F.lit(0) if turn else -F.col("score"), F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n", "rest")
+            order = F.struct(F.lit(0) if turn else -F.col("score"), F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n", "rest", "k", "lowest")
             hub = member.groupBy("token").agg(F.min(order).alias("h"))
-            hub = hub.select("token", F.col("h.node").alias("hub"), F.col("h.component").alias("c"), F.col("h.n").alias("m"), F.col("h.rest").alias("far"))
-            pairs = member.join(hub, "token").filter("component <> c").filter(f"least(rest, far) * {den} >= (n + m) * {num}")
-            pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m").agg(F.count("*").alias("k"))
-            best = pairs.groupBy("node").agg(F.max(F.struct("k", "hub", "c", "m", "component", "n")).alias("p")).select("node", "p.*")
+            hub = hub.select("token", F.col("h.node").alias("hub"), F.col("h.component").alias("c"), F.col("h.n").alias("m"), F.col("h.rest").alias("far"), F.col("h.lowest").alias("low"), F.col("h.k").alias("j"))
+            pairs = member.join(hub, "token").withColumns({"low": F.greatest("lowest", "low"), "j": F.least("k", "j")})
+            pairs = pairs.filter("component <> c").filter(f"(least(rest, far) + j) * {den} >= (n + m) * {num}")
+            pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m", "low").agg(F.count("*").alias("shared")).filter("shared > low")
+            best = pairs.groupBy("node").agg(F.max(F.struct("shared", "hub", "c", "m", "component", "n")).alias("p")).select("node", "p.*")
             best = saved(best)
             groups = best.select(F.col("hub").alias("group"), "node", "component", "n", F.lit(False).alias("asks"))
             groups = groups.unionByName(best.select(F.col("hub").alias("group"), F.col("hub").alias("node"), F.col("c").alias("component"), F.col("m").alias("n"), F.lit(True).alias("asks")).distinct())
@@ -311,10 +322,20 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     )
 
 
-def _alive(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """Postings of lists with two components or more that can reach the overlap with some set of their list."""
+def _alive(lists: DataFrame, num: int, den: int, strict: bool = False) -> DataFrame:
+    """Postings of lists with two components or more that can reach the overlap with the smallest set of their list.
+
+    Up to k shingles that a pair shares may stand before them; before the first one, which is ``strict``, none.
+    """
     seen = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.min("n").alias("m"))
-    return lists.join(seen.filter("a <> z").select("token", "m"), "token").filter(f"rest * {den} >= (n + m) * {num}").drop("m")
+    before = 0 if strict else F.col("k")
+    reach = (F.col("rest") + before) * den >= (F.col("n") + F.col("m")) * num
+    return lists.join(seen.filter("a <> z").select("token", "m"), "token").filter(reach).drop("m")
+
+
+def _often(lists: DataFrame) -> DataFrame:
+    """Postings of sets that are in more lists than ``lowest``, the k of the smallest set they may link with."""
+    return lists.withColumn("c", F.count("*").over(Window.partitionBy("node"))).filter("c > lowest").drop("c")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
