@@ -42,28 +42,24 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def components(edges: DataFrame, src: str, dst: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, src: str, dst: str, rounds: int = 60, settle: bool = True) -> DataFrame:
     """(node, component) of every node of ``edges``; component is the least node.
 
     Alternating large-star and small-star rounds: each shrinks the forest and
     every group is handled by aggregation (least neighbour), so no node's
     neighbours are gathered.  Rounds grow with the logarithm of the diameter.
+    Without ``settle`` the given rounds are all, and the component is the least
+    node found so far: nodes of one component are connected, but not all
+    connected nodes are of one component yet.
     """
-    spark = edges.sparkSession
-    both = saved(
-        edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u <> v").distinct()
-    )
-    nodes = both.select(F.col("u").alias("node")).union(both.select("v")).distinct()
-    links = both
+    links = saved(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u <> v").distinct())
+    nodes = links.select(F.col("u").alias("node")).union(links.select("v")).distinct()
+    before = None
     for _ in range(rounds):
-        if links.isEmpty():
-            break
         # large star: neighbours above a node link to its least neighbour
         sym = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            sym.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        )
+        large = sym.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # small star: neighbours below a node, and the node, link to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -73,14 +69,16 @@ def components(edges: DataFrame, src: str, dst: str, rounds: int = 60) -> DataFr
             .filter("u <> v")
             .distinct()
         )
-        new = saved(small)
-        n, s = new.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        before = links.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        links = new
-        if (n, s) == tuple(before):
-            break
+        links = saved(small)
+        if settle:
+            now = links.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == before or now[0] == 0:
+                break
+            before = now
     else:
-        raise RuntimeError("components did not settle")
+        if settle:
+            raise RuntimeError("components did not settle")
+        links = links.groupBy("u").agg(F.min("v").alias("v"))
     return nodes.join(links, nodes.node == links.u, "left").select("node", F.coalesce("v", "node").alias("component"))
 
 

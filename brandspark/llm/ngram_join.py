@@ -24,7 +24,7 @@ looked up in the long ones by binary search (DivideSkip).  Sets that reach the
 required overlap link.
 
 Groups of copies.  First each set is searched by one hub of its lists, the set
-with the most frequent shingles, later by any other.  The links make components;
+with the most frequent shingles, in later turns by any other.  The links make components;
 lists that hold one component only are closed, and in what stays open the
 largest component of a list sends no queries.  So a group of copies costs
 about its size, not its square, and no link between components is left out.
@@ -260,7 +260,7 @@ def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) ->
     return cells.join(wanted, "node").groupBy("cell").applyInArrow(_search(bound, width), "x long, y long")
 
 
-def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 2, heavy: int = 1 << 18) -> DataFrame:
+def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 1, heavy: int = 1 << 18) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     narrow = narrow.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
@@ -309,7 +309,7 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
             groups = groups.select(F.col("token").alias("group"), "node", "component", "n", (F.col("component") != F.col("c")).alias("asks"))
         found = saved(search(groups, texts, bound, width))
         links = found if links is None else links.unionByName(found)
-        of = saved(components(links, "x", "y"))
+        of = saved(components(links, "x", "y") if turn == hubs else components(links, "x", "y", rounds=1, settle=False))
 
     # a component is named by its least document
     linked = named.join(of, "node").select("sig", "n", "least", "component")
