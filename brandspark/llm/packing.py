@@ -20,7 +20,9 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,126 +35,67 @@ from .textcore import slices
 
 CAPACITY = 2048
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-CACHE_ENTRIES = 1_000_000
+#: Runs of white space from this length on go to the tokenizer itself: the pattern matcher of the fast encoder gives up on some.
+LONG_RUN = 100_000
 
 
-class _Both(dict):
-    """The entries of one call, and behind them a cache that is full."""
-
-    def __init__(self, new: dict, behind: dict):
-        super().__init__(new)
-        self.behind = behind
-
-    def __missing__(self, key):
-        return self.behind[key]
+def _byte_alphabet() -> dict[str, int]:
+    """The bytes behind the characters of a byte-level vocabulary: printable ones stand for themselves, the others for U+0100 and on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
 class Encoder:
-    """Token ids of texts as little-endian uint32 bytes.
+    """Token ids of texts as little-endian uint32 bytes, by a byte-level BPE file of the tokenizers library.
 
-    The pre-tokenizer never joins a space to what stands before it, so a text
-    cut before each single space encodes chunk by chunk.  Chunks have a bounded
-    cache; chunks that are not in it are cut into pre-tokens, which have a
-    second one, and the tokenizer sees each new pre-token once.  Where two
-    white space characters meet a cut, the text is encoded whole.
+    Where the file's merges stand in the order of their ids, as they do in such
+    vocabularies, the same ids come faster from a rank-based encoder over the
+    file's own vocabulary; otherwise the tokenizer itself does all.
     """
 
     def __init__(self, path: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pretokens = regex.compile(pattern).findall
-        self.chunks: dict[str, bytes] = {}
-        self.cache: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.opens = np.zeros(1 + max(vocabulary.values()), dtype=bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, need: list[str]) -> dict[str, bytes]:
-        """Ids of pre-tokens; words led by a space are encoded as one text, which only opens a token at each space."""
-        spaced = [p for p in need if p[0] == " " and p[1:].isalpha()]
-        out = {}
-        for at in range(0, len(spaced), 5000):
-            some = spaced[at : at + 5000]
-            ids = np.asarray(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, dtype="<u4")
-            begins = np.flatnonzero(self.opens[ids])
-            if len(begins) == len(some):
-                raw, cuts = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
-                out.update((p, raw[cuts[k] : cuts[k + 1]]) for k, p in enumerate(some))
-        rest = [p for p in need if p not in out]
-        out.update(zip(rest, self._whole(rest), strict=True))
-        return out
-
-    def _split(self, chunk: str) -> list[str] | tuple[str, ...]:
-        """The pre-tokens of a chunk, without the pattern where it is a word and perhaps a full stop or comma."""
-        if chunk[0] == " ":
-            if chunk[1:].isalpha():
-                return (chunk,)
-            if chunk[-1] in ",." and chunk[1:-1].isalpha():
-                return chunk[:-1], chunk[-1]
-        return self.pretokens(chunk)
-
-    def _chunks(self, need: set[str]) -> dict[str, bytes]:
-        pieces = [self._split(c) for c in need]
-        cache = self.cache
-        new = self._new([*{p for x in pieces for p in x if p not in cache}])
-        if len(cache) + len(new) <= CACHE_ENTRIES:
-            cache.update(new)
-        else:  # frequent pre-tokens came early; what comes now stays for this call only
-            cache = _Both(new, cache)
-        return {c: cache[x[0]] if len(x) == 1 else b"".join([cache[p] for p in x]) for c, x in zip(need, pieces, strict=True)}
+        with open(path, encoding="utf-8") as f:
+            content = json.load(f)
+        model, added = content["model"], {t["content"] for t in content.get("added_tokens", ())}
+        vocabulary, of = model["vocab"], _byte_alphabet()
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        made = [vocabulary[a + b] for a, b in pairs]
+        self.path, self.slow, self.fast = path, None, None
+        if all(a < b for a, b in zip(made, made[1:], strict=False)):
+            import tiktoken
+
+            ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items() if token not in added}
+            self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def _whole(self, text: str) -> bytes:
+        if self.slow is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
+            self.slow.encode_special_tokens = True
+        return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = self.chunks
-        parts = [text.replace(" ", "\0 ").split("\0") if text and "\0" not in text else None for text in texts]
-        found = [[*map(chunks.get, words)] if words else () for words in parts]
-        missing = [{w for w, ids in zip(words, own, strict=True) if ids is None} if None in own else () for words, own in zip(parts, found, strict=True)]
-        for k, some in enumerate(missing):
-            if any(_unsafe(w) for w in some) or parts[k] and parts[k][-1] == " ":
-                parts[k] = None
-        whole = iter(self._whole([text for text, words in zip(texts, parts, strict=True) if words is None]))
-        new = self._chunks(set().union(*(some for some, words in zip(missing, parts, strict=True) if words)))
-        if len(chunks) + len(new) <= CACHE_ENTRIES:
-            chunks.update(new)
+        fast = self.fast
         out = []
-        for words, own, some in zip(parts, found, missing, strict=True):
-            if words is None:
-                out.append(next(whole))
+        for text in texts:
+            if fast is None or len(text) >= LONG_RUN and re.search(r"\s{%d}" % LONG_RUN, text):
+                out.append(self._whole(text))
             else:
-                out.append(b"".join([new[w] if ids is None else ids for w, ids in zip(words, own, strict=True)] if some else own))
+                out.append(fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes())
         return out
 
 
-def _unsafe(chunk: str) -> bool:
-    """Whether white space meets the cut before or behind a chunk, so that cutting there may change the ids."""
-    return not chunk or chunk == " " or chunk[0] == " " and chunk[1].isspace() or chunk[-1].isspace()
-
-
-class _Both(dict):
-    """The entries of one call, and behind them a cache that is full."""
-
-    def __init__(self, new: dict, behind: dict):
-        super().__init__(new)
-        self.behind = behind
-
-    def __missing__(self, key):
-        return self.behind[key]
-
-
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder for each Python worker, so that its cache outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, pattern)
-    return _ENCODERS[path]
+    """One encoder for each Python worker; it holds its vocabulary and nothing of the texts."""
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS[path, pattern] = Encoder(path, pattern)
+    return _ENCODERS[path, pattern]
 
 
 def pack_block(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

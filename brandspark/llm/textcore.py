@@ -64,16 +64,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS = np.ones(1, dtype=np.uint64)
+class Powers:
+    """The first powers of a number; those beyond ``kept`` are worked out anew, so that workers hold no more."""
 
+    def __init__(self, base: np.uint64, kept: int = 1 << 16):
+        self.base = base
+        self.table = self._first(kept)
 
-def powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        p = np.full(max(n, 4096), MULTIPLIER, dtype=np.uint64)
-        p[0] = 1
-        _POWERS = np.multiply.accumulate(p)
-    return _POWERS[:n]
+    def _first(self, n: int) -> np.ndarray:
+        p = np.full(n, self.base, dtype=np.uint64)
+        p[:1] = 1
+        return np.multiply.accumulate(p)
+
+    def __call__(self, n: int) -> np.ndarray:
+        return self.table[:n] if n <= len(self.table) else self._first(n)
+
+
+powers = Powers(MULTIPLIER)
 
 
 def span_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray = BYTE_KEY) -> np.ndarray:

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -60,10 +61,26 @@ def test_encoder_equals_tokenizer_on_odd_text():
     rng = random.Random(1)
     parts = ["a", "bc", " ", "  ", "\n", "\t", "'s", "'ll", "1", "é", "　", "\xa0", "!", ",", ".", "\0", "日", "\x85", "\x1c", "​", "é"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [" " * 1_500_000 + "a", "\n" * 120_000, "ab" * 200_000, "x" + "\t " * 60_000 + "y"]
     encoder = Encoder(*default_tokenizer())
-    for at in range(0, len(texts), 100):
-        got = encoder.encode(texts[at : at + 100])
-        assert got == encoder._whole(texts[at : at + 100])
+    assert encoder.fast is not None and encoder.encode(texts) == [encoder._whole(t) for t in texts]
+
+
+def test_encoder_equals_tokenizer_on_every_character():
+    encoder = Encoder(*default_tokenizer())
+    for at in range(0, 0x110000, 0x1000):
+        text = "".join(f"a{chr(c)}b {chr(c)}{chr(c)}1 \n{chr(c)}. " for c in range(at, at + 0x1000) if not 0xD800 <= c < 0xE000)
+        assert encoder.encode([text]) == [encoder._whole(text)]
+
+
+def test_other_vocabularies_use_the_tokenizer_itself(tmp_path):
+    path, pattern = default_tokenizer()
+    with open(path, encoding="utf-8") as f:
+        content = json.load(f)
+    content["model"]["merges"] = content["model"]["merges"][1:] + content["model"]["merges"][:1]
+    (tmp_path / "other.json").write_text(json.dumps(content), encoding="utf-8")
+    encoder = Encoder(str(tmp_path / "other.json"), pattern)
+    assert encoder.fast is None and encoder.encode(["some text"]) == [encoder._whole("some text")]
 
 
 def test_cost_is_balanced():
