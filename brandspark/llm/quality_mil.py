@@ -5,11 +5,12 @@ class bigrams, hashed words, share of repeated eight-word windows, word length;
 one learned tanh layer), gated attention learned from document labels weighs
 the encodings, and a logistic layer scores the weighted sum.
 
-The model alone is fitted on a bounded sample: at most ``per_label`` documents of
-each label, and at most ``train_passages`` evenly spaced passages of each.
-Scoring reads every passage of every document in one pass without a shuffle.
+The model alone is fitted on a bounded sample of labelled rows: at most
+``per_label`` documents of each label, whole ones of at most ``longest`` passages
+(longer ones are not in the sample).  Scoring reads every passage of every document in one pass without a shuffle.
 
 Edge cases: a null or empty text is a bag of one empty passage and gets a score;
+of rows of one doc_id one is in the sample, a doc_id with both labels counts for each;
 repeated rows score alike; labels that are null or neither 0 nor 1 are not
 learned from; without labels every score is 0.5; extra columns are ignored; an
 empty table gives an empty result.
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import read
@@ -42,6 +43,8 @@ CLASSES = 7 + len(_SIGNS)
 PAIRS = 384
 _PAIR = (np.arange(CLASSES * CLASSES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % PAIRS
 WIDTH = PAIRS + WORD_BUCKETS + 3
+#: Steps of the training at least, also where a table has few documents.
+STEPS = 600
 
 
 def passages(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +116,8 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: in
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     names = ("encode", "bias", "gate_v", "gate_u", "attend", "out")
     state = {k: (np.zeros_like(getattr(m, k)), np.zeros_like(getattr(m, k))) for k in names}
-    step = 0
-    for epoch in range(epochs):
+    step, steps = 0, max(STEPS, epochs * -(-len(bags) // 64))
+    while step < steps:
         order = rng.permutation(len(bags))
         for at in range(0, len(order), 64):
             some = order[at : at + 64]
@@ -131,7 +134,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: in
             dh = (a[:, None] * dz + dv @ m.gate_v.T + du @ m.gate_u.T) * (1 - h * h)
             grads = (x.T @ dh + 1e-4 * m.encode, dh.sum(0), h.T @ dv, h.T @ du, vu.T @ de, g_out)
             step += 1
-            rate = 0.01 * (0.5 ** (epoch / 10)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            rate = 0.01 * 0.5 ** (2.5 * step / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for k, g in zip(names, grads, strict=True):
                 s1, s2 = state[k]
                 s1 += 0.1 * (g - s1)
@@ -144,26 +147,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1200, train_passages: int = 24) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1200, longest: int = 320) -> Model:
     """Learn from ``labels`` (doc_id, quality), never from rows that are held out."""
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = usable.select("doc_id", "quality").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label)
-    rows = chosen.select("doc_id", "quality").collect()
-    keys = docs.sparkSession.createDataFrame([(int(r[0]), int(r[1])) for r in rows], "doc_id long, quality int")
+    usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
+    some = lambda q: usable.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
+    rows = some(0).unionByName(some(1)).collect()
+    keys = docs.sparkSession.createDataFrame([tuple(r) for r in rows], "doc_id long, quality int")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             first, x = passages(*text_bytes(batch.column(2)))
-            bags = []
-            for k in range(batch.num_rows):
-                n = first[k + 1] - first[k]
-                at = first[k] + (np.arange(n) if n <= train_passages else np.linspace(0, n - 1, train_passages).astype(int))
-                bags.append(x[at].astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
-
-    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(keys), "doc_id").select("doc_id", "quality", "text")
-    got = sorted((r["doc_id"], r["quality"], bytes(r["bag"])) for r in texts.mapInArrow(encode, "doc_id long, quality int, bag binary").toLocalIterator())
+            use = np.flatnonzero(np.diff(first) <= longest)
+            bags = [x[first[k] : first[k + 1]].astype(np.float16).tobytes() for k in use]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(use)), batch.column(1).take(pa.array(use)), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(keys), "doc_id").select("doc_id", "quality", "text")
+    one = texts.mapInArrow(encode, "doc_id long, quality int, bag binary").groupBy("doc_id", "quality").agg(F.min("bag").alias("bag"))
+    got = sorted((r["doc_id"], r["quality"], bytes(r["bag"])) for r in one.toLocalIterator())
     bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, WIDTH) for _, _, b in got]
     return train(bags, np.array([q for _, q, _ in got], dtype=np.float32))
 
