@@ -15,7 +15,7 @@ its exact edit distance.  Only lines that can have a partner emit variants: one
 edit leaves one half of a line as it was, so lines whose half-keys are all
 their own have none.
 
-Shuffles carry a narrow row for each line; a bitmap of fixed size keeps the
+Shuffles carry a narrow row for each line; a bitmap keeps the
 texts of documents without such lines from being shuffled.  Equal lines are
 told by 64-bit hash, near lines by distance.
 
@@ -35,20 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import membership, read, saved, split
-from .textcore import MULTIPLIER, lines, mix, powers, slices, text_bytes, words
+from .textcore import MULTIPLIER, Powers, lines, mix, powers, slices, text_bytes, words
 
 MIN_CHARS = 20
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
-_INVERSES = np.ones(1, dtype=np.uint64)
-
-
-def _inverses(n: int) -> np.ndarray:
-    global _INVERSES
-    if len(_INVERSES) < n:
-        p = np.full(max(n, 4096), INVERSE, dtype=np.uint64)
-        p[0] = 1
-        _INVERSES = np.multiply.accumulate(p)
-    return _INVERSES[:n]
+_inverses = Powers(INVERSE)
 
 
 class Chars:
@@ -151,7 +142,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
     near = saved(keys.join(shared, "key").select("lid", "first").dropDuplicates(["lid"]))
 
     wanted = near.groupBy("first.dk").agg(F.collect_list(F.struct("lid", "first.doc_id", "first.line")).alias("wanted"))
-    texts = split(keyed.select("dk", "text"), "dk", membership(wanted, "dk")).dropDuplicates(["dk"])
+    texts = split(keyed.select("dk", "text"), "dk", membership(near.select("first.dk"), "dk")).dropDuplicates(["dk"])
     candidates = saved(
         wanted.join(texts, "dk").select("dk", "wanted", "text").mapInArrow(_candidate_lines, "lid long, doc_id long, line int, text string")
     )
@@ -190,16 +181,18 @@ def _document_key():
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents with their kept lines, and ``__removed``, how many went."""
+    """The documents with their kept lines, and ``__removed``, how many went; a column of that name gives way."""
     gone = saved(removed_lines(docs, min_chars, exact_chars))
     bits = membership(gone, "dk")
-    keyed = docs.withColumn("__dk", _document_key())
-    kept = F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains("removed", k))
-    touched = split(keyed, "__dk", bits).join(gone, F.col("__dk") == F.col("dk"), "left")
-    touched = touched.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    touched = touched.withColumn("__removed", F.coalesce(F.size("removed"), F.lit(0)))
-    rest = split(keyed, "__dk", bits, inside=False).withColumn("__removed", F.lit(0))
-    return touched.select(*docs.columns, "__removed").unionByName(rest.select(*docs.columns, "__removed"))
+    own = [c for c in docs.columns if c != "__removed"]
+    keyed = docs.select(_document_key(), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
+    kept = F.array_join(F.filter(F.split("row.text", "\n", -1), lambda x, k: ~F.array_contains("removed", k)), "\n")
+    touched = split(keyed, "dk", bits).join(gone, "dk", "left").select(
+        *[F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept).alias(c) if c == "text" else F.col(f"row.`{c}`") for c in own],
+        F.coalesce(F.size("removed"), F.lit(0)).alias("__removed"),
+    )
+    rest = split(keyed, "dk", bits, inside=False).select("row.*", F.lit(0).alias("__removed"))
+    return touched.unionByName(rest)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

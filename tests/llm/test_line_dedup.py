@@ -72,3 +72,11 @@ def test_edges(spark):
     docs = spark.createDataFrame([(1, "the same line in a repeated row")] * 2 + [(2, "the same line in a repeated row")], "doc_id long, text string")
     assert sorted(r.text for r in line_dedup(docs).collect()) == ["", *["the same line in a repeated row"] * 2]
     assert line_dedup(docs.limit(0)).count() == 0
+
+
+def test_columns_of_internal_names_stay(spark):
+    line = "the same line in two rows"
+    docs = spark.createDataFrame([(1, line, 3, [5], "x", 1), (2, line + "\nend", 4, None, "y", 2)], "doc_id long, text string, dk int, removed array<int>, `a.b` string, __removed int")
+    got = line_dedup(docs)
+    assert got.columns == ["doc_id", "text", "dk", "removed", "a.b", "__removed"]
+    assert sorted(map(tuple, got.collect())) == [(1, line, 3, [5], "x", 0), (2, "end", 4, None, "y", 1)]
