@@ -237,22 +237,27 @@ def _search(bound: Fraction, width: int):
 
 
 def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) -> DataFrame:
-    """The links (x, y) inside groups; ``members`` is (group, node, component, n, asks).
+    """The links (x, y) inside groups; ``members`` is (group, anchor, node, component, n, asks).
 
     Members that ask are queries, the group's lists are of all members.  Small
-    groups share a cell; a group of more than CELL shingles has a grid of cells,
-    so that each has a bounded part of the lists and of the queries.
+    groups share a cell, those of one anchor, which mostly have the same
+    members, the same few; a group of more than CELL shingles has a grid of
+    cells, so that each has a bounded part of the lists and of the queries.
     """
-    size = members.groupBy("group").agg(F.sum("n").alias("w"), F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)).alias("v"))
-    total = size.agg(F.sum(F.when(F.col("w") <= CELL, F.col("w")))).first()[0] or 0
-    size = size.select("group", F.ceil(F.col("w") / CELL).alias("parts"), F.greatest(F.ceil(F.col("v") / CELL), F.lit(1)).alias("turns"))
+    size = members.groupBy("anchor", "group").agg(F.sum("n").alias("w"), F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)).alias("v"))
+    size = size.withColumns({"parts": F.ceil(F.col("w") / CELL), "turns": F.greatest(F.ceil(F.col("v") / CELL), F.lit(1))})
+    size = size.withColumn("w", F.when(F.col("parts") * F.col("turns") == 1, F.col("w")).otherwise(0))
+    anchors = saved(size.groupBy("anchor").agg(F.sum("w").alias("w")))
+    total = anchors.agg(F.sum("w")).first()[0] or 0
+    anchors = anchors.select("anchor", F.greatest(F.ceil(F.col("w") / (4 * CELL)), F.lit(1)).alias("shares"))
+    size = size.join(anchors, "anchor").select("group", "parts", "turns", F.xxhash64("anchor", F.pmod(F.xxhash64("group"), "shares")).alias("shared"))
     dealt = members.join(size, "group")
     own, turn = F.pmod(F.xxhash64("node"), "parts"), F.pmod(F.xxhash64("node", F.lit(1)), "turns")
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     listed = dealt.select("*", F.lit(True).alias("listed"), F.lit(False).alias("query"), own.alias("part"), spread("turns").alias("turn"))
     asking = dealt.filter("asks").select("*", F.lit(False).alias("listed"), F.lit(True).alias("query"), turn.alias("turn"), spread("parts").alias("part"))
     cells = listed.unionByName(asking)
-    shared = F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CELL))))
+    shared = F.pmod("shared", F.lit(max(1, -(-total // CELL))))
     cell = F.when(F.col("parts") * F.col("turns") == 1, shared).otherwise(F.xxhash64("group", "part", "turn"))
     cells = cells.groupBy(cell.alias("cell"), "node", "component").agg(F.max("query").alias("asks"), F.max("listed").alias("listed"))
     cells = saved(cells)
@@ -297,8 +302,8 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
             pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m", "low").agg(F.count("*").alias("shared")).filter("shared > low")
             best = pairs.groupBy("node").agg(F.max(F.struct("shared", "hub", "c", "m", "component", "n")).alias("p")).select("node", "p.*")
             best = saved(best)
-            groups = best.select(F.col("hub").alias("group"), "node", "component", "n", F.lit(False).alias("asks"))
-            groups = groups.unionByName(best.select(F.col("hub").alias("group"), F.col("hub").alias("node"), F.col("c").alias("component"), F.col("m").alias("n"), F.lit(True).alias("asks")).distinct())
+            groups = best.select(F.col("hub").alias("group"), F.col("hub").alias("anchor"), "node", "component", "n", F.lit(False).alias("asks"))
+            groups = groups.unionByName(best.select(F.col("hub").alias("group"), F.col("hub").alias("anchor"), F.col("hub").alias("node"), F.col("c").alias("component"), F.col("m").alias("n"), F.lit(True).alias("asks")).distinct())
         else:
             # of lists with the same members one is enough; the largest component of a list need not ask
             same = member.groupBy("token").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.count("*").alias("k"))
@@ -306,7 +311,7 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
             weight = member.groupBy("token", "component").agg(F.sum("n").alias("w"))
             largest = weight.groupBy("token").agg(F.max(F.struct("w", "component"))["component"].alias("c"))
             groups = member.join(same, "token").join(largest, "token")
-            groups = groups.select(F.col("token").alias("group"), "node", "component", "n", (F.col("component") != F.col("c")).alias("asks"))
+            groups = groups.select(F.col("token").alias("group"), F.col("c").alias("anchor"), "node", "component", "n", (F.col("component") != F.col("c")).alias("asks"))
         found = saved(search(groups, texts, bound, width))
         links = found if links is None else links.unionByName(found)
         of = saved(components(links, "x", "y") if turn == hubs else components(links, "x", "y", rounds=1, settle=False))
