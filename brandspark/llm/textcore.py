@@ -28,7 +28,7 @@ LOWER = np.arange(256)
 LOWER[65:91] += 32
 BYTE_KEY_LOWER = BYTE_KEY[LOWER]
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
