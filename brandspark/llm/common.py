@@ -53,7 +53,6 @@ def components(edges: DataFrame, src: str, dst: str, rounds: int = 60, settle: b
     connected nodes are of one component yet.
     """
     links = saved(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u <> v").distinct())
-    nodes = links.select(F.col("u").alias("node")).union(links.select("v")).distinct()
     before = None
     for _ in range(rounds):
         # large star: neighbours above a node link to its least neighbour
@@ -78,8 +77,8 @@ def components(edges: DataFrame, src: str, dst: str, rounds: int = 60, settle: b
     else:
         if settle:
             raise RuntimeError("components did not settle")
-        links = links.groupBy("u").agg(F.min("v").alias("v"))
-    return nodes.join(links, nodes.node == links.u, "left").select("node", F.coalesce("v", "node").alias("component"))
+    ends = links.select(F.col("u").alias("node"), "v").union(links.select("v", "v"))  # roots are their own
+    return ends.groupBy("node").agg(F.min("v").alias("component"))
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import membership, read, saved, split
+from .common import membership, read, saved, split, stored
 from .textcore import MULTIPLIER, Powers, lines, mix, powers, slices, text_bytes, words
 
 MIN_CHARS = 20
@@ -132,7 +132,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
     """(dk, removed): the numbers of the lines that go, for each document with any; dk is the hash of doc_id and text."""
     keyed = docs.select(F.col("doc_id").cast("long"), _document_key(), F.col("text").cast("string"))
-    rows = saved(
+    rows = stored(
         keyed.mapInArrow(_line_rows(min_chars, exact_chars), "doc_id long, dk long, line int, lid long, k1 long, k2 long, k3 long, k4 long")
     )
     place = F.struct("doc_id", "line", "dk")
@@ -143,7 +143,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
 
     wanted = near.groupBy("first.dk").agg(F.collect_list(F.struct("lid", "first.doc_id", "first.line")).alias("wanted"))
     texts = split(keyed.select("dk", "text"), "dk", membership(near.select("first.dk"), "dk")).dropDuplicates(["dk"])
-    candidates = saved(
+    candidates = stored(
         wanted.join(texts, "dk").select("dk", "wanted", "text").mapInArrow(_candidate_lines, "lid long, doc_id long, line int, text string")
     )
     keyed_variants = candidates.mapInArrow(_variants, "key long, kind byte, lid long, doc_id long, line int")

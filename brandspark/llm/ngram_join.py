@@ -47,7 +47,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, membership, saved, split, stored
@@ -133,9 +133,8 @@ def _postings(width: int, bound: Fraction, hashes: np.ndarray, levels: np.ndarra
                 if len(hashes) and len(key):
                     at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
                     level = np.where(hashes[at] == key, levels[at], 0)
-                score = np.bincount(row, level, minlength=len(n)) / np.maximum(n, 1)
+                score = np.bincount(row, level, minlength=len(n)) // np.maximum(n, 1)
                 p, k = posted_shingles(n, bound)
-                _, lowest = posted_shingles(least_overlap(n, bound), bound)  # of the least set it links with
                 length = np.where(n > 0, p + k, 0)
                 ends = np.cumsum(length)
                 pick = np.arange(int(ends[-1])) - np.repeat(ends - length, length) + np.repeat(first[:-1], length)
@@ -143,8 +142,8 @@ def _postings(width: int, bound: Fraction, hashes: np.ndarray, levels: np.ndarra
                 tokens = key[np.lexsort((level, row))][pick]
                 tokens = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), tokens.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(n), pa.array(sig.view(np.int64)), pa.array(score.astype(np.float32)), pa.array(k), pa.array(lowest), tokens],
-                    names=["key", "doc_id", "n_shingles", "sig", "score", "k", "lowest", "tokens"],
+                    [batch.column(0), batch.column(2), pa.array(n), pa.array(sig.view(np.int64)), pa.array(score.astype(np.int32)), tokens],
+                    names=["key", "doc_id", "n_shingles", "sig", "score", "tokens"],
                 )
 
     return run
@@ -247,8 +246,9 @@ def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) ->
     size = members.groupBy("anchor", "group").agg(F.sum("n").alias("w"), F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)).alias("v"))
     size = size.withColumns({"parts": F.ceil(F.col("w") / CELL), "turns": F.greatest(F.ceil(F.col("v") / CELL), F.lit(1))})
     size = size.withColumn("w", F.when(F.col("parts") * F.col("turns") == 1, F.col("w")).otherwise(0))
-    anchors = saved(size.groupBy("anchor").agg(F.sum("w").alias("w")))
-    total = anchors.agg(F.sum("w")).first()[0] or 0
+    size = saved(size)
+    anchors = size.groupBy("anchor").agg(F.sum("w").alias("w"))
+    total = size.agg(F.sum("w")).first()[0] or 0
     anchors = anchors.select("anchor", F.greatest(F.ceil(F.col("w") / (4 * CELL)), F.lit(1)).alias("shares"))
     size = size.join(anchors, "anchor").select("group", "parts", "turns", F.xxhash64("anchor", F.pmod(F.xxhash64("group"), "shares")).alias("shared"))
     dealt = members.join(size, "group")
@@ -261,7 +261,7 @@ def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) ->
     cell = F.when(F.col("parts") * F.col("turns") == 1, shared).otherwise(F.xxhash64("group", "part", "turn"))
     cells = cells.groupBy(cell.alias("cell"), "node", "component").agg(F.max("query").alias("asks"), F.max("listed").alias("listed"))
     cells = saved(cells)
-    wanted = split(texts, "node", membership(cells.select("node").distinct(), "node")).dropDuplicates(["node"])
+    wanted = split(texts, "node", membership(cells.select("node"), "node")).dropDuplicates(["node"])
     return cells.join(wanted, "node").groupBy("cell").applyInArrow(_search(bound, width), "x long, y long")
 
 
@@ -271,7 +271,7 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     narrow = narrow.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
     texts = narrow.select(F.col("key").alias("node"), "text")
     hashes, levels = frequent(narrow, width, heavy)
-    schema = "key long, doc_id long, n_shingles long, sig long, score float, k long, lowest long, tokens array<long>"
+    schema = "key long, doc_id long, n_shingles long, sig long, score int, tokens array<long>"
     rows = stored(narrow.mapInArrow(_postings(width, bound, hashes, levels), schema))
     filled = rows.filter("n_shingles > 0")
     # equal sets are one node, named by the key of one of their rows
@@ -281,25 +281,24 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
 
     num, den = bound.numerator, bound.numerator + bound.denominator
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    about = ["node", "n", "score", "k", "lowest"]
-    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "score", "k", "lowest", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
-    posted = sets.select(*about, F.posexplode("tokens").alias("place", "token"))
-    posted = posted.select(*about, "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
-    lists = stored(_often(_alive(posted.withColumn("component", F.col("node")), num, den)).drop("component"))
+    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").cast("int").alias("n"), "score", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
+    posted = sets.select("node", "n", "score", F.posexplode("tokens").alias("place", "token"))
+    posted = posted.select("node", "n", "score", "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
+    lists = stored(_often(_alive(posted.withColumn("component", F.col("node")), bound), bound).drop("component"))
 
     links = None
     for turn in range(hubs + 1):
         member = lists.withColumn("component", F.col("node")) if of is None else lists.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn:
-            member = _alive(_often(_alive(_often(_alive(member, num, den)), num, den)), num, den)
-            member = saved(member if turn < hubs else _alive(member, num, den, strict=True))
+            member = _often(_alive(member, bound), bound)
+            member = saved(member if turn < hubs else _alive(member, bound, strict=True))
         if turn < hubs:
-            order = F.struct(F.lit(0) if turn else -F.col("score"), F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n", "rest", "k", "lowest")
+            order = F.struct(F.lit(0) if turn else -F.col("score"), F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), "component", "node", "n", "rest")
             hub = member.groupBy("token").agg(F.min(order).alias("h"))
-            hub = hub.select("token", F.col("h.node").alias("hub"), F.col("h.component").alias("c"), F.col("h.n").alias("m"), F.col("h.rest").alias("far"), F.col("h.lowest").alias("low"), F.col("h.k").alias("j"))
-            pairs = member.join(hub, "token").withColumns({"low": F.greatest("lowest", "low"), "j": F.least("k", "j")})
-            pairs = pairs.filter("component <> c").filter(f"(least(rest, far) + j) * {den} >= (n + m) * {num}")
-            pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m", "low").agg(F.count("*").alias("shared")).filter("shared > low")
+            hub = hub.select("token", F.col("h.node").alias("hub"), F.col("h.component").alias("c"), F.col("h.n").alias("m"), F.col("h.rest").alias("far"))
+            k = _posted_sql(F.least("n", "m"), bound)
+            pairs = member.join(hub, "token").filter("component <> c").filter((F.least("rest", "far") + k) * den >= (F.col("n").cast("long") + F.col("m")) * num)
+            pairs = pairs.groupBy("node", "component", "n", "hub", "c", "m").agg(F.count("*").alias("shared")).filter(F.col("shared") > k)
             best = pairs.groupBy("node").agg(F.max(F.struct("shared", "hub", "c", "m", "component", "n")).alias("p")).select("node", "p.*")
             best = saved(best)
             groups = best.select(F.col("hub").alias("group"), F.col("hub").alias("anchor"), "node", "component", "n", F.lit(False).alias("asks"))
@@ -312,7 +311,7 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
             largest = weight.groupBy("token").agg(F.max(F.struct("w", "component"))["component"].alias("c"))
             groups = member.join(same, "token").join(largest, "token")
             groups = groups.select(F.col("token").alias("group"), F.col("c").alias("anchor"), "node", "component", "n", (F.col("component") != F.col("c")).alias("asks"))
-        found = saved(search(groups, texts, bound, width))
+        found = saved(search(saved(groups), texts, bound, width))
         links = found if links is None else links.unionByName(found)
         of = saved(components(links, "x", "y") if turn == hubs else components(links, "x", "y", rounds=1, settle=False))
 
@@ -327,20 +326,31 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     )
 
 
-def _alive(lists: DataFrame, num: int, den: int, strict: bool = False) -> DataFrame:
+def _posted_sql(n: Column, bound: Fraction) -> Column:
+    """The k of ``posted_shingles``."""
+    n = n.cast("long")
+    rest = (n * bound.numerator + (bound.denominator - 1)) / bound.denominator
+    least = F.greatest(F.floor(rest), F.lit(1))
+    p = n - least + 1
+    return F.least(F.floor(p / 3), n - p)
+
+
+def _alive(lists: DataFrame, bound: Fraction, strict: bool = False) -> DataFrame:
     """Postings of lists with two components or more that can reach the overlap with the smallest set of their list.
 
     Up to k shingles that a pair shares may stand before them; before the first one, which is ``strict``, none.
     """
+    num, den = bound.numerator, bound.numerator + bound.denominator
     seen = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.min("n").alias("m"))
-    before = 0 if strict else F.col("k")
-    reach = (F.col("rest") + before) * den >= (F.col("n") + F.col("m")) * num
+    before = F.lit(0) if strict else _posted_sql(F.col("n"), bound)
+    reach = (F.col("rest").cast("long") + before) * den >= (F.col("n").cast("long") + F.col("m")) * num
     return lists.join(seen.filter("a <> z").select("token", "m"), "token").filter(reach).drop("m")
 
 
-def _often(lists: DataFrame) -> DataFrame:
-    """Postings of sets that are in more lists than ``lowest``, the k of the smallest set they may link with."""
-    return lists.withColumn("c", F.count("*").over(Window.partitionBy("node"))).filter("c > lowest").drop("c")
+def _often(lists: DataFrame, bound: Fraction) -> DataFrame:
+    """Postings of sets that are in more lists than the k of the smallest set they may link with."""
+    least = F.floor((F.col("n").cast("long") * bound.numerator + (bound.denominator - 1)) / bound.denominator)
+    return lists.withColumn("c", F.count("*").over(Window.partitionBy("node"))).filter(F.col("c") > _posted_sql(least, bound)).drop("c")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
