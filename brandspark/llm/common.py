@@ -17,14 +17,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Ask the session for Arrow batches of at most ``rows`` rows, as they hold whole texts in Python and in the JVM."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for what jobs leave for each other: ``spark.checkpoint.dir`` of the session.
 
     Where it is unset, a local session, as in tests, gets a temporary one; a cluster has to name one.
     """
+    short_batches(spark)
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:

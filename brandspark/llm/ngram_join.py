@@ -281,7 +281,9 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
 
     num, den = bound.numerator, bound.numerator + bound.denominator
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").cast("int").alias("n"), "score", "tokens").join(named.select("node"), "node").dropDuplicates(["node"])
+    sets = filled.select(F.col("key").alias("node"), F.col("n_shingles").cast("int").alias("n"), "sig", "score", "tokens")
+    several = membership(named.filter("rows > 1").select("sig"), "sig")  # only equal sets need the join
+    sets = split(sets, "sig", several, inside=False).unionByName(split(sets, "sig", several).join(named.select("node"), "node").dropDuplicates(["node"]))
     posted = sets.select("node", "n", "score", F.posexplode("tokens").alias("place", "token"))
     posted = posted.select("node", "n", "score", "token", (F.col("n") - F.col("place")).alias("rest")).repartition(parts, "token")
     lists = stored(_often(_alive(posted.withColumn("component", F.col("node")), bound), bound).drop("component"))
