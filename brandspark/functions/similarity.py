@@ -35,13 +35,18 @@ def match_score(query: Column, candidate: Column) -> Column:
     return token_score(meaningful_tokens(query), meaningful_tokens(candidate))
 
 
-def word_boundary_pattern(c: Column) -> Column:
-    """A pattern of the first three meaningful words, each bounded by word edges; null without any."""
+def pattern_words(c: Column) -> Column:
+    """The first three meaningful words, without the signs at their ends; empty without any."""
     long = F.filter(words(c), lambda w: F.length(w) > 1)
     stop = F.array(*[F.lit(x) for x in PATTERN_STOP])
     own = F.filter(long, lambda w: ~F.array_contains(stop, _bare(F.lower(w))))
-    chosen = F.slice(F.when(F.size(own) > 0, own).otherwise(long), 1, 3)
-    quote = lambda w: F.concat(F.lit(r"\Q"), F.replace(_bare(w), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    return F.transform(F.slice(F.when(F.size(own) > 0, own).otherwise(long), 1, 3), _bare)
+
+
+def word_boundary_pattern(c: Column) -> Column:
+    """A pattern of the first three meaningful words, each bounded by word edges; null without any."""
+    chosen = pattern_words(c)
+    quote = lambda w: F.concat(F.lit(r"\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     edge = F.transform(chosen, lambda w: F.concat(F.lit(r"(?<!\w)(?=\w)"), quote(w), F.lit(r"(?<=\w)(?!\w)")))
     return F.when(F.size(chosen) > 0, F.concat(F.lit("(?isU)"), F.array_join(edge, ".*")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -10,9 +11,15 @@ from pyspark.sql import DataFrame
 def settled(df: DataFrame) -> DataFrame:
     """Write ``df`` as a reliable checkpoint, so that plans built on it stay small and lost executors cost little.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in tests, one is made.
+    The folder is the session's ``spark.checkpoint.dir``.  Where it is unset, a
+    local session, as in tests, gets a temporary one; a cluster has to name one.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import inner_trigrams, jaccard, meaningful_tokens, token_score, trigrams, word_boundary_pattern
+from ..functions.similarity import inner_trigrams, jaccard, match_score, meaningful_tokens, pattern_words, token_score, trigrams, word_boundary_pattern
 from ..functions.text import clean_name, flip_person_name, has_letter, words
 from .keys import cap_per_key
 from .lineage import settled
@@ -50,18 +50,26 @@ def token_candidates(names: DataFrame, owners: DataFrame, least: float = LEAST_S
     return scored.filter(F.col("score") >= least).select("name", "owner_name", "score")
 
 
+def _rarest_in_common(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(key, text) of all texts that hold the rarest gram of a key; a key with a gram that no text holds meets none."""
+    held = held.join(asked.select("g").distinct(), "g", "left_semi")
+    counts = held.groupBy("g").agg(F.count("*").alias("__n"))
+    return _rarest(asked, "key", "g", counts, F.lit(1)).join(held, "g").select("key", "text")
+
+
 def contains_candidates(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, text) of all texts that contain every piece of a pattern (key, pieces), any case.
 
     A text that contains a piece has all its trigrams: patterns meet texts on their rarest one.
     Patterns without a piece of three characters are few and short; they meet texts on their rarest character.
+    Texts are taken apart for grams that a pattern has.
     """
-    grams = texts.select("text", F.explode(F.array_union(inner_trigrams(F.col("text")), F.array_distinct(F.split(F.lower("text"), "")))).alias("g"))
-    counts = grams.groupBy("g").agg(F.count("*").alias("__n"))
     own = F.flatten(F.transform("pieces", lambda p: inner_trigrams(p)))
     chars = F.filter(F.split(F.lower(F.array_join("pieces", "")), ""), lambda c: c != "")
-    rows = patterns.select("key", F.explode(F.array_distinct(F.when(F.size(own) > 0, own).otherwise(chars))).alias("g"))
-    pairs = _rarest(rows, "key", "g", counts, F.lit(1)).join(grams, "g").select("key", "text").distinct().join(patterns, "key")
+    meet = lambda some, asked, held: _rarest_in_common(some.select("key", F.explode(F.array_distinct(asked)).alias("g")), texts.select("text", F.explode(held).alias("g")))
+    by_gram = meet(patterns.filter(F.size(own) > 0), own, inner_trigrams(F.col("text")))
+    by_char = meet(patterns.filter(F.size(own) == 0), chars, F.array_distinct(F.split(F.lower("text"), "")))
+    pairs = by_gram.unionByName(by_char).distinct().join(patterns, "key")
     # each piece is looked for behind the first place of the one before it
     rest = F.aggregate(
         "pieces",
@@ -75,7 +83,12 @@ def match_owners(names: DataFrame, marks: DataFrame, cap: int | None = CAP, leas
     """Path A: (name) -> rows of ROW with match_type; exact: the owner contains the name; else fuzzy: its words; else miss."""
     names = names.select("name").filter("name <> ''").distinct()
     owners = marks.select("owner_name").filter("owner_name IS NOT NULL").distinct()
-    pairs = token_candidates(names, owners, least)
+    # both ways the owner holds the pattern's words in their order; names without such words meet owners on their tokens
+    asked = names.select("name", pattern_words(F.col("name")).alias("pieces"))
+    wordy = contains_candidates(asked.filter(F.size("pieces") > 0).withColumnRenamed("name", "key"), owners.withColumnRenamed("owner_name", "text"))
+    score = match_score(F.col("name"), F.col("owner_name"))
+    pairs = wordy.select(F.col("key").alias("name"), F.col("text").alias("owner_name")).withColumn("score", score).filter(F.col("score") >= least)
+    pairs = settled(pairs.unionByName(token_candidates(asked.filter(F.size("pieces") == 0).select("name"), owners, least)))
     exact = pairs.filter(F.lower("owner_name").contains(F.lower("name"))).withColumn("match_type", F.lit("exact"))
     left = pairs.join(exact.select("name").distinct(), "name", "left_anti")
     fuzzy = left.withColumn("pattern", word_boundary_pattern(F.col("name"))).filter(F.expr("owner_name RLIKE pattern")).drop("pattern")
@@ -148,7 +161,7 @@ def retry_owners(names: DataFrame, marks: DataFrame, accept: float = 0.4, most:
     left = settled(left.join(second.select("name").distinct(), "name", "left_anti").filter(F.length("cleaned") >= 5))
     near = similar_names(left.select(F.col("name").alias("query")), owners.select(F.col("owner_name").alias("name")))
     best = near.groupBy("query").agg(F.max("sim").alias("best")).filter(F.col("best") >= accept)
-    third = near.join(best, "query").select(F.col("query").alias("name"), F.col("name").alias("owner_name"), F.col("sim").alias("rank"), F.lit("similarity").alias("strategy"))
+    third = near.join(best, "query").select(F.col("query").alias("name"), F.col("name").alias("owner_name"), F.col("sim").alias("rank"), F.lit("trgm").alias("strategy"))
     found = first.unionByName(second).unionByName(third)
     top = cap_per_key(found, ["name"], [F.col("rank").desc(), F.col("owner_name")], most)
     listed = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("rank")).alias("r"), "owner_name"))), lambda x: x["owner_name"])
@@ -156,7 +169,8 @@ def retry_owners(names: DataFrame, marks: DataFrame, accept: float = 0.4, most:
 
 
 def retry_brands(names: DataFrame, marks: DataFrame, most: int = 3) -> DataFrame:
-    """(name, companies): owners of marks that equal the brand."""
-    found = names.select("name").distinct().join(marks.select("mark_identification", "owner_name").distinct(), F.upper("name") == F.upper("mark_identification"))
+    """(name, companies): owners of marks that equal the brand, whose signs count as spaces."""
+    cleaned = names.select("name").distinct().withColumn("brand", F.upper(clean_name(F.col("name"))))
+    found = cleaned.join(marks.select(F.upper("mark_identification").alias("brand"), "owner_name").distinct(), "brand")
     found = found.filter("owner_name IS NOT NULL").select("name", "owner_name").distinct()
     return found.groupBy("name").agg(F.slice(F.array_sort(F.collect_set("owner_name")), 1, most).alias("companies"))

@@ -65,10 +65,19 @@ def _suits(matched: DataFrame, cases: DataFrame) -> DataFrame:
     return matched.join(cases.select("case_number", "nature_of_suit"), "case_number", "left").withColumn("suit", suit)
 
 
-def quality_by_suit(matched: DataFrame, cases: DataFrame, qualities: tuple[str, ...] = ("exact", "a_preferred", "a_only", "b_only", "b_uncertain", "not_found")) -> DataFrame:
-    """Suit type by quality, with the total of each row."""
-    table = _suits(matched, cases).groupBy("suit").pivot("match_quality", list(qualities)).count().na.fill(0)
-    return table.withColumn("total", sum((F.col(q) for q in qualities), F.lit(0))).orderBy(F.desc("total"), "suit")
+QUALITIES = ("exact", "a_preferred", "a_only", "b_only", "b_uncertain", "not_found")
+
+
+def quality_by_suit(matched: DataFrame, cases: DataFrame, qualities: tuple[str, ...] = QUALITIES) -> DataFrame:
+    """Suit type by quality, with the total of each row; qualities beyond the given ones follow, sorted.
+
+    A null quality counts in the total only.
+    """
+    found = matched.select("match_quality").filter("match_quality IS NOT NULL").distinct()
+    more = sorted(r[0] for r in found.filter(~F.col("match_quality").isin(*qualities)).collect())
+    column = lambda q: F.count_if(F.col("match_quality") == q).alias(q)
+    table = _suits(matched, cases).groupBy("suit").agg(*[column(q) for q in (*qualities, *more)], F.count("*").alias("total"))
+    return table.orderBy(F.desc("total"), "suit")
 
 
 def match_rate_by_suit(matched: DataFrame, cases: DataFrame) -> DataFrame:

@@ -11,11 +11,14 @@ LEAST_SCORE = 0.3
 MANY_OWNERS = 5
 
 
+def _hits(path: DataFrame) -> DataFrame:
+    return path.filter("match_type <> 'miss' AND owner_name IS NOT NULL").select("name", "owner_name").distinct()
+
+
 def case_candidates(cases: DataFrame, path_a: DataFrame, path_b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(case_number, owner_name) of path A and of path B; paths are (name, owner_name)."""
-    hits = lambda p: p.filter("match_type <> 'miss' AND owner_name IS NOT NULL").select("name", "owner_name").distinct()
-    a = cases.filter("plaintiff_clean <> ''").join(hits(path_a), F.col("plaintiff_clean") == F.col("name")).select("case_number", "owner_name")
-    b = cases.filter("brand_clean <> '' AND NOT brand_eq_plaintiff").join(hits(path_b), F.col("brand_clean") == F.col("name")).select("case_number", "owner_name")
+    a = cases.filter("plaintiff_clean <> ''").join(_hits(path_a), F.col("plaintiff_clean") == F.col("name")).select("case_number", "owner_name")
+    b = cases.filter("brand_clean <> '' AND NOT brand_eq_plaintiff").join(_hits(path_b), F.col("brand_clean") == F.col("name")).select("case_number", "owner_name")
     return a.distinct(), b.distinct()
 
 
@@ -25,23 +28,37 @@ def overlap(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def resolve_companies(cases: DataFrame, path_a: DataFrame, path_b: DataFrame, mode: str = "v2") -> DataFrame:
-    """(case_number, plaintiff_clean, brand_clean, real_company, match_quality, needs_review, review_reason)."""
-    a, b = case_candidates(cases, path_a, path_b)
-    who = cases.select("case_number", "plaintiff_clean")
-    score = F.round(match_score(F.col("plaintiff_clean"), F.col("owner_name")), 12)
-    best = lambda df, name: (
-        df.join(who, "case_number")
-        .groupBy("case_number")
-        .agg(F.min(F.struct((-score).alias("s"), "owner_name")).alias(name), F.count("*").alias(f"{name}_n"), F.min("owner_name").alias(f"{name}_first"))
-    )
-    joined = cases.join(best(a, "a"), "case_number", "left").join(best(b, "b"), "case_number", "left").join(best(overlap(a, b), "ab"), "case_number", "left")
+    """(case_number, plaintiff_clean, brand_clean, real_company, match_quality, needs_review, review_reason).
+
+    Owners are scored, counted and compared for each name and each pair of
+    names; cases only look up what their names have come to.
+    """
+    a, b = _hits(path_a), _hits(path_b)
+    score = F.round(match_score(F.col("plaintiff"), F.col("owner_name")), 12)
+    first = lambda df, name, *key: df.groupBy(*key).agg(F.min(F.struct((-F.col("score")).alias("s"), "owner_name")).alias(name), F.count("*").alias(f"{name}_n"))
+    scored = a.withColumnRenamed("name", "plaintiff").withColumn("score", score)
+    best_a = first(scored, "a", "plaintiff")
+    best_b = b.groupBy(F.col("name").alias("brand")).agg(F.count("*").alias("b_n"), F.min("owner_name").alias("b_first"))
+    both = (F.col("plaintiff_clean") != "") & (F.col("brand_clean") != "") & ~F.col("brand_eq_plaintiff")
+    pairs = cases.filter(both).select(F.col("plaintiff_clean").alias("plaintiff"), F.col("brand_clean").alias("brand")).distinct()
+    shared = scored.join(b.withColumnRenamed("name", "brand"), "owner_name").join(pairs, ["plaintiff", "brand"], "left_semi")
+    best_ab = first(shared, "ab", "plaintiff", "brand")
+    joined = cases.withColumn("ka", F.when(F.col("plaintiff_clean") != "", F.col("plaintiff_clean")))
+    joined = joined.withColumn("kb", F.when((F.col("brand_clean") != "") & ~F.col("brand_eq_plaintiff"), F.col("brand_clean")))
+    joined = joined.join(best_a, F.col("ka") == F.col("plaintiff"), "left").drop("plaintiff").join(best_b, F.col("kb") == F.col("brand"), "left").drop("brand")
+    joined = joined.join(best_ab, (F.col("ka") == F.col("plaintiff")) & (F.col("kb") == F.col("brand")), "left").drop("plaintiff", "brand")
+    if mode == "v1":  # where the plaintiff has no owner, those of the brand are scored by the plaintiff's name
+        alone = cases.filter("brand_clean <> '' AND NOT brand_eq_plaintiff").select(F.coalesce("plaintiff_clean", F.lit("")).alias("plaintiff"), F.col("brand_clean").alias("brand")).distinct()
+        alone = alone.join(best_a.select("plaintiff"), "plaintiff", "left_anti").join(b.withColumnRenamed("name", "brand"), "brand").withColumn("score", score)
+        best = alone.groupBy("plaintiff", "brand").agg(F.min(F.struct((-F.col("score")).alias("s"), "owner_name")).alias("b"))
+        joined = joined.join(best, (F.coalesce("plaintiff_clean", F.lit("")) == F.col("plaintiff")) & (F.col("kb") == F.col("brand")), "left").drop("plaintiff", "brand")
     n = F.coalesce("b_n", F.lit(0))
-    sa, sb = -F.col("a.s"), -F.col("b.s")
+    sa = -F.col("a.s")
     case = F.when(F.col("ab_n") > 0, "exact").when(F.col("a_n").isNotNull() & (n > 0), "a_preferred").when(F.col("a_n").isNotNull(), "a_only")
     if mode == "v1":
         quality = case.when(n > 0, "b_only").otherwise("not_found")
         b_company, b_review = F.col("b.owner_name"), n > 1
-        b_reason = F.concat(F.lit("multiple_b_owners: "), n, F.lit(", best_score="), F.format_string("%.3f", sb))
+        b_reason = F.concat(F.lit("multiple_b_owners: "), n, F.lit(", best_score="), F.format_string("%.3f", -F.col("b.s")))
     else:
         quality = case.when((n > 0) & (n <= MANY_OWNERS), "b_only").when(n > MANY_OWNERS, "b_uncertain").otherwise("not_found")
         b_company, b_review = F.col("b_first"), n > MANY_OWNERS

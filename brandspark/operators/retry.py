@@ -11,13 +11,13 @@ from .matching import retry_brands, retry_owners
 
 
 def retry_not_found(matched: DataFrame, cases: DataFrame, marks: DataFrame) -> DataFrame:
-    """(case_number, strategy, companies): by plaintiff, else by brand; by brand alone where there is no plaintiff."""
+    """(case_number, strategy, source, companies): by plaintiff (a), else by brand (b); by brand where there is no plaintiff."""
     lost = matched.filter("match_quality = 'not_found'").select("case_number").join(cases, "case_number")
     named = lost.filter(known_plaintiff(F.col("plaintiff_clean")))
     by_name = named.join(retry_owners(named.select(F.col("plaintiff_clean").alias("name")), marks), F.col("plaintiff_clean") == F.col("name"))
-    by_name = settled(by_name.select("case_number", "strategy", "companies"))
-    left = named.join(by_name.select("case_number"), "case_number", "left_anti").withColumn("strategy", F.lit("brand"))
-    bare = lost.filter("coalesce(plaintiff_clean, '') = ''").withColumn("strategy", F.lit("brand_only"))
+    by_name = settled(by_name.select("case_number", "strategy", F.lit("a").alias("source"), "companies"))
+    left = named.join(by_name.select("case_number"), "case_number", "left_anti")
+    bare = lost.filter("coalesce(plaintiff_clean, '') = ''")
     asked = left.unionByName(bare).filter(latin_brand(F.col("brand_clean")))
     by_brand = asked.join(retry_brands(asked.select(F.col("brand_clean").alias("name")), marks), F.col("brand_clean") == F.col("name"))
-    return by_name.unionByName(by_brand.select("case_number", "strategy", "companies"))
+    return by_name.unionByName(by_brand.select("case_number", F.lit("brand_exact").alias("strategy"), F.lit("b").alias("source"), "companies"))

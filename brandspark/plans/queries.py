@@ -391,11 +391,16 @@ def _(a: Analog) -> DataFrame:
 
 @query(
     "j5_retry_brands",
-    """SELECT name, list_sort(list(DISTINCT owner_name))[1:3] AS companies FROM names_b JOIN marks ON upper(name) = upper(mark_identification) GROUP BY name""",
+    """SELECT name, list_sort(list(DISTINCT owner_name))[1:3] AS companies
+       FROM (SELECT name, upper(trim(regexp_replace(regexp_replace(name, '[.,;:''"()\\[\\]]+', ' ', 'g'), '\\s+', ' ', 'g'))) AS brand
+             FROM (SELECT CASE WHEN length(name) % 2 = 0 THEN replace(name, ' ', ', ') || '.' ELSE name END AS name FROM names_b))
+       JOIN marks ON brand = upper(mark_identification) GROUP BY name""",
 )
 def _(a: Analog) -> DataFrame:
+    """Brands as they are, and some with signs."""
     names = cases.unique_brands(a.cases).withColumnRenamed("brand_clean", "name")
-    return matching.retry_brands(names, a.marks)
+    signs = F.when(F.length("name") % 2 == 0, F.concat(F.replace("name", F.lit(" "), F.lit(", ")), F.lit("."))).otherwise(F.col("name"))
+    return matching.retry_brands(names.select(signs.alias("name")), a.marks)
 
 
 @query(

@@ -55,9 +55,14 @@ DETAIL_COLUMNS = ("real_company", "brand_name", "serial_number", "registration_n
 
 
 def read_case_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each ``case-file`` record, with the file it comes from."""
-    reader = spark.read.format("xml").option("rowTag", "case-file").schema(CASE_FILE)
-    return reader.load(path).withColumn("source_file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)).withColumn("position", F.lit(None).cast("long"))
+    """One row for each ``case-file`` record, with the file it comes from and its place there.
+
+    The place is the start of the file's split plus the number of the row in its task: records follow
+    each other by it, as a split has fewer records than bytes.
+    """
+    rows = spark.read.format("xml").option("rowTag", "case-file").schema(CASE_FILE).load(path)
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return rows.withColumns({"source_file": F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), "position": F.input_file_block_start() + number})
 
 
 _RECORD = re.compile(rb"<case-file>.*?</case-file>", re.S)

@@ -58,3 +58,17 @@ def test_second_run_keeps_what_the_first_took_in(spark, tmp_path):
     assert spark.read.parquet(seen[-1]["classes"]).count() == 3
     (tmp_path / "v" / "v000001" / "owners" / "_SUCCESS").unlink()  # not complete: the version before it is the base
     assert last_version(spark, str(tmp_path / "v"), 2)["owners"].endswith("v000000/owners")
+
+
+def test_last_record_of_a_serial_in_one_file_wins(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<root>\n" + "".join(RECORD.format(k % 50, f"MARK {k}") for k in range(400)) + "</root>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = read_case_files(spark, str(tmp_path / "a.xml"))
+        places = raw.select("position", "`serial-number`").orderBy("position").collect()
+        assert [int(r[1]) for r in places] == [k % 50 for k in range(400)] and len({r[0] for r in places}) == 400
+        tables = load_registry(raw)
+        assert {r.serial_number: r.mark_identification for r in tables["trademarks"].collect()} == {k: f"MARK {350 + k}" for k in range(50)}
+        assert {r.party_name for r in tables["owners"].collect()} == {f"MARK {350 + k} Inc." for k in range(50)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
