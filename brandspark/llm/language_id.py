@@ -9,8 +9,8 @@ The posterior of a language for a document multiplies
 The tables behind the last three come from grouped aggregations of the text
 posteriors over all rows, so a lying declaration loses its weight by itself.
 
-The trigram model alone is fitted on a bounded sample (``per_language`` labelled
-documents of each language, ``MAX_LANGUAGES`` languages).  One more class,
+The trigram model alone is fitted on a bounded sample: ``per_language`` labelled
+documents of each of the ``MAX_LANGUAGES`` languages that have most of them.  One more class,
 ``und``, spreads its likelihood evenly over all trigrams.
 
 Plan: one vectorised scan, checkpointed narrow; map-side-combined sums by
@@ -38,13 +38,15 @@ from .common import read, saved
 from .textcore import LOWER, slices, text_bytes
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 128
 OTHER = "und"
 
 #: Digits, signs and white space count as one space.
 _FOLD = np.full(256, 32, dtype=np.uint32)
 _FOLD[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LOWER[[*range(65, 91), *range(97, 123), *range(128, 256)]]
-_HIDDEN = re.compile(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
+_OPEN = re.compile(r"(?i)<script\b|<style\b|<!--|<|&#?\w+;")
+_ENTITY = re.compile(r"&#?\w+;")
+_CLOSE = {"<script": re.compile(r"(?i)</script\s*>"), "<style": re.compile(r"(?i)</style\s*>"), "<!--": re.compile("-->"), "<": re.compile(">")}
 _HTML = re.compile(r"(?i)<html\b[^>]*")
 _LANG = re.compile(r"""(?i)\blang\s*=\s*(?:["']\s*)?([a-z]{2,3})\b""")
 
@@ -55,6 +57,26 @@ def declared_language(page: str) -> str | None:
     return next((m[1].lower() for m in found if m), None)
 
 
+def visible_text(page: str) -> str:
+    """The page with scripts, styles, comments, tags and entities as spaces; what is never closed is searched for once."""
+    out, at, unclosed = [], 0, set()
+    while m := _OPEN.search(page, at):
+        end = m.end() if page[m.start()] == "&" else None
+        for kind in (m[0].lower(), "<"):
+            if end is None and kind not in unclosed:
+                close = _CLOSE[kind].search(page, m.end())
+                if close:
+                    end = close.end()
+                else:
+                    unclosed.add(kind)
+        out.append(page[at : m.start()])
+        if end is None:  # no tag ends from here on
+            return "".join(out) + _ENTITY.sub(" ", page[m.start() :])
+        out.append(" ")
+        at = end
+    return "".join(out) + page[at:]
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -77,22 +99,15 @@ def _trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def fit(labelled: DataFrame, per_language: int = 400) -> Model:
     """Trigram model from ``labelled`` (doc_id, text, lang), on at most ``per_language`` documents of each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-        .select("doc_id", "lang")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= per_language)
-        .select("doc_id", "lang")
-    )
-    rows = chosen.limit(per_language * MAX_LANGUAGES + 1).collect()
-    languages = sorted({r["lang"] for r in rows})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    most = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    languages = sorted(r["lang"] for r in most)
     code = {name: k for k, name in enumerate(languages)}
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = usable.filter(F.col("lang").isin(languages)).select("doc_id", "lang").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
     spark = labelled.sparkSession
-    keys = spark.createDataFrame([(r["doc_id"], code[r["lang"]]) for r in rows], "doc_id long, code int")
-    texts = labelled.join(F.broadcast(keys), "doc_id").select("code", "text")
+    keys = spark.createDataFrame([(r["doc_id"], code[r["lang"]]) for r in chosen.select("doc_id", "lang").collect()], "doc_id long, code int")
+    texts = labelled.select("doc_id", "text").join(F.broadcast(keys), "doc_id").select("code", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(languages) * BUCKETS, dtype=np.int64)
@@ -103,8 +118,8 @@ def fit(labelled: DataFrame, per_language: int = 400) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
     counts = np.zeros((max(1, len(languages)), BUCKETS))
-    for r in texts.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        counts[divmod(r["cell"], BUCKETS)] = r["n"]
+    found = texts.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts.ravel()[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     counts = counts[: len(languages)] + 0.05
     likelihood = np.log(counts / counts.sum(1, keepdims=True)) if len(languages) else np.zeros((0, BUCKETS))
     other = np.full((1, BUCKETS), -np.log(BUCKETS))
@@ -122,7 +137,7 @@ def _score(model: Model, html: bool, most: float):
             if html:
                 pages = [x or "" for x in text.to_pylist()]
                 declared = pa.array([declared_language(x) for x in pages], pa.string())
-                text = pa.array([_HIDDEN.sub(" ", x) for x in pages], pa.string())
+                text = pa.array([visible_text(x) for x in pages], pa.string())
             raw, offsets = text_bytes(text)
             row, bucket = _trigrams(raw, offsets)
             n = np.bincount(row, minlength=batch.num_rows)

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from brandspark.llm import language_id
 from brandspark.llm.common import read
 from brandspark.llm.language_id import OTHER, accepted, fit, identify
 
@@ -62,3 +63,29 @@ def test_declaration_behind_a_long_head(spark, model):
     pages = [(1, page), (2, "<!--" + "x" * 30_000 + "-->" + page), (3, " " * 60_000 + page), (4, "<html " * 20_000), (5, "<html><p>1</p>")]
     got = {r.id: r.declared_lang for r in identify(spark.createDataFrame(pages, "page_id long, html string"), model, "page_id", "html", html=True).collect()}
     assert got == {1: "fr", 2: "fr", 3: "fr", 4: "none", 5: "none"}
+
+
+def test_visible_text_equals_the_pattern_and_is_linear():
+    import random
+    import re
+    import time
+
+    pattern = re.compile(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
+    rng = random.Random(3)
+    parts = ["<script", "<SCRIPT x>", "</script>", "</Script >", "<style>", "</style>", "<!--", "-->", "<p>", "<", ">", "&amp;", "&", "#1;", "a", " ", "\n", "é"]
+    for _ in range(4000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert language_id.visible_text(page) == pattern.sub(" ", page), page
+    start = time.time()
+    for page in ("<script " * 200_000, "<" * 400_000, "<!-- " * 300_000, "&amp" * 300_000, "<p" * 200_000 + "&amp;"):
+        language_id.visible_text(page)
+    assert time.time() - start < 20
+
+
+def test_many_languages_and_clashing_names(spark):
+    rows = [(k, f"{chr(0x4E00 + k % 70) * 3} " * 20, f"l{chr(97 + k % 70 // 26)}{chr(97 + k % 70 % 26)}", "x") for k in range(280)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, code string")
+    model = language_id.fit(docs)
+    assert len(model.languages) == 70
+    got = {r.id: r.lang for r in language_id.identify(docs, model, "doc_id", "text").collect()}
+    assert sum(got[r[0]] == r[2] for r in rows) >= 0.9 * len(rows)
