@@ -10,7 +10,8 @@ key for each pass), and blocks are joined by number.
 Plan: sizes are counted in the JVM and checkpointed (narrow); offsets come from
 three levels of prefix sums over chunks of about ``CHUNK`` rows, so no window
 holds a whole source; the join key (source, block) is unique on the slot side.
-What reaches the driver is one row a source (at most ``MAX_SOURCES``, checked).
+What reaches the driver is one row a source, of some 100 bytes; the plan is drawn
+from these, and it is broadcast for ``FEW_SOURCES`` sources or fewer.
 
 Edge cases: null sources form one source, last in order; a null or empty text
 has size 0 and is never taken; rows that repeat are rows of their own; ties in
@@ -31,7 +32,8 @@ from .common import WORD, saved
 from .textcore import mix as mix64
 from .textcore import slices, text_bytes, words
 
-MAX_SOURCES = 100_000
+#: Sources up to which their table is broadcast.
+FEW_SOURCES = 10_000
 CHUNK = 128
 
 
@@ -164,15 +166,13 @@ def mix(
         )
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
-    per_source = per_source.orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(per_source) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    per_source = per_source.orderBy(F.col("source").asc_nulls_last()).collect()
     plan = draw_plan(per_source, block_words, shards, seed, factor, weights)
     table = spark.createDataFrame(
         [(k, s, plan.sizes[k], plan.targets[k], -(-plan.docs[k] // CHUNK)) for k, s in enumerate(plan.sources)],
         "sidx int, name string, source_size long, target double, chunks long",
     )
-    rows = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    rows = rows.join(F.broadcast(table) if len(plan.sources) <= FEW_SOURCES else table, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks")).drop("chunks")
     placed = slots(spark, plan, seed)
     times = placed.groupBy("sidx", "block").agg(F.count("*").alias("times"))

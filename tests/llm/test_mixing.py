@@ -67,3 +67,33 @@ def test_slots_fill_shards(spark, sf):
     _, slots = mix(read(spark, sf, "documents"), shards=8)
     per_shard = [r["count"] for r in slots.groupBy("shard").count().collect()]
     assert len(per_shard) == 8 and max(per_shard) - min(per_shard) <= 1
+
+
+def test_many_sources_and_repeated_doc_ids(spark, monkeypatch):
+    rows = [(k % 7, "a b c d e " * (1 + k % 3), f"s{k % 40:02}" if k % 40 else None) for k in range(400)] + [(5, "w " * 9, "s01")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = sorted(tuple(r) for r in mix(docs)[0].select("doc_id", "size", "source_size", "target", "taken").collect())
+    monkeypatch.setattr("brandspark.llm.mixing.FEW_SOURCES", 3)
+    many = sorted(tuple(r) for r in mix(docs)[0].select("doc_id", "size", "source_size", "target", "taken").collect())
+    assert few == many and len(few) == len(rows) and all(r[4] <= 2 * r[1] for r in few)
+
+
+def test_targets_and_taken_equal_a_plain_computation(spark, sf):
+    docs = read(spark, sf, "documents")
+    sizes = {}
+    for r in docs.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(WORD.findall(r.text or ""))
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    share, open_, left = {}, set(names), 1.5 * sum(sizes.values())
+    while open_:  # give out what is left; whoever is above stops at twice its size
+        unit = left / sum(weight[s] for s in open_)
+        above = {s for s in open_ if unit * weight[s] > 2 * sizes[s]}
+        share.update({s: 2.0 * sizes[s] for s in above} if above else {s: unit * weight[s] for s in open_})
+        left -= sum(2.0 * sizes[s] for s in above)
+        open_ = open_ - above if above else set()
+    taken = {}
+    for r in mix(docs)[0].collect():
+        assert r.source_size == sizes[r.source] and abs(r.target - share[r.source]) <= 1e-6 * max(1, share[r.source])
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - share[s]) <= 0.02 * share[s] + 64 for s in names)
