@@ -143,7 +143,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
 
     wanted = near.groupBy("first.dk").agg(F.collect_list(F.struct("lid", "first.doc_id", "first.line")).alias("wanted"))
     texts = split(keyed.select("dk", "text"), "dk", membership(near.select("first.dk"), "dk")).dropDuplicates(["dk"])
-    candidates = stored(
+    candidates = saved(
         wanted.join(texts, "dk").select("dk", "wanted", "text").mapInArrow(_candidate_lines, "lid long, doc_id long, line int, text string")
     )
     keyed_variants = candidates.mapInArrow(_variants, "key long, kind byte, lid long, doc_id long, line int")
