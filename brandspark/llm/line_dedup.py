@@ -143,10 +143,11 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
 
     wanted = near.groupBy("first.dk").agg(F.collect_list(F.struct("lid", "first.doc_id", "first.line")).alias("wanted"))
     texts = split(keyed.select("dk", "text"), "dk", membership(near.select("first.dk"), "dk")).dropDuplicates(["dk"])
-    candidates = saved(
+    candidates = stored(
         wanted.join(texts, "dk").select("dk", "wanted", "text").mapInArrow(_candidate_lines, "lid long, doc_id long, line int, text string")
     )
-    keyed_variants = candidates.mapInArrow(_variants, "key long, kind byte, lid long, doc_id long, line int")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    keyed_variants = candidates.repartition(parts).mapInArrow(_variants, "key long, kind byte, lid long, doc_id long, line int")
     spot = F.struct("doc_id", "line", "lid")
     of_kind = lambda k: F.min(F.when(F.col("kind") == k, spot))
     # the earliest line of each key; keys of kinds 1 and 2 meet each other only
