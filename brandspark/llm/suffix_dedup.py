@@ -50,6 +50,8 @@ KMER = 40
 SPAN = WIDTH - KMER + 1  # places of the anchor in a window
 GROUP = 256
 BLOCK_BYTES = 1 << 19
+STRIDE = 1 << 14
+PLACE = np.uint64(0xFFFF)
 
 
 class Segments:
@@ -57,46 +59,60 @@ class Segments:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray):
         n = len(raw)
-        count = n - WIDTH + 1
         empty = np.zeros(0, dtype=np.int64)
         self.row = self.first = self.last = self.anchor = empty
-        self.hash = self.sid = np.zeros(0, dtype=np.uint64)
-        if count <= 0:
+        self.hash = np.zeros(0, dtype=np.uint64)
+        rows = np.flatnonzero(np.diff(offsets) >= WIDTH)
+        if not len(rows):
             return
-        total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_KEY[raw] * powers(n), dtype=np.uint64)])
-        inverse = _inverses(n + 1)
-        h = mix((total[KMER:] - total[: n - KMER + 1]) * inverse[: n - KMER + 1])
-        # leftmost least of SPAN values, by doubling
-        best, size = np.arange(len(h), dtype=np.int32), 1
-        value = h
-        while 2 * size <= SPAN:
-            less = value[size:] < value[:-size]
-            best = np.where(less, best[size:], best[:-size])
-            value = np.where(less, value[size:], value[:-size])
-            size *= 2
-        shift = SPAN - size
-        less = value[shift : shift + count] < value[:count]
-        at = np.where(less, best[shift : shift + count], best[:count])
-        row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[:count]
-        start = np.flatnonzero(np.arange(count) + WIDTH <= offsets[row + 1])
-        if not len(start):
-            return
-        at, row = at[start], row[start]
-        fresh = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (row[1:] != row[:-1])))
-        last = np.append(fresh[1:], len(at)) - 1
-        self.row, self.first, self.last, self.anchor = row[fresh], start[fresh], start[last], at[fresh].astype(np.int64)
-        self.hash = h[self.anchor]
+        self._total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_KEY[raw] * powers(n), dtype=np.uint64)])
+        self._inverse = _inverses(n + 1)
+        change, at, hashes = self._anchor_runs(n - WIDTH + 1)
+        # segments end where the anchor changes and where a row's windows begin or end
+        begin, end = offsets[rows], offsets[rows + 1] - WIDTH + 1
+        edge = np.unique(np.concatenate([change, begin, end]))
+        row = np.searchsorted(begin, edge, "right") - 1
+        use = np.flatnonzero((row >= 0) & (edge < end[row]))
+        run = np.searchsorted(change, edge[use], "right") - 1
+        self.row, self.first, self.last = rows[row[use]], edge[use], edge[use + 1] - 1
+        self.anchor, self.hash = at[run], hashes[run]
+
+    def _anchor_runs(self, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first window, place of the anchor, its hash) of each run of windows with one anchor, rows not looked at."""
+        found = []
+        for low in range(0, count, STRIDE):  # so many windows at once that the arrays stay in the processor's cache
+            here = min(STRIDE, count - low)
+            m = here + SPAN - 1
+            h = mix((self._total[low + KMER : low + KMER + m] - self._total[low : low + m]) * self._inverse[low : low + m])
+            # leftmost least of SPAN values, by doubling; the low 16 bits are the place, the others those of the hash
+            least, size = (h & ~PLACE) | np.arange(m, dtype=np.uint64), 1
+            while 2 * size <= SPAN:
+                least = np.minimum(least[size:], least[:-size])
+                size *= 2
+            shift = SPAN - size
+            at = (np.minimum(least[shift : shift + here], least[:here]) & PLACE).astype(np.int64)
+            change = np.append(0, np.flatnonzero(at[1:] != at[:-1]) + 1)
+            found.append((change + low, at[change] + low, h[at[change]]))
+        change, at, hashes = (np.concatenate(c) for c in zip(*found, strict=True))
+        fresh = np.append(True, at[1:] != at[:-1])
+        return change[fresh], at[fresh], hashes[fresh]
+
+    @property
+    def sid(self) -> np.ndarray:
+        """Hash of each segment: its bytes, its windows and the place of its anchor."""
+        if not len(self.first):
+            return np.zeros(0, dtype=np.uint64)
         place = (self.last - self.first) * 512 + self.anchor - self.first
-        body = (total[self.last + WIDTH] - total[self.first]) * inverse[self.first]
-        self.sid = mix(body + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        body = (self._total[self.last + WIDTH] - self._total[self.first]) * self._inverse[self.first]
+        return mix(body + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, sid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first of each run, length): equal segments of a row at places one byte apart are one run."""
-        if not len(self.sid):
+        if not len(sid):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        same = (self.sid[1:] == self.sid[:-1]) & (self.first[1:] == self.first[:-1] + 1) & (self.row[1:] == self.row[:-1])
+        same = (sid[1:] == sid[:-1]) & (self.first[1:] == self.first[:-1] + 1) & (self.row[1:] == self.row[:-1])
         first = np.flatnonzero(np.append(True, ~same))
-        return first, np.diff(np.append(first, len(self.sid)))
+        return first, np.diff(np.append(first, len(sid)))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +132,8 @@ def _places(packed: np.ndarray, bits: int):
             for batch in slices(batches, "text"):
                 raw, offsets = text_bytes(batch.column(1))
                 s = Segments(raw, offsets)
-                first, length = s.runs()
+                sid = s.sid
+                first, length = s.runs(sid)
                 keep = table[(s.hash[first] & np.uint64(bits - 1)).astype(np.int64)]
                 first, length = first[keep], length[keep]
                 row = s.row[first]
@@ -124,7 +141,7 @@ def _places(packed: np.ndarray, bits: int):
                     [
                         batch.column(0).take(pa.array(row)),
                         pa.array(s.hash[first].view(np.int64)),
-                        pa.array(s.sid[first].view(np.int64)),
+                        pa.array(sid[first].view(np.int64)),
                         pa.array(s.first[first] - offsets[row]),
                         pa.array((s.last[first] - s.first[first] + 1).astype(np.int16)),
                         pa.array((s.anchor[first] - s.first[first]).astype(np.int16)),
@@ -147,26 +164,34 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["gid", "sid", "nw", "ao", "bytes"])
 
 
+def _ordered(key: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, keys in order) of keys below ``bound``; a sort of key and index in one number where both fit."""
+    bits = len(key).bit_length()
+    if bound.bit_length() + bits > 63:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort((key << bits) | np.arange(len(key)))
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols or more (ties in any order)."""
     n = len(symbols)
-    base = np.int64(int(symbols.max()) + 1) if n else np.int64(1)
+    base = int(symbols.max()) + 1 if n else 1
     key, d = symbols.astype(np.int64), 1
-    while d < 64 and int(base) ** (2 * d) < 2**62:
-        nxt = np.zeros(n, dtype=np.int64)
-        nxt[: n - d] = key[d:]
-        key = key * base**d + nxt
-        d *= 2
+    while d < depth and base ** (d + 1) * (n + 1) < 2**62:
+        key *= base
+        key[: max(0, n - d)] += symbols[d:]
+        d += 1
+    bound = base**d
     while True:
-        order = np.argsort(key)
-        sorted_key = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.append(True, sorted_key[1:] != sorted_key[:-1]))
+        order, ordered = _ordered(key, bound)
         if d >= depth:
             return order
-        nxt = np.zeros(n, dtype=np.int64)
-        nxt[: max(0, n - d)] = rank[d:]
-        key = rank * (n + 1) + nxt
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(np.append(True, ordered[1:] != ordered[:-1]))
+        key, bound = rank * (n + 1), (n + 1) ** 2
+        key[: max(0, n - d)] += rank[d:]
         d *= 2
 
 
@@ -174,29 +199,37 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.nd
     """True at i where the suffixes i - 1 and i of the order share ``least`` symbols or more.
 
     Values are derived from the transform by increasing value and the expansion
-    stops at ``least``; places without a value by then are the answer.
+    stops at ``least``; places without a value by then are the answer.  Intervals
+    stand in ascending order, so their rows, taken one symbol back, come in the
+    order of symbol and interval: many rows are put in place, few are sorted.
     """
     n = len(symbols)
     bwt = symbols[order - 1]
     bwt[order == 0] = 0
-    by_symbol = np.argsort(bwt, kind="stable")
+    head = symbols[order]
     step = np.empty(n, dtype=np.int64)  # from a row to the row of the suffix one symbol longer
-    step[by_symbol] = np.arange(n)
+    step[np.argsort(bwt, kind="stable")] = np.arange(n)
     unset = np.ones(n + 1, dtype=bool)
     unset[0] = unset[n] = False
     low, high = np.zeros(1, dtype=np.int64), np.full(1, n, dtype=np.int64)
-    sigma = int(symbols.max()) + 1 if n else 1
     for _ in range(least):  # strings of length 0, 1, ..., least - 1
         if not len(low):
             break
         size = high - low
+        end = np.cumsum(size)
         of = np.repeat(np.arange(len(low)), size)
-        rows = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - low, size)
-        key = of * sigma + bwt[rows]
-        by_key = np.argsort(key, kind="stable")
-        key, rows = key[by_key], rows[by_key]
-        edge = np.flatnonzero(key[1:] != key[:-1]) + 1
-        low, high = step[rows[np.append(0, edge)]], step[rows[np.append(edge, len(rows)) - 1]] + 1
+        at = step[np.arange(int(end[-1])) + np.repeat(low - end + size, size)]
+        if 8 * len(at) > n:
+            owner = np.full(n, -1, dtype=np.int64)
+            owner[at] = of
+            at = np.flatnonzero(owner >= 0)
+            of = owner[at]
+        else:
+            by_place = np.argsort(at)
+            at, of = at[by_place], of[by_place]
+        symbol = head[at]
+        edge = np.flatnonzero((of[1:] != of[:-1]) | (symbol[1:] != symbol[:-1]))
+        low, high = at[np.append(0, edge + 1)], at[np.append(edge, len(at) - 1)] + 1
         fresh = unset[high]
         low, high = low[fresh], high[fresh]
         unset[high] = False
@@ -208,10 +241,10 @@ def repeated_windows(pieces: list[bytes]) -> list[np.ndarray]:
     raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     length = np.array([len(p) for p in pieces])
     used = np.flatnonzero(np.bincount(raw, minlength=256))
-    code = np.zeros(256, dtype=np.int32)
+    code = np.zeros(256, dtype=np.uint16)
     code[used] = 1 + np.arange(len(used))
     start = np.concatenate([[0], np.cumsum(length + 1)])
-    symbols = np.zeros(int(start[-1]), dtype=np.int32)  # a separator, 0, ends each piece
+    symbols = np.zeros(int(start[-1]), dtype=np.uint16)  # a separator, 0, ends each piece
     inside = np.ones(len(symbols), dtype=bool)
     inside[start[1:] - 1] = False
     symbols[inside] = code[raw]

@@ -72,9 +72,13 @@ class Powers:
         self.table = self._first(kept)
 
     def _first(self, n: int) -> np.ndarray:
-        p = np.full(n, self.base, dtype=np.uint64)
-        p[:1] = 1
-        return np.multiply.accumulate(p)
+        p = np.ones(n, dtype=np.uint64)
+        known, factor = 1, int(self.base)  # factor is base ** known
+        while known < n:
+            more = min(known, n - known)
+            np.multiply(p[:more], np.uint64(factor), out=p[known : known + more])
+            known, factor = known + more, factor * factor % 2**64
+        return p
 
     def __call__(self, n: int) -> np.ndarray:
         return self.table[:n] if n <= len(self.table) else self._first(n)

@@ -69,3 +69,34 @@ def test_common_prefixes_by_increasing_value():
         for i in range(1, len(text)):
             a, b = text[order[i - 1] :][:least], text[order[i] :][:least]
             assert share[i] == (a == b and len(a) == least), (least, i)
+
+
+def test_suffix_array_orders_by_its_first_symbols():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 700):
+        symbols = rng.integers(0, 3, n).astype(np.uint16)
+        symbols[n // 2 :] = symbols[: n - n // 2]
+        text = symbols.tolist()
+        order = sd.suffix_array(symbols, 40).tolist()
+        assert sorted(order) == list(range(n))
+        heads = [text[k : k + 40] for k in order]
+        assert heads == sorted(heads)
+
+
+def test_segments_cover_every_window_once():
+    rng = np.random.default_rng(2)
+    sizes = [0, 199, 200, 3, 2 * sd.STRIDE + 77, 201, 0, 650]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    raw = rng.integers(97, 101, int(offsets[-1])).astype(np.uint8)
+    raw[offsets[7] :][:600] = raw[1000:1600]  # also in another row
+    with np.errstate(over="ignore"):
+        s = sd.Segments(raw, offsets)
+        windows = [(r, k) for r, a, z in zip(s.row, s.first, s.last, strict=True) for k in range(a, z + 1)]
+        assert windows == [(r, k) for r in range(len(sizes)) for k in range(offsets[r], offsets[r + 1] - sd.WIDTH + 1)]
+        hashes = {}
+        for r, a, z, at, h in zip(s.row, s.first, s.last, s.anchor, s.hash, strict=True):
+            assert z <= at <= a + sd.SPAN - 1
+            assert hashes.setdefault(raw[at : at + sd.KMER].tobytes(), h) == h
+        place = {k: at - k for a, z, at in zip(s.first, s.last, s.anchor, strict=True) for k in range(a, z + 1)}
+        for k in range(600 - sd.WIDTH + 1):  # equal windows have their anchor at the same place
+            assert place[1000 + k] == place[int(offsets[7]) + k]
