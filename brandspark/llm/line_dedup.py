@@ -136,10 +136,13 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
         keyed.mapInArrow(_line_rows(min_chars, exact_chars), "doc_id long, dk long, line int, lid long, k1 long, k2 long, k3 long, k4 long")
     )
     place = F.struct("doc_id", "line", "dk")
-    distinct = rows.groupBy("lid").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.first(f"k{k}").alias(f"k{k}") for k in (1, 2, 3, 4)])
-    keys = distinct.filter("k1 IS NOT NULL").select("lid", "first", F.explode(F.array("k1", "k2", "k3", "k4")).alias("key"))
+    half_keys = ["k1", "k2", "k3", "k4"]  # the same for all rows of a line
+    distinct = rows.groupBy("lid").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.min(k).alias(k) for k in half_keys])
+    distinct = stored(distinct.select("lid", "first", (F.col("first") < F.col("last")).alias("again"), *half_keys))
+    keys = distinct.filter("k1 IS NOT NULL").select("lid", F.explode(F.array(*half_keys)).alias("key"))
     shared = keys.groupBy("key").agg(F.min("lid").alias("a"), F.max("lid").alias("z")).filter("a <> z").select("key")
-    near = saved(keys.join(shared, "key").select("lid", "first").dropDuplicates(["lid"]))
+    found = keys.join(shared, "key").select("lid").distinct()
+    near = saved(distinct.select("lid", "first").join(found, "lid"))
 
     wanted = near.groupBy("first.dk").agg(F.collect_list(F.struct("lid", "first.doc_id", "first.line")).alias("wanted"))
     texts = split(keyed.select("dk", "text"), "dk", membership(near.select("first.dk"), "dk")).dropDuplicates(["dk"])
@@ -170,7 +173,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
         .withColumn("near", F.lit(True))
     )
     # lines that occur again, or are near an earlier one
-    bad = distinct.filter("first < last").select("lid", "first").withColumn("near", F.lit(False))
+    bad = distinct.filter("again").select("lid", "first").withColumn("near", F.lit(False))
     bad = bad.unionByName(near.join(verified, "lid").select("lid", "first", "near")).groupBy("lid").agg(F.min("first").alias("first"), F.max("near").alias("near"))
     bad = saved(bad)  # a line of many places can then be dealt out anew by the join
     gone = rows.select("lid", "doc_id", "line", "dk").join(bad, "lid").filter("near OR NOT (first.dk = dk AND first.line = line)")
