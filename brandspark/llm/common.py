@@ -100,16 +100,17 @@ def stored(df: DataFrame) -> DataFrame:
 MOST_BITS = 1 << 26
 
 
-def membership(keys: DataFrame, column: str) -> np.ndarray | None:
+def membership(keys: DataFrame, column: str, hashed: bool = False) -> np.ndarray | None:
     """A bitmap in which the bit of every key is set, of 8 to 16 bits a key; None beyond ``MOST_BITS`` (8 MB).
 
     A row whose bit is not set has no such key; the others still need the exact
     join.  It spares most rows that join from being shuffled.  ``keys`` is read twice.
+    Where the keys are hashes already (``hashed``), their low bits name the bit.
     """
     size = 1 << max(16, (8 * keys.count()).bit_length())
     if size > MOST_BITS:
         return None
-    bit = F.pmod(F.xxhash64(column), F.lit(size))
+    bit = F.pmod(F.col(column) if hashed else F.xxhash64(column), F.lit(size))
     words = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).toArrow()
     out = np.zeros(size // 64, dtype=np.int64)
     out[words.column("w").to_numpy()] = words.column("v").to_numpy()

@@ -103,30 +103,42 @@ def _candidate_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["lid", "doc_id", "line", "text"])
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashed keys of each line: kind 0, a variant with its position; 1, a variant; 2, the line itself."""
-    with np.errstate(over="ignore"):
-        for batch in slices(batches, "text", 1 << 17):
-            c = Chars(batch.column(3))
-            a, z = c.start, c.end
-            n = z - a
-            which = np.repeat(np.arange(len(n)), n)
-            at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-            # the characters behind the deleted one move one place down
-            h = c.raw_hash(a[which], at) + (c.total[z[which]] - c.total[at + 1]) * _inverses(len(c.total) + 1)[a[which] + 1]
-            length = n[which] - 1
-            key = [_finish(h + mix((at - a[which]).astype(np.uint64)), length, 3), _finish(h, length, 4), _finish(c.raw_hash(a, z), n, 4)]
-            # equal characters in a row give equal variants; one of each is enough for kind 1
-            again = np.zeros(len(at), dtype=bool)
-            inner = np.flatnonzero(at > a[which])
-            again[inner] = c.point[at[inner]] == c.point[at[inner] - 1]
-            take = [which, which[~again], np.arange(len(n))]
-            key[1] = key[1][~again]
-            row = pa.array(np.concatenate(take))
-            kind = np.repeat(np.array([0, 1, 2], dtype=np.int8), [len(t) for t in take])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(key)), pa.array(kind), *(batch.column(k).take(row) for k in range(3))], names=["key", "kind", "lid", "doc_id", "line"]
-            )
+def _variants(packed: np.ndarray | None = None):
+    """Hashed keys of each line: kind 0, a variant with its position; 1, a variant; 2, the line itself.
+
+    With the bitmap of ``membership``, only keys whose bit is set.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if packed is None else np.unpackbits(packed).astype(bool)
+        with np.errstate(over="ignore"):
+            for batch in slices(batches, "text", 1 << 17):
+                c = Chars(batch.column(3))
+                a, z = c.start, c.end
+                n = z - a
+                which = np.repeat(np.arange(len(n)), n)
+                at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+                # the characters behind the deleted one move one place down
+                h = c.raw_hash(a[which], at) + (c.total[z[which]] - c.total[at + 1]) * _inverses(len(c.total) + 1)[a[which] + 1]
+                length = n[which] - 1
+                key = [_finish(h + mix((at - a[which]).astype(np.uint64)), length, 3), _finish(h, length, 4), _finish(c.raw_hash(a, z), n, 4)]
+                # equal characters in a row give equal variants; one of each is enough for kind 1
+                again = np.zeros(len(at), dtype=bool)
+                inner = np.flatnonzero(at > a[which])
+                again[inner] = c.point[at[inner]] == c.point[at[inner] - 1]
+                take = [which, which[~again], np.arange(len(n))]
+                key[1] = key[1][~again]
+                of, keys = np.concatenate(take), np.concatenate(key)
+                kind = np.repeat(np.array([0, 1, 2], dtype=np.int8), [len(t) for t in take])
+                if table is not None:
+                    may = np.flatnonzero(table[keys & (len(table) - 1)])
+                    of, keys, kind = of[may], keys[may], kind[may]
+                row = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(kind), *(batch.column(k).take(row) for k in range(3))], names=["key", "kind", "lid", "doc_id", "line"]
+                )
+
+    return run
 
 
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int = MIN_CHARS) -> DataFrame:
@@ -150,7 +162,13 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int
         wanted.join(texts, "dk").select("dk", "wanted", "text").mapInArrow(_candidate_lines, "lid long, doc_id long, line int, text string")
     )
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    keyed_variants = candidates.repartition(parts).mapInArrow(_variants, "key long, kind byte, lid long, doc_id long, line int")
+    lines_of = "lid long, doc_id long, line int"
+    dealt = candidates.repartition(parts)
+    # which keys are met twice is told by the keys alone; only rows of such keys travel
+    variants = dealt.mapInArrow(_variants(), f"key long, kind byte, {lines_of}").select("key")
+    met = saved(variants.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    bits = membership(met, "key", hashed=True)
+    keyed_variants = stored(dealt.mapInArrow(_variants(None if bits is None else np.packbits(bits)), f"key long, kind byte, {lines_of}"))
     spot = F.struct("doc_id", "line", "lid")
     of_kind = lambda k: F.min(F.when(F.col("kind") == k, spot))
     # the earliest line of each key; keys of kinds 1 and 2 meet each other only
