@@ -45,6 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
@@ -117,8 +125,11 @@ def membership(keys: DataFrame, column: str, hashed: bool = False) -> np.ndarray
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def split(docs: DataFrame, column: str, bits: np.ndarray | None, inside: bool = True) -> DataFrame:
-    """The rows of ``docs`` whose key may be (``inside``) or cannot be among the keys of the bitmap; without one, all may be."""
+def split(docs: DataFrame, column: str, bits: np.ndarray | None, inside: bool = True, hashed: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose key may be (``inside``) or cannot be among the keys of the bitmap; without one, all may be.
+
+    ``hashed`` as in ``membership``.
+    """
     if bits is None:
         return docs if inside else docs.filter(F.lit(False))
     packed, size, name = np.packbits(bits), len(bits), f"__bit_{uuid.uuid4().hex}"
@@ -129,4 +140,4 @@ def split(docs: DataFrame, column: str, bits: np.ndarray | None, inside: bool =
             hit = table[batch.column(batch.schema.get_field_index(name)).to_numpy()]
             yield batch.filter(pa.array(hit if inside else ~hit)).drop_columns([name])
 
-    return docs.withColumn(name, F.pmod(F.xxhash64(column), F.lit(size))).mapInArrow(run, docs.schema)
+    return docs.withColumn(name, F.pmod(F.col(column) if hashed else F.xxhash64(column), F.lit(size))).mapInArrow(run, docs.schema)

@@ -13,6 +13,9 @@ holds a whole source; the join key (source, block) is unique on the slot side.
 What reaches the driver is one row a source, of some 100 bytes; the plan is drawn
 from these, and it is broadcast for ``FEW_SOURCES`` sources or fewer.
 
+Rows are numbered by their place in the input, which is the same whenever a
+stored table is read again; ``docs`` has to be one.
+
 Edge cases: null sources form one source, last in order; a null or empty text
 has size 0 and is never taken; rows that repeat are rows of their own; ties in
 the order of a source go by size; an empty table gives an empty result.
@@ -22,13 +25,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, saved
+from .common import WORD, fresh, saved
 from .textcore import mix as mix64
 from .textcore import slices, text_bytes, words
 
@@ -140,11 +144,6 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_rid(docs: DataFrame) -> DataFrame:
-    """A number for each row; the same whenever the same input is read again."""
-    return docs.withColumn("__rid", F.monotonically_increasing_id())
-
-
 def mix(
     docs: DataFrame,
     block_words: int = 32,
@@ -161,8 +160,8 @@ def mix(
     """
     spark = docs.sparkSession
     rows = saved(
-        with_rid(docs).select(
-            F.col("__rid").alias("rid"), F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size")
+        docs.select(
+            F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size")
         )
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
@@ -194,15 +193,15 @@ def mix(
     return result, placed
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace each text by its taken words; white space inside a run of taken words stays."""
+def _texts(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace each text by its taken words, by column ``name``; white space inside a run of taken words stays."""
     for batch in slices(batches, "text"):
         at = batch.schema.get_field_index("text")
         raw, offsets = text_bytes(batch.column(at))
         w = words(raw, offsets)
         first = np.searchsorted(w.row, np.arange(batch.num_rows + 1))
         out = []
-        for k, runs in enumerate(batch.column("__runs").to_pylist()):
+        for k, runs in enumerate(batch.column(name).to_pylist()):
             parts = []
             for turn in range(1, 1 + max((r["times"] for r in runs), default=0)):
                 end = None
@@ -218,7 +217,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 out.append(b"\n".join(raw[w.start[base + a] : w.end[base + z - 1]].tobytes() for a, z in parts))
         columns = [pa.array(out, pa.binary()).cast(pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
-        keep = [k for k, name in enumerate(batch.schema.names) if name != "__runs"]
+        keep = [k for k, own in enumerate(batch.schema.names) if own != name]
         yield pa.RecordBatch.from_arrays([columns[k] for k in keep], names=[batch.schema.names[k] for k in keep])
 
 
@@ -228,9 +227,10 @@ def mixed_texts(docs: DataFrame, **parameters) -> DataFrame:
     Documents of which nothing is taken go.
     """
     result, _ = mix(docs, **parameters)
-    taken = result.filter("taken > 0").select(F.col("rid").alias("__rid"), F.col("runs").alias("__runs"))
-    joined = with_rid(docs).join(taken, "__rid").drop("__rid")
-    return joined.mapInArrow(_texts, docs.schema)
+    rid, runs = fresh(docs, "rid"), fresh(docs, "runs")
+    taken = result.filter("taken > 0").select(F.col("rid").alias(rid), F.col("runs").alias(runs))
+    joined = docs.withColumn(rid, F.monotonically_increasing_id()).join(taken, rid).drop(rid)
+    return joined.mapInArrow(partial(_texts, runs), docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

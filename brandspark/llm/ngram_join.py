@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, membership, saved, split, stored
+from .common import components, fresh, membership, saved, split, stored
 from .textcore import BYTE_KEY_LOWER, mix, powers, slices, span_hash, text_bytes, windows, words
 
 #: Shingles of a cell, as queries and as lists.
@@ -267,6 +267,38 @@ def search(members: DataFrame, texts: DataFrame, bound: Fraction, width: int) ->
 
 def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 100), hubs: int = 1, heavy: int = 1 << 18) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    return grouped(docs, width, bound, hubs, heavy).select("doc_id", "n_shingles", "component_id")
+
+
+def without_copies(docs: DataFrame, width: int = 5, bound: Fraction = Fraction(8, 10)) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: that of the least doc_id (null last), then of the least row key.
+
+    Rows are told apart by the 64-bit hash of doc_id and text, not by doc_id: rows of one doc_id with different texts
+    belong to the groups of their texts.  Of rows equal in both, one stays, and which one is open.  Rows without a
+    word are linked with nothing and all stay.
+    """
+    own = fresh(docs, "key")
+    member = saved(grouped(docs, width, bound).filter("group IS NOT NULL").select("key", "doc_id", "group"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"]
+    best = member.groupBy("group").agg(first.alias("best"))
+    keys = member.groupBy("key", "group").agg(F.count("*").alias("n"))
+    verdict = keys.join(best, "group").filter("key <> best OR n > 1").select("key", (F.col("key") == F.col("best")).alias("stays"))
+    verdict = saved(verdict)
+    bits = membership(verdict, "key", hashed=True)
+    keyed = docs.withColumn(own, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    rest = split(keyed, own, bits, inside=False, hashed=True).drop(own)
+    met = split(keyed, own, bits, hashed=True)
+    untouched = met.join(verdict.select(F.col("key").alias(own)), own, "left_anti").drop(own)
+    repeated = met.join(verdict.filter("stays").select(F.col("key").alias(own)), own, "left_semi").dropDuplicates([own]).drop(own)
+    return rest.unionByName(untouched).unionByName(repeated)
+
+
+def grouped(docs: DataFrame, width: int, bound: Fraction, hubs: int = 1, heavy: int = 1 << 18) -> DataFrame:
+    """(key, doc_id, n_shingles, group, component_id) of every row.
+
+    ``key`` is the hash of doc_id and text; ``group`` names the group of linked or equal sets, null where a set is
+    alone; ``component_id`` is the least doc_id of the group, which several groups can share where doc_ids repeat.
+    """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     narrow = narrow.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
     texts = narrow.select(F.col("key").alias("node"), "text")
@@ -320,11 +352,11 @@ def ngram_join(docs: DataFrame, width: int = 4, bound: Fraction = Fraction(85, 1
     # a component is named by its least document
     linked = named.join(of, "node").select("sig", "n", "least", "component")
     name = linked.groupBy("component").agg(F.min("least").alias("name"))
-    linked = linked.join(name, "component").select("sig", "n", "name")
-    alone = named.filter("rows > 1").join(of, "node", "left_anti").select("sig", "n", F.col("least").alias("name"))
-    label = linked.unionByName(alone).toDF("s", "m", "name")
-    return rows.select("doc_id", "n_shingles", "sig").join(label, (F.col("sig") == F.col("s")) & (F.col("n_shingles") == F.col("m")), "left").select(
-        "doc_id", "n_shingles", F.coalesce("name", "doc_id").alias("component_id")
+    linked = linked.join(name, "component").select("sig", "n", "component", "name")
+    alone = named.filter("rows > 1").join(of, "node", "left_anti").select("sig", "n", "node", F.col("least").alias("name"))
+    label = linked.union(alone).toDF("s", "m", "group", "name")
+    return rows.select("key", "doc_id", "n_shingles", "sig").join(label, (F.col("sig") == F.col("s")) & (F.col("n_shingles") == F.col("m")), "left").select(
+        "key", "doc_id", "n_shingles", "group", F.coalesce("name", "doc_id").alias("component_id")
     )
 
 

@@ -51,7 +51,9 @@ class Encoder:
 
     Where the file's merges stand in the order of their ids, as they do in such
     vocabularies, the same ids come faster from a rank-based encoder over the
-    file's own vocabulary; otherwise the tokenizer itself does all.
+    file's own vocabulary; otherwise the tokenizer itself does all.  Texts that
+    hold the string of an added token also go to the tokenizer, which gives its
+    one id.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -62,6 +64,7 @@ class Encoder:
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         made = [vocabulary[a + b] for a, b in pairs]
         self.path, self.slow, self.fast = path, None, None
+        self.added = re.compile("|".join(map(re.escape, sorted(added)))) if added else None
         if all(a < b for a, b in zip(made, made[1:], strict=False)):
             import tiktoken
 
@@ -74,14 +77,13 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(self.path)
-            self.slow.encode_special_tokens = True
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         fast = self.fast
         out = []
         for text in texts:
-            if fast is None or len(text) >= LONG_RUN and re.search(r"\s{%d}" % LONG_RUN, text):
+            if fast is None or self.added and self.added.search(text) or len(text) >= LONG_RUN and re.search(r"\s{%d}" % LONG_RUN, text):
                 out.append(self._whole(text))
             else:
                 out.append(fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes())

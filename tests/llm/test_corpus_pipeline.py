@@ -123,3 +123,54 @@ def test_run_equals_its_stages_by_brute_force(spark, tmp_path):
     mixed = corpus_pipeline.mixture(spark, kept, "")
     check_mixture(kept, mixed)
     check_pieces(corpus_pipeline.run(spark, str(tmp_path)).collect(), texts_of(mixed))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row string, `found_` int, runs string, `key` string, __removed string, __lang string, __runs string, rid string"
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "r", 1, "u", "k", "m", "l", "n", "d") for i, t, s in rows], ODD)
+
+
+A = "the first text of all has words enough for some shingles of five words each"
+B = "another text that is a copy of nothing here and that nobody may lose at all"
+
+
+def test_near_copies_keep_texts_that_share_a_doc_id(spark):
+    docs = odd(spark, [(1, A, "x"), (2, A, "x"), (2, B, "y"), (None, A, "x"), (3, B, "y"), (3, B, "y"), (5, None, "z"), (5, None, "z"), (5, "", None), (None, "", None)])
+    got = corpus_pipeline.near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert left == sorted([(1, A), (2, B), (5, None), (5, None), (5, ""), (None, "")], key=str)
+
+
+def test_near_copies_one_name_for_two_groups(spark):
+    docs = odd(spark, [(5, A, "x"), (6, A, "x"), (5, B, "y"), (6, B, "y"), (5, A, "q"), (5, A, "q")])
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == sorted([(5, A), (5, B)])
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_names(spark, stage):
+    run = dict(corpus_pipeline.STAGES)[stage]
+    long = " ".join(f"word{k % 997}x{k}" for k in range(60_000))
+    rows = [(1, A, "x"), (1, A, "x"), (2, B, None), (None, B + " more", "y"), (3, None, None), (None, None, None), (4, "", ""), (5, " \n ", "x"), (6, long, "x")]
+    docs = odd(spark, rows)
+    got = run(spark, docs, "")
+    kept = got.collect()
+    if stage != "packed":
+        assert got.columns == docs.columns and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema]
+        assert all((r.row, r.found_, r.runs, r.key, r["__removed"], r["__lang"], r["__runs"], r.rid) == ("r", 1, "u", "k", "m", "l", "n", "d") for r in kept)
+        left = Counter((r.doc_id, r.text) for r in kept)
+        texts = [(i, t) for i, t, _ in rows]
+        empty = [(3, None), (None, None), (4, ""), (5, " \n ")]
+        if stage == "language":
+            assert not set(empty) & set(left) and left[1, A] in (0, 2) and left[6, long] == 1 and left <= Counter(texts)
+        elif stage == "lines":
+            assert left == Counter(texts)  # rows equal in doc_id and text keep the same lines
+        elif stage == "near_copies":
+            assert left == Counter(set(texts) - {(None, B + " more")})  # near (2, B)
+        else:
+            assert not set(empty) & set(left) and (6 in {r.doc_id for r in kept})
+    else:
+        assert {r.doc_id for r in kept} == {1, 2, 3, 4, 5, 6, None}
+    assert run(spark, docs.limit(0), "").collect() == []

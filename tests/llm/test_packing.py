@@ -13,7 +13,6 @@ def reference_ids(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_tokenizer()[0])
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -48,7 +47,7 @@ def test_pieces_round_trip_with_little_padding(spark, sf):
 
 
 def test_edges(spark):
-    texts = {0: None, 1: "", 2: "a  b\n c\x00d", 3: "word " * 9000, 4: "<|endoftext|>"}
+    texts = {0: None, 1: "", 2: "a  b\n c\x00d", 3: "word " * 9000, 4: "<|endoftext|>", 5: "a <|endoftext|><|endoftext|>\n<|endoftext|", 6: "<|endoftext|> " * 3000}
     docs = spark.createDataFrame([(k, v, 7) for k, v in texts.items()], "doc_id long, text string, ids int")
     check(digest(pack(docs, *default_tokenizer())).collect(), texts)
     assert pack(docs.limit(0), *default_tokenizer()).count() == 0
