@@ -55,10 +55,11 @@ def grams(words: Column, width: int) -> Column:
     return words if width == 1 else F.concat(words, *[of(k) for k in range(2, width + 1)])
 
 
-def crossing(lines: Column, width: int) -> Column:
-    """The runs of 2 to ``width`` words that reach over the end of a line; ``lines`` holds each line's words."""
-    words = F.flatten(lines)
-    line = F.flatten(F.transform(lines, lambda w, k: F.array_repeat(k, F.size(w))))
+def crossing(words: Column, line: Column, width: int) -> Column:
+    """The runs of 2 to ``width`` words that reach over the end of a line; ``line`` has the number of each word's line.
+
+    Both have to be columns, as each is looked into again and again.
+    """
 
     def of(k: int) -> Column:
         starts = F.filter(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.element_at(line, i) != F.element_at(line, i + (k - 1)))
@@ -76,10 +77,12 @@ def feature_counts(texts: DataFrame, width: int = 1, buckets: int = BUCKETS) ->
     """(bucket, n): how often the features of each bucket occur in the column ``text``."""
     pieces = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
     lines = texts.select(F.explode(pieces).alias("line")).groupBy("line").agg(F.count("*").alias("times"))
-    counted = lines.select(F.explode(grams(terms(F.col("line")), width)).alias("f"), "times")
+    counted = lines.select(terms(F.col("line")).alias("words"), "times").select(F.explode(grams(F.col("words"), width)).alias("f"), "times")
     if width > 1:
-        of_lines = F.filter(F.transform(pieces, terms), lambda w: F.size(w) > 0)
-        over = texts.select(of_lines.alias("w")).select(F.explode(crossing(F.col("w"), width)).alias("f"), F.lit(1).cast("long").alias("times"))
+        of_lines = texts.select(F.transform(pieces, terms).alias("lines"))
+        number = F.flatten(F.transform("lines", lambda w, k: F.array_repeat(k, F.size(w))))
+        flat = of_lines.select(F.flatten("lines").alias("words"), number.alias("line"))
+        over = flat.select(F.explode(crossing(F.col("words"), F.col("line"), width)).alias("f"), F.lit(1).cast("long").alias("times"))
         counted = counted.unionByName(over)
     return counted.groupBy(bucket(F.col("f"), buckets).alias("bucket")).agg(F.sum("times").alias("n"))
 
@@ -106,10 +109,10 @@ def noise(doc_id: Column, seed: int) -> Column:
 
 def scored(documents: DataFrame, gain: list[int], width: int = 1, seed: int = 2024) -> DataFrame:
     """(doc_id, n_words, n_features, weight, score) of every row."""
-    table = F.split(F.lit(",".join(map(str, gain))), ",").cast("array<long>")
-    words = documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("words"))
-    rows = words.select("doc_id", F.size("words").cast("long").alias("n_words"), grams(F.col("words"), width).alias("f"))
-    total = F.aggregate("f", F.lit(0).cast("long"), lambda a, x: a + F.get(table, bucket(x, len(gain))))
+    table = documents.sparkSession.createDataFrame([(gain,)], "gains array<long>")  # one row, whatever the corpus
+    words = documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("words")).crossJoin(F.broadcast(table))
+    rows = words.select("doc_id", F.size("words").cast("long").alias("n_words"), grams(F.col("words"), width).alias("f"), "gains")
+    total = F.aggregate("f", F.lit(0).cast("long"), lambda a, x: a + F.get("gains", bucket(x, len(gain))))
     rows = rows.select("doc_id", "n_words", F.size("f").cast("long").alias("n_features"), total.alias("total"))
     # floors go down: an integer mean by the remainder that is never negative
     mean = F.when(F.col("n_features") == 0, F.lit(0).cast("long")).otherwise(F.expr("(total - pmod(total, n_features)) div n_features"))
