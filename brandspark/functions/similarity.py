@@ -68,8 +68,8 @@ def trigram_similarity(a: Column, b: Column) -> Column:
     return jaccard(trigrams(a), trigrams(b))
 
 
-def inner_trigrams(c: Column) -> Column:
-    """Lower-case trigrams of a string as it is: any string that contains it has all of them."""
+def inner_grams(c: Column, n: int = 3) -> Column:
+    """Lower-case runs of n characters of a string as it is: any string that contains it has all of them."""
     s = F.lower(c)
-    n = F.length(s) - 2
-    return F.array_distinct(F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(s, i, F.lit(3)))).otherwise(F.array().cast("array<string>")))
+    m = F.length(s) - (n - 1)
+    return F.array_distinct(F.when(m > 0, F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))).otherwise(F.array().cast("array<string>")))

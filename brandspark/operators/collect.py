@@ -20,7 +20,7 @@ def collect_brands(
     marks = trademarks.select("serial_number", "mark_identification", "registration_number", "status_code").join(live, "status_code")
     marks = marks.join(serials, "serial_number")
     names = nice.select(F.col("code").alias("international_code"), F.col("name_cn").alias("international_desc_cn"), F.col("name_en").alias("international_desc_en"))
-    own = classes.select("serial_number", "international_code", "first_use_date").distinct().join(F.broadcast(names), "international_code", "left")
+    own = classes.select("serial_number", "international_code", "first_use_date").distinct().join(names, "international_code", "left")
     goods = statements.filter(F.col("type_code").startswith("GS")).select("serial_number", F.col("text").alias("goods_services")).distinct()
     joined = marks.join(own, "serial_number", "left").join(goods, "serial_number", "left")
     return joined.select(

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import inner_trigrams, jaccard, match_score, meaningful_tokens, pattern_words, token_score, trigrams, word_boundary_pattern
-from ..functions.text import clean_name, flip_person_name, has_letter, words
+from ..functions.similarity import inner_grams, jaccard, match_score, meaningful_tokens, pattern_words, token_score, trigrams, word_boundary_pattern
+from ..functions.text import clean_name, flip_person_name, has_letter, two_word_like, words
 from .keys import cap_per_key
 from .lineage import settled
 
@@ -57,19 +57,26 @@ def _rarest_in_common(asked: DataFrame, held: DataFrame) -> DataFrame:
     return _rarest(asked, "key", "g", counts, F.lit(1)).join(held, "g").select("key", "text")
 
 
-def contains_candidates(patterns: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, text) of all texts that contain every piece of a pattern (key, pieces), any case.
+def _candidates(patterns: DataFrame, texts: DataFrame, pieces: Column) -> DataFrame:
+    """(key, text): of each pattern the texts that hold its rarest gram; all that match it are among them.
 
-    A text that contains a piece has all its trigrams: patterns meet texts on their rarest one.
-    Patterns without a piece of three characters are few and short; they meet texts on their rarest character.
-    Texts are taken apart for grams that a pattern has.
+    A text that matches has every piece, and so all grams of it.  Patterns meet texts on trigrams; those whose longest
+    piece is shorter meet them on pairs or single characters, of which texts are only taken apart if there are such patterns.
     """
-    own = F.flatten(F.transform("pieces", lambda p: inner_trigrams(p)))
-    chars = F.filter(F.split(F.lower(F.array_join("pieces", "")), ""), lambda c: c != "")
-    meet = lambda some, asked, held: _rarest_in_common(some.select("key", F.explode(F.array_distinct(asked)).alias("g")), texts.select("text", F.explode(held).alias("g")))
-    by_gram = meet(patterns.filter(F.size(own) > 0), own, inner_trigrams(F.col("text")))
-    by_char = meet(patterns.filter(F.size(own) == 0), chars, F.array_distinct(F.split(F.lower("text"), "")))
-    pairs = by_gram.unionByName(by_char).distinct().join(patterns, "key")
+    patterns = patterns.withColumn("__longest", F.array_max(F.transform(pieces, F.length)))
+    widths = [r[0] for r in patterns.select(F.least(F.col("__longest"), F.lit(3)).alias("w")).filter("w > 0").distinct().collect()]  # three at most
+    out = None
+    for width in sorted(widths):
+        some = patterns.filter(F.least(F.col("__longest"), F.lit(3)) == width)
+        asked = some.select("key", F.explode(F.array_distinct(F.flatten(F.transform(pieces, lambda p: inner_grams(p, width))))).alias("g"))  # noqa: B023
+        met = _rarest_in_common(asked, texts.select("text", F.explode(inner_grams(F.col("text"), width)).alias("g")))
+        out = met if out is None else out.unionByName(met)
+    return patterns.sparkSession.createDataFrame([], "key string, text string") if out is None else out.distinct()
+
+
+def contains_candidates(patterns: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text) of all texts that contain every piece of a pattern (key, pieces) behind the one before it, any case."""
+    pairs = _candidates(patterns, texts, F.col("pieces")).join(patterns, "key")
     # each piece is looked for behind the first place of the one before it
     rest = F.aggregate(
         "pieces",
@@ -79,9 +86,43 @@ def contains_candidates(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.filter(rest.isNotNull()).select("key", "text")
 
 
-def match_owners(names: DataFrame, marks: DataFrame, cap: int | None = CAP, least: float = LEAST_SCORE) -> DataFrame:
+def like_candidates(patterns: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text) of all texts that match a LIKE pattern (key, pattern), any case.
+
+    ``%`` stands for any characters, ``_`` for one, a backslash takes the next character as it is.  A pattern without any
+    other character would match every long enough text, and matches none here.
+    """
+    whole = F.regexp_replace(F.regexp_replace("pattern", r"\\([^%_\\])", "$1"), r"(?<!\\)((?:\\\\)*)\\$", "$1")
+    asked = patterns.select("key", whole.alias("pattern"))
+    pieces = F.filter(F.split("pattern", r"\\.|[%_]"), lambda p: p != "")
+    asked = asked.withColumn("__pieces", pieces)
+    pairs = _candidates(asked, texts, F.col("__pieces")).join(asked, "key")
+    return pairs.filter(F.expr("text ILIKE pattern")).select("key", "text")
+
+
+ORDER = ("owner_name", "serial_number", "mark_identification", "status_code")
+
+
+def _match_likes(names: DataFrame, marks: DataFrame, column: str, cap: int | None) -> DataFrame:
+    """The older mode of both paths: exact: the text is like the name; else fuzzy: like its first two words; no score.
+
+    Names go into the patterns as they are, so ``%`` and ``_`` in them act as wildcards.
+    """
+    texts = marks.select(F.col(column).alias("text")).filter("text IS NOT NULL").distinct()
+    like = lambda some, pattern: like_candidates(some.select(F.col("name").alias("key"), pattern.alias("pattern")), texts)
+    found = lambda pairs, kind: pairs.select(F.col("key").alias("name"), F.col("text").alias(column), F.lit(kind).alias("match_type"))
+    exact = settled(found(like(names, F.concat(F.lit("%"), "name", F.lit("%"))), "exact"))
+    left = names.join(exact.select("name").distinct(), "name", "left_anti").filter(F.size(words(F.col("name"))) >= 2)
+    fuzzy = found(like(left, two_word_like(F.col("name"), "v1")), "fuzzy").join(marks, column)
+    some = cap_per_key(fuzzy.select("name", "match_type", *ROW).distinct(), ["name"], [F.col(c).asc_nulls_last() for c in ORDER], cap)
+    return _with_misses(names, exact.join(marks, column), some)
+
+
+def match_owners(names: DataFrame, marks: DataFrame, cap: int | None = CAP, least: float = LEAST_SCORE, mode: str = "v2") -> DataFrame:
     """Path A: (name) -> rows of ROW with match_type; exact: the owner contains the name; else fuzzy: its words; else miss."""
     names = names.select("name").filter("name <> ''").distinct()
+    if mode == "v1":
+        return _match_likes(names, marks, "owner_name", cap)
     owners = marks.select("owner_name").filter("owner_name IS NOT NULL").distinct()
     # both ways the owner holds the pattern's words in their order; names without such words meet owners on their tokens
     asked = names.select("name", pattern_words(F.col("name")).alias("pieces"))
@@ -93,14 +134,16 @@ def match_owners(names: DataFrame, marks: DataFrame, cap: int | None = CAP, leas
     left = pairs.join(exact.select("name").distinct(), "name", "left_anti")
     fuzzy = left.withColumn("pattern", word_boundary_pattern(F.col("name"))).filter(F.expr("owner_name RLIKE pattern")).drop("pattern")
     rows = lambda found: found.join(marks, "owner_name")
-    order = [F.col("score").desc(), *[F.col(c).asc_nulls_last() for c in ("owner_name", "serial_number", "mark_identification", "status_code")]]
+    order = [F.col("score").desc(), *[F.col(c).asc_nulls_last() for c in ORDER]]
     some = cap_per_key(rows(fuzzy.withColumn("match_type", F.lit("fuzzy"))), ["name"], order, cap)
     return _with_misses(names, rows(exact), some)
 
 
-def match_marks(brands: DataFrame, marks: DataFrame, cap: int | None = CAP, least: float = 0.5) -> DataFrame:
+def match_marks(brands: DataFrame, marks: DataFrame, cap: int | None = CAP, least: float = 0.5, mode: str = "v2") -> DataFrame:
     """Path B: exact: the mark equals the brand; else fuzzy: the brand's first two words in the mark, and one contains the other or the score is enough."""
     names = brands.select("name").filter("name <> ''").distinct()
+    if mode == "v1":
+        return _match_likes(names, marks, "mark_identification", cap)
     asked = names.filter(has_letter(F.col("name")))
     texts = marks.select("mark_identification").filter("mark_identification IS NOT NULL").distinct()
     equal = asked.join(texts, F.upper("name") == F.upper("mark_identification")).withColumn("score", F.lit(1.0))
@@ -114,7 +157,7 @@ def match_marks(brands: DataFrame, marks: DataFrame, cap: int | None = CAP, leas
     a, b = F.upper("name"), F.upper("mark_identification")
     fuzzy = pairs.withColumn("score", score).filter(b.contains(a) | a.contains(b) | (score >= least))
     rows = lambda found, kind: found.withColumn("match_type", F.lit(kind)).join(marks, "mark_identification")
-    order = [F.col("score").desc(), *[F.col(c).asc_nulls_last() for c in ("owner_name", "serial_number", "mark_identification", "status_code")]]
+    order = [F.col("score").desc(), *[F.col(c).asc_nulls_last() for c in ORDER]]
     return _with_misses(names, rows(equal, "exact"), cap_per_key(rows(fuzzy, "fuzzy"), ["name"], order, cap))
 
 

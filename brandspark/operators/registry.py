@@ -10,6 +10,7 @@ from ..functions.similarity import jaccard, trigrams
 from ..functions.text import flag
 from .keys import latest_by_key
 
+#: Columns of dates and flags, and the XML elements behind the flags.
 _DATES = ("status_date", "filing_date", "registration_date", "cancellation_date", "abandonment_date")
 _FLAGS = {
     "is_trademark": ("trademark-in",),
@@ -41,12 +42,18 @@ def valid_records(raw: DataFrame) -> DataFrame:
     return raw.withColumn("serial_number", serial).filter(serial.isNotNull())
 
 
+def last_records(raw: DataFrame) -> DataFrame:
+    """The last record of each serial number, nested; one shuffle before any child is exploded."""
+    return latest_by_key(valid_records(raw), ["serial_number"], ["source_file", "position"])
+
+
 def load_registry(raw: DataFrame) -> dict[str, DataFrame]:
-    """trademarks, classes, statements, owners, design_codes of the last record of each serial number.
+    """trademarks, classes, statements, owners, design_codes of the last record of each serial number."""
+    return registry_tables(last_records(raw))
+
 
-    The nested row is chosen before its children are exploded, so a serial number costs one shuffle.
-    """
-    rows = latest_by_key(valid_records(raw), ["serial_number"], ["source_file", "position"])
+def registry_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """The five tables of nested records that are chosen already; settle these first where several tables are written."""
     text = {c: _field(c.replace("_", "-")) for c in ("mark_identification", "status_code", "mark_drawing_code", "attorney_name")}
     trademarks = rows.select(
         "serial_number",
@@ -95,6 +102,13 @@ def file_load_stats(raw: DataFrame) -> DataFrame:
     return raw.groupBy("source_file").agg(F.count("*").alias("total"), F.count_if(ok).alias("inserted"), F.count_if(~ok).alias("errored"))
 
 
+def status_code_counts(status: DataFrame, trademarks: DataFrame) -> DataFrame:
+    """Per live or dead: codes in all, codes that trademarks have, and trademarks."""
+    used = trademarks.groupBy("status_code").agg(F.count("*").alias("n"))
+    joined = status.join(used, "status_code", "left")
+    return joined.groupBy("live_dead").agg(F.count("*").alias("codes"), F.count("n").alias("used"), F.coalesce(F.sum("n"), F.lit(0)).alias("marks"))
+
+
 def orphan_counts(trademarks: DataFrame, **children: DataFrame) -> DataFrame:
     """(child, orphans) for each child table."""
     parent = trademarks.select("serial_number")

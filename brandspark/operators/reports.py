@@ -6,22 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import registration_label, status_label, truncate_text, yes_no
-from .keys import carry_first_seen
+from .keys import cap_per_key, carry_first_seen
 
-#: Qualities from best to worst, and the label of an unknown suit.
-QUALITIES = ("exact", "a_preferred", "a_only", "ai_high", "ai_medium", "b_only", "ai_low", "b_uncertain")
+#: Qualities from best to worst, those that the suit report has as columns, and the label of an unknown suit.
+RANKED = ("exact", "a_preferred", "a_only", "ai_high", "ai_medium", "b_only", "ai_low", "b_uncertain")
+COLUMNS = ("exact", "a_preferred", "a_only", "b_only", "b_uncertain", "not_found")
 UNKNOWN = "未知"
 
 
+#: The order of each report's rows; equal rows go by their other columns where a place is given (``sources.readers.placed``).
+ORDERS = {
+    "overview": lambda: [F.desc("case_count"), F.asc("real_company")],
+    "suits": lambda: [F.desc("total"), F.asc("suit")],
+    "not_found": lambda: [F.desc_nulls_last("date_filed"), F.desc("case_number")],
+    "details": lambda: [F.asc("real_company"), F.asc("mark_identification"), F.asc("nice_class")],
+    "brands": lambda: [F.asc("real_company"), F.asc("mark_identification")],
+}
+
+
 def _rank(quality: Column) -> Column:
-    out = F.lit(len(QUALITIES) + 1)
-    for k, name in enumerate(QUALITIES, 1):
+    """The place of a quality among the ranked ones; all others share the last place."""
+    out = F.lit(len(RANKED) + 1)
+    for k, name in enumerate(RANKED, 1):
         out = F.when(quality == name, k).otherwise(out)
     return out
 
 
-def _joined(column: str, separator: str) -> Column:
-    return F.array_join(F.array_sort(F.collect_set(column)), separator)
+def first_of_lists(rows: DataFrame, key: str, lists: dict[str, tuple[str, str, int]]) -> DataFrame:
+    """(key, and a text for each list): the distinct values of a column in order, joined, and cut after n characters.
+
+    ``lists`` is name: (column, separator, n).  So many values as can have n characters are enough to know the text, and
+    whether it is cut: of a key's values no more are gathered, and a rank limit drops the others before they travel.
+    """
+    one = lambda name, column: F.struct(F.lit(name).alias("list"), F.col(column).cast("string").alias("value"))
+    values = rows.select(key, F.explode(F.array(*[one(name, column) for name, (column, _, _) in lists.items()])).alias("v")).select(key, "v.*")
+    enough = {name: n // (1 + len(separator)) + 3 for name, (_, separator, n) in lists.items()}
+    distinct = values.filter("value IS NOT NULL").distinct()
+    first = cap_per_key(distinct, [key, "list"], [F.col("value")], max(enough.values()))
+    of = lambda name: F.array_sort(F.collect_list(F.when(F.col("list") == name, F.col("value"))))
+    text = {name: F.array_join(F.slice(of(name), 1, enough[name]), separator) for name, (_, separator, _) in lists.items()}
+    gathered = first.groupBy(key).agg(*[c.alias(name) for name, c in text.items()])
+    return gathered.select(key, *[truncate_text(F.col(name), n).alias(name) for name, (_, _, n) in lists.items()])
 
 
 def active_brand_counts(details: DataFrame) -> DataFrame:
@@ -35,28 +60,27 @@ def company_overview(matched: DataFrame, cases: DataFrame, details: DataFrame) -
     grouped = rows.groupBy("real_company").agg(
         F.countDistinct("case_number").alias("case_count"),
         F.max("date_filed").alias("last"),
-        _joined("case_number", ", ").alias("numbers"),
         F.min(F.struct(_rank(F.col("match_quality")), "match_quality"))["match_quality"].alias("best_quality"),
-        _joined("plaintiff_clean", "; ").alias("p"),
-        _joined("brand_clean", "; ").alias("b"),
         F.bool_or("needs_review").alias("review"),
-        _joined("nature_of_suit", ", ").alias("suit_types"),
+        F.array_join(F.array_sort(F.collect_set("nature_of_suit")), ", ").alias("suit_types"),  # all of them are the result
     )
+    texts = first_of_lists(rows, "real_company", {"case_numbers": ("case_number", ", ", 500), "plaintiffs": ("plaintiff_clean", "; ", 300), "brands": ("brand_clean", "; ", 300)})
     return (
         grouped.join(active_brand_counts(details), "real_company", "left")
+        .join(texts, "real_company", "left")
         .select(
             "real_company",
             "case_count",
             F.coalesce(F.date_format("last", "yyyy-MM-dd"), F.lit("")).alias("last_date"),
-            truncate_text(F.col("numbers"), 500).alias("case_numbers"),
+            F.coalesce("case_numbers", F.lit("")).alias("case_numbers"),
             F.coalesce("best_quality", F.lit("")).alias("best_quality"),
-            truncate_text(F.col("p"), 300).alias("plaintiffs"),
-            truncate_text(F.col("b"), 300).alias("brands"),
+            F.coalesce("plaintiffs", F.lit("")).alias("plaintiffs"),
+            F.coalesce("brands", F.lit("")).alias("brands"),
             F.coalesce("brand_count", F.lit(0)).alias("brand_count"),
             yes_no(F.col("review")).alias("needs_review"),
             "suit_types",
         )
-        .orderBy(F.desc("case_count"), "real_company")
+        .orderBy(*ORDERS["overview"]())
     )
 
 
@@ -65,10 +89,7 @@ def _suits(matched: DataFrame, cases: DataFrame) -> DataFrame:
     return matched.join(cases.select("case_number", "nature_of_suit"), "case_number", "left").withColumn("suit", suit)
 
 
-QUALITIES = ("exact", "a_preferred", "a_only", "b_only", "b_uncertain", "not_found")
-
-
-def quality_by_suit(matched: DataFrame, cases: DataFrame, qualities: tuple[str, ...] = QUALITIES) -> DataFrame:
+def quality_by_suit(matched: DataFrame, cases: DataFrame, qualities: tuple[str, ...] = COLUMNS) -> DataFrame:
     """Suit type by quality, with the total of each row; qualities beyond the given ones follow, sorted.
 
     A null quality counts in the total only.
@@ -77,14 +98,14 @@ def quality_by_suit(matched: DataFrame, cases: DataFrame, qualities: tuple[str,
     more = sorted(r[0] for r in found.filter(~F.col("match_quality").isin(*qualities)).collect())
     column = lambda q: F.count_if(F.col("match_quality") == q).alias(q)
     table = _suits(matched, cases).groupBy("suit").agg(*[column(q) for q in (*qualities, *more)], F.count("*").alias("total"))
-    return table.orderBy(F.desc("total"), "suit")
+    return table.orderBy(*ORDERS["suits"]())
 
 
 def match_rate_by_suit(matched: DataFrame, cases: DataFrame) -> DataFrame:
     found = F.col("match_quality") != "not_found"
     table = _suits(matched, cases).groupBy("suit").agg(F.count("*").alias("total"), F.count_if(found).alias("matched"), F.count_if(~found).alias("not_found"))
     rate = F.col("matched") / F.col("total")
-    return table.withColumns({"rate": rate, "rate_label": F.format_string("%.1f%%", 100 * rate)}).orderBy(F.desc("total"), "suit")
+    return table.withColumns({"rate": rate, "rate_label": F.format_string("%.1f%%", 100 * rate)}).orderBy(*ORDERS["suits"]())
 
 
 def pipeline_summary(cases: DataFrame, matched: DataFrame, details: DataFrame) -> DataFrame:
@@ -95,7 +116,7 @@ def pipeline_summary(cases: DataFrame, matched: DataFrame, details: DataFrame) -
 def not_found_report(matched: DataFrame, cases: DataFrame) -> DataFrame:
     rows = matched.filter("match_quality = 'not_found'").drop("plaintiff_clean", "brand_clean").join(cases, "case_number", "left")
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    return rows.orderBy(F.desc_nulls_last("date_filed"), F.desc("case_number")).select(
+    return rows.orderBy(*ORDERS["not_found"]()).select(
         "case_number",
         F.coalesce(F.date_format("date_filed", "yyyy-MM-dd"), F.lit("")).alias("date_filed"),
         *[text(c) for c in ("nature_of_suit", "plaintiff_raw", "brand_raw", "plaintiff_clean", "brand_clean")],
@@ -117,10 +138,10 @@ def brand_detail_report(details: DataFrame, previous: DataFrame, today: str) ->
         truncate_text(F.coalesce("goods_services", F.lit("")), 500).alias("goods_services"),
     )
     keys = ["real_company", "mark_identification", "serial_number", "nice_class"]
-    return carry_first_seen(rows.distinct(), previous, keys, F.lit(today)).orderBy("real_company", "mark_identification", "nice_class")
+    return carry_first_seen(rows.distinct(), previous, keys, F.lit(today)).orderBy(*ORDERS["details"]())
 
 
 def tro_brand_list(details: DataFrame, previous: DataFrame, today: str) -> DataFrame:
     from .collect import company_brand_pairs
 
-    return carry_first_seen(company_brand_pairs(details), previous, ["real_company", "mark_identification"], F.lit(today)).orderBy("real_company", "mark_identification")
+    return carry_first_seen(company_brand_pairs(details), previous, ["real_company", "mark_identification"], F.lit(today)).orderBy(*ORDERS["brands"]())

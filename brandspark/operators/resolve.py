@@ -41,7 +41,8 @@ def resolve_companies(cases: DataFrame, path_a: DataFrame, path_b: DataFrame, mo
     best_b = b.groupBy(F.col("name").alias("brand")).agg(F.count("*").alias("b_n"), F.min("owner_name").alias("b_first"))
     both = (F.col("plaintiff_clean") != "") & (F.col("brand_clean") != "") & ~F.col("brand_eq_plaintiff")
     pairs = cases.filter(both).select(F.col("plaintiff_clean").alias("plaintiff"), F.col("brand_clean").alias("brand")).distinct()
-    shared = scored.join(b.withColumnRenamed("name", "brand"), "owner_name").join(pairs, ["plaintiff", "brand"], "left_semi")
+    # from the pairs that occur to the plaintiff's owners; those of the brand only filter, so no owner multiplies names
+    shared = pairs.join(scored, "plaintiff").join(b.withColumnRenamed("name", "brand"), ["brand", "owner_name"], "left_semi")
     best_ab = first(shared, "ab", "plaintiff", "brand")
     joined = cases.withColumn("ka", F.when(F.col("plaintiff_clean") != "", F.col("plaintiff_clean")))
     joined = joined.withColumn("kb", F.when((F.col("brand_clean") != "") & ~F.col("brand_eq_plaintiff"), F.col("brand_clean")))

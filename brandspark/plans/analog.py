@@ -38,6 +38,29 @@ VIEWS = {
     "v_changes": "SELECT user_id AS serial_number, event_id AS position, event_type AS source_file, value, CAST(ts AS DATE) AS filing_date FROM {events}",
     "v_images": "SELECT vec_id AS image_id, label AS patent_number, embedding FROM {embeddings}",
 }
+PATENTS = """
+    WITH cited AS (
+      SELECT l_orderkey, array_join(array_sort(collect_list(concat('<us-citation><patcit num="1"><document-id><country>US</country><doc-number>', l_partkey,
+        '</doc-number><kind>', l_returnflag, '</kind></document-id></patcit><category>cited by ', CASE WHEN l_linestatus = 'O' THEN 'examiner' ELSE 'applicant' END, '</category></us-citation>'))), '') AS x
+      FROM {lineitem} GROUP BY l_orderkey)
+    SELECT concat('I', year(o_orderdate), '.tar') AS source_tar, concat(o_orderkey, '.ZIP') AS source_zip, o_orderkey AS position,
+      array('D00000.TIF', concat('D', lpad(o_orderkey % 7, 5, '0'), '.TIF')) AS images,
+      concat('<us-patent-grant lang="EN"><us-bibliographic-data-grant>',
+        CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE concat('<publication-reference><document-id><country>US</country><doc-number>', CASE WHEN o_orderkey div 2 % 4 = 0 THEN 'D' ELSE '' END,
+          lpad(o_orderkey div 2, 7, '0'), '</doc-number><kind>', o_orderstatus, '</kind><date>', date_format(o_orderdate, 'yyyyMMdd'), '</date></document-id></publication-reference>') END,
+        '<application-reference appl-type="', CASE WHEN o_orderkey div 2 % 4 = 0 THEN 'design' ELSE 'utility' END, '"><document-id><doc-number>', o_custkey, '</doc-number><date>20240230</date></document-id></application-reference>',
+        '<invention-title id="t">Order of <i>', o_orderpriority, '</i> &amp;  more</invention-title><number-of-claims> ', o_orderkey % 30, ' </number-of-claims>',
+        '<figures><number-of-drawing-sheets>', o_orderkey % 5, '</number-of-drawing-sheets></figures>',
+        '<us-term-of-grant><length-of-grant>', CASE WHEN o_orderkey div 2 % 4 = 0 THEN '15' ELSE '' END, '</length-of-grant></us-term-of-grant>',
+        '<classifications-cpc><main-cpc><classification-cpc><section>H</section><class>01</class><subclass>M</subclass><main-group>', o_custkey % 50, '</main-group><subgroup>', o_orderkey % 9,
+          '</subgroup></classification-cpc></main-cpc><further-cpc><classification-cpc><section>G</section><class>06</class><subclass>F</subclass><main-group>1</main-group><subgroup>2</subgroup></classification-cpc></further-cpc></classifications-cpc>',
+        CASE WHEN o_orderkey div 2 % 4 = 0 THEN concat('<classification-locarno><main-classification>', lpad(o_custkey % 99, 4, '0'), '</main-classification></classification-locarno>') ELSE '' END,
+        '<classification-national><main-classification>D24</main-classification><further-classification>D1</further-classification><further-classification>D2</further-classification></classification-national>',
+        '<us-references-cited>', coalesce(x, ''), '<us-citation><nplcit><othercit>a book</othercit></nplcit><category>cited by examiner</category></us-citation></us-references-cited>',
+        '<us-parties><inventors><inventor><addressbook><last-name>', c_name, '</last-name><first-name>', c_mktsegment, '</first-name><address><city>', n_name, '</city><country>US</country></address></addressbook></inventor></inventors></us-parties>',
+        '<assignees><assignee><addressbook><orgname>', c_name, ' Inc.</orgname><address><city>', n_name, '</city></address></addressbook></assignee></assignees>',
+        '</us-bibliographic-data-grant><abstract><p>First of ', o_orderkey, '.</p><p>Second.</p></abstract></us-patent-grant>') AS record
+    FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey LEFT JOIN cited ON l_orderkey = o_orderkey"""
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages")
 
 
@@ -77,6 +100,19 @@ class Analog:
     def path_b(self) -> DataFrame:
         return settled(match_marks(unique_brands(self.cases).withColumnRenamed("brand_clean", "name"), self.marks))
 
+    @cached_property
+    def path_a1(self) -> DataFrame:
+        return settled(match_owners(unique_plaintiffs(self.cases).withColumnRenamed("plaintiff_clean", "name"), self.marks, mode="v1"))
+
+    @cached_property
+    def path_b1(self) -> DataFrame:
+        return settled(match_marks(unique_brands(self.cases).withColumnRenamed("brand_clean", "name"), self.marks, mode="v1"))
+
+    @cached_property
+    def patent_records(self) -> DataFrame:
+        """Grant records in XML: two orders of a number, every fourth a design, some without a number."""
+        return self.spark.sql(PATENTS, **{t: self.table(t) for t in ("orders", "customer", "nation", "lineitem")})
+
     @cached_property
     def matched(self) -> DataFrame:
         return settled(resolve_companies(self.cases, self.path_a, self.path_b))

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, similarity, text
-from ..operators import cases, collect, images, incremental, keys, lists, matching, patents, registry, reports, resolve, retry
-from ..operators.lineage import settled
+from ..operators import cases, collect, images, incremental, keys, lists, matching, name_index, patents, registry, reports, resolve, retry
+from ..operators.lineage import new_folder, settled
+from ..sources import readers
 from .analog import Analog
-from .sql import brand, pattern, plaintiff, quote, score, tokens, trigrams, with_ctes, words
+from .sql import RANK, brand, pattern, plaintiff, quote, score, tokens, trigrams, with_ctes, words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,13 +38,17 @@ def _(a: Analog) -> DataFrame:
     return a.cases.select("case_number", "plaintiff_clean", "brand_clean", "brand_eq_plaintiff")
 
 
-_F1 = "CASE doc_id % 5 WHEN 0 THEN substr(text, 1, 40) || ' | x' WHEN 1 THEN substr(text, 1, 30) || '; an Individual of' WHEN 2 THEN substr(text, 1, 25) || '; 3200 Corporate Drive' WHEN 3 THEN substr(text, 1, 20) || ' doing business as Y;' ELSE substr(text, 1, 33) END"
+_F1 = "CASE (doc_id + pos) % 5 WHEN 0 THEN line || ' | x' WHEN 1 THEN line || '; an Individual of' WHEN 2 THEN line || '; 3200 Corporate Drive' WHEN 3 THEN line || ' doing business as Y;' ELSE line END"
 
 
-@query("f01_clean_plaintiff", f"SELECT doc_id, {plaintiff('x')} AS plaintiff FROM (SELECT doc_id, replace({_F1}, chr(10), ' ') AS x FROM documents)")
+@query(
+    "f01_clean_plaintiff",
+    f"SELECT doc_id, pos, {plaintiff('x')} AS plaintiff FROM (SELECT doc_id, pos, {_F1} AS x FROM (SELECT doc_id, u.i - 1 AS pos, p[u.i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), unnest(range(1, len(p) + 1)) AS u(i)))",
+)
 def _(a: Analog) -> DataFrame:
-    rows = a.table("documents").select("doc_id", F.replace(F.expr(_F1), F.lit("\n"), F.lit(" ")).alias("x"))
-    return rows.select("doc_id", text.clean_plaintiff(F.col("x")).alias("plaintiff"))
+    """Every line of every text, whole."""
+    rows = a.table("documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).select("doc_id", "pos", F.expr(_F1).alias("x"))
+    return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), text.clean_plaintiff(F.col("x")).alias("plaintiff"))
 
 
 _F1_WHOLE = "text || CASE doc_id % 5 WHEN 0 THEN ' | x' WHEN 1 THEN '; an Individual of' WHEN 2 THEN '; 3200 Corporate Drive' WHEN 3 THEN ' doing business as Y;' ELSE '' END"
@@ -51,7 +56,7 @@ _F1_WHOLE = "text || CASE doc_id % 5 WHEN 0 THEN ' | x' WHEN 1 THEN '; an Indivi
 
 @query("f01_clean_whole_plaintiff", f"SELECT doc_id, {plaintiff('x')} AS plaintiff FROM (SELECT doc_id, replace({_F1_WHOLE}, chr(10), ' ') AS x FROM documents)")
 def _(a: Analog) -> DataFrame:
-    """As f01_clean_plaintiff, over whole texts."""
+    """Whole texts as one name each."""
     rows = a.table("documents").select("doc_id", F.replace(F.expr(_F1_WHOLE), F.lit("\n"), F.lit(" ")).alias("x"))
     return rows.select("doc_id", text.clean_plaintiff(F.col("x")).alias("plaintiff"))
 
@@ -192,10 +197,13 @@ def _(a: Analog) -> DataFrame:
     return cases.case_summary(a.cases)
 
 
-@query("a17_status_codes", "SELECT live_dead, count(*) AS codes FROM status GROUP BY 1")
+@query(
+    "a17_status_codes",
+    """SELECT live_dead, count(*) AS codes, count(n) AS used, coalesce(sum(n), 0)::BIGINT AS marks
+        FROM status LEFT JOIN (SELECT status_code, count(*) AS n FROM v_trademarks GROUP BY 1) USING (status_code) GROUP BY 1""",
+)
 def _(a: Analog) -> DataFrame:
-    used = a.status.join(a.view("v_trademarks").select("status_code").distinct().withColumn("used", F.lit(1)), "status_code", "left")
-    return used.groupBy("live_dead").agg(F.count("*").alias("codes"))
+    return registry.status_code_counts(a.status, a.view("v_trademarks"))
 
 
 @query("j1_live_marks", "SELECT * FROM marks")
@@ -234,14 +242,19 @@ def _(a: Analog) -> DataFrame:
     return a.matched
 
 
-@query(
-    "c3_resolve_companies_v1",
-    """SELECT case_number, CASE WHEN ab.n > 0 THEN ab.owner WHEN a.n > 0 THEN a.owner ELSE b.owner END AS real_company,
-        CASE WHEN ab.n > 0 THEN 'exact' WHEN a.n > 0 AND b.n > 0 THEN 'a_preferred' WHEN a.n > 0 THEN 'a_only' WHEN b.n > 0 THEN 'b_only' ELSE 'not_found' END AS match_quality
-        FROM cases LEFT JOIN best_a a USING (case_number) LEFT JOIN best_b b USING (case_number) LEFT JOIN best_ab ab USING (case_number)""",
-)
+@query("j2_match_owners_v1", "SELECT * FROM path_a1")
 def _(a: Analog) -> DataFrame:
-    return resolve.resolve_companies(a.cases, a.path_a, a.path_b, mode="v1").select("case_number", "real_company", "match_quality")
+    return a.path_a1
+
+
+@query("j3_match_marks_v1", "SELECT * FROM path_b1")
+def _(a: Analog) -> DataFrame:
+    return a.path_b1
+
+
+@query("c3_resolve_companies_v1", "SELECT * FROM matched1")
+def _(a: Analog) -> DataFrame:
+    return resolve.resolve_companies(a.cases, a.path_a1, a.path_b1, mode="v1")
 
 
 @query("a7_quality_distribution", "SELECT match_quality, count(*) AS cases, count(*) FILTER (WHERE needs_review) AS review FROM matched GROUP BY 1")
@@ -297,6 +310,7 @@ def _(a: Analog) -> DataFrame:
     return collect.company_brand_pairs(a.details)
 
 
+_AI = "CASE CAST(case_number AS BIGINT) % 9 WHEN 0 THEN 'ai_high' WHEN 1 THEN 'ai_medium' WHEN 2 THEN 'ai_low' WHEN 3 THEN 'other' ELSE match_quality END"
 _CUT = "CASE WHEN length({0}) > {1} THEN substr({0}, 1, {1}) || '...' ELSE {0} END AS {2}"
 
 
@@ -306,15 +320,16 @@ _CUT = "CASE WHEN length({0}) > {1} THEN substr({0}, 1, {1}) || '...' ELSE {0} E
         {_CUT.format("b", 300, "brands")}, coalesce(brand_count, 0) AS brand_count, needs_review, suit_types FROM (
           SELECT m.real_company, count(DISTINCT case_number) AS case_count, coalesce(strftime(max(date_filed), '%Y-%m-%d'), '') AS last_date,
             string_agg(DISTINCT case_number, ', ' ORDER BY case_number) AS numbers,
-            CASE min(CASE match_quality WHEN 'exact' THEN 1 WHEN 'a_preferred' THEN 2 WHEN 'a_only' THEN 3 WHEN 'b_only' THEN 6 WHEN 'b_uncertain' THEN 8 ELSE 9 END)
-              WHEN 1 THEN 'exact' WHEN 2 THEN 'a_preferred' WHEN 3 THEN 'a_only' WHEN 6 THEN 'b_only' ELSE 'b_uncertain' END AS best_quality,
+            (ARRAY['exact', 'a_preferred', 'a_only', 'ai_high', 'ai_medium', 'b_only', 'ai_low', 'b_uncertain', 'other'])[min({RANK})] AS best_quality,
             string_agg(DISTINCT m.plaintiff_clean, '; ' ORDER BY m.plaintiff_clean) AS p, string_agg(DISTINCT m.brand_clean, '; ' ORDER BY m.brand_clean) AS b,
             CASE WHEN bool_or(needs_review) THEN '是' ELSE '否' END AS needs_review, string_agg(DISTINCT nature_of_suit, ', ' ORDER BY nature_of_suit) AS suit_types
-          FROM matched m JOIN cases USING (case_number) WHERE real_company IS NOT NULL GROUP BY 1)
+          FROM (SELECT * REPLACE ({_AI} AS match_quality) FROM matched) m JOIN (SELECT case_number, date_filed, nature_of_suit FROM cases) USING (case_number)
+          WHERE real_company IS NOT NULL GROUP BY 1)
         LEFT JOIN (SELECT real_company, count(DISTINCT mark_identification) AS brand_count FROM details GROUP BY 1) USING (real_company)""",
 )
 def _(a: Analog) -> DataFrame:
-    return reports.company_overview(a.matched, a.cases, a.details)
+    """Some matches have the qualities that a later review gives."""
+    return reports.company_overview(a.matched.withColumn("match_quality", F.expr(_AI)), a.cases, a.details)
 
 
 _COUNT = ", ".join(f"count(*) FILTER (WHERE match_quality = '{q}') AS {q}" for q in ("exact", "a_preferred", "a_only", "b_only", "b_uncertain", "not_found"))
@@ -382,11 +397,53 @@ def _(a: Analog) -> DataFrame:
     return reports.brand_detail_report(a.details, seen, "2024-06-01")
 
 
+@query("c10_retry_not_found", "SELECT * FROM retried")
+def _(a: Analog) -> DataFrame:
+    return retry.retry_not_found(a.matched, a.cases, a.marks)
+
+
+@query("j4_retry_owners", "SELECT * FROM retry_names")
+def _(a: Analog) -> DataFrame:
+    return matching.retry_owners(retry.lost_plaintiffs(a.matched, a.cases), a.marks)
+
+
 @query(
-    "c10_retry_not_found",
+    "j6_retry_brand_only",
+    """SELECT case_number, list_sort(list(DISTINCT owner_name))[1:3] AS companies FROM cases JOIN marks ON brand_clean = upper(mark_identification)
+        WHERE plaintiff_clean = '' AND length(brand_clean) >= 2 AND regexp_matches(brand_clean, '\\p{L}') GROUP BY case_number""",
 )
 def _(a: Analog) -> DataFrame:
-    return retry.retry_not_found(a.matched, a.cases, a.marks)
+    """All cases without a plaintiff, as if none had a company yet."""
+    matched = a.matched.withColumn("match_quality", F.when(F.col("plaintiff_clean") == "", "not_found").otherwise("exact"))
+    return retry.retry_brand_only(matched, a.cases, a.marks)
+
+
+@query(
+    "w6_report_orders",
+    f"""SELECT 'suits' AS report, row_number() OVER (ORDER BY total DESC, suit) AS place, suit AS a, '' AS b, '' AS c FROM (SELECT suit, count(*) AS total FROM suits GROUP BY 1)
+        UNION ALL SELECT 'overview', row_number() OVER (ORDER BY n DESC, real_company), real_company, '', '' FROM (SELECT real_company, count(DISTINCT case_number) AS n FROM matched WHERE real_company IS NOT NULL GROUP BY 1)
+        UNION ALL SELECT 'not_found', row_number() OVER (ORDER BY date_filed DESC NULLS LAST, case_number DESC), case_number, strftime(date_filed, '%Y-%m-%d'), '' FROM lost
+        UNION ALL SELECT 'brands', row_number() OVER (ORDER BY real_company, mark_identification), real_company, mark_identification, '' FROM (SELECT DISTINCT real_company, mark_identification FROM details WHERE mark_identification <> '')
+        UNION ALL SELECT 'details', row_number() OVER (ORDER BY real_company, mark_identification, coalesce(international_code, ''), s), real_company, mark_identification, coalesce(international_code, '')
+          FROM (SELECT DISTINCT real_company, mark_identification, international_code, CAST(serial_number AS STRING) AS s FROM details WHERE mark_identification <> '')""",
+)
+def _(a: Analog) -> DataFrame:
+    """The place of each report's rows, as the ordered sink gives it."""
+    seen = a.details.select("real_company", "mark_identification", F.col("serial_number").cast("string").alias("serial_number"), F.lit("").alias("nice_class"), F.lit("").alias("listed"), F.lit(0).alias("position")).limit(0)
+    detail = reports.brand_detail_report(a.details, seen, "2024-06-01").select("real_company", "mark_identification", "nice_class", "serial_number").distinct()
+    shown = {
+        "suits": (reports.match_rate_by_suit(a.matched, a.cases).select("suit", "total"), ("suit",)),
+        "overview": (reports.company_overview(a.matched, a.cases, a.details).select("real_company", "case_count"), ("real_company",)),
+        "not_found": (reports.not_found_report(a.matched, a.cases).select("case_number", "date_filed"), ("case_number", "date_filed")),
+        "brands": (reports.tro_brand_list(a.details, seen, "2024-06-01").select("real_company", "mark_identification"), ("real_company", "mark_identification")),
+        "details": (detail, ("real_company", "mark_identification", "nice_class")),
+    }
+    out = None
+    for name, (report, columns) in shown.items():
+        text = [F.col(c) for c in columns] + [F.lit("")] * (3 - len(columns))
+        one = readers.placed(report, reports.ORDERS[name]()).select(F.lit(name).alias("report"), "place", *[t.alias(c) for t, c in zip(text, "abc", strict=True)])
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(
@@ -411,10 +468,26 @@ def _(a: Analog) -> DataFrame:
 )
 def _(a: Analog) -> DataFrame:
     part = a.table("part")
-    found = matching.similar_names(part.select(F.col("p_type").alias("query")), part.select(F.col("p_name").alias("name")), least=0.1, top=None)
+    index = name_index.build_name_index(part.select(F.col("p_name").alias("name")), new_folder(a.spark), least=0.1)
+    found = name_index.search_names(index, part.select(F.col("p_type").alias("query")), top=None)
     return found.withColumn("sim", F.round("sim", 9))
 
 
+@query(
+    "x3_goods_search",
+    f"""SELECT md5(query) AS query, md5(name) AS name, round(sim, 9) AS sim FROM (
+          SELECT q.text AS query, n.text AS name, len(list_intersect(q.g, n.g)) / len(list_distinct(list_concat(q.g, n.g))) AS sim
+          FROM (SELECT DISTINCT text, {trigrams("text")} AS g FROM benchmark) q, (SELECT DISTINCT text, {trigrams("text")} AS g FROM documents) n WHERE len(q.g) > 0 AND len(n.g) > 0)
+        WHERE sim >= 0.3""",
+)
+def _(a: Analog) -> DataFrame:
+    """Long texts in the index, and as queries."""
+    texts = a.table("documents").select(F.col("text").alias("name"))
+    index = name_index.build_name_index(texts, new_folder(a.spark))
+    found = name_index.search_names(index, a.spark.read.parquet(f"{a.folder}/benchmark.parquet").select(F.col("text").alias("query")), top=None)
+    return found.select(F.md5("query").alias("query"), F.md5("name").alias("name"), F.round("sim", 9).alias("sim"))
+
+
 # Registry, increments, lists ----------------------------------------------------------------------------------------
 
 _LAST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial_number ORDER BY source_file DESC, position DESC) AS k FROM {0}) WHERE k = 1"
@@ -504,19 +577,25 @@ def _(a: Analog) -> DataFrame:
     return registry.orphan_counts(a.view("v_trademarks"), statements=a.view("v_statements"), classes=a.view("v_classes"))
 
 
+def _load_stats(a: Analog) -> DataFrame:
+    """Records of each file, every tenth without a number."""
+    serial = F.when(F.col("position") % 10 == 0, "x1").otherwise(F.col("serial_number").cast("string"))
+    return registry.file_load_stats(a.view("v_changes").withColumn("serial-number", serial))
+
+
 @query(
     "a12_registry_quality",
-    f"""SELECT total, named, round(100.0 * named / total, 1) AS named_pct, last_filing, orphans, 0 AS errors, probe_hits, orphans = 0 AND total > 100 AND probe_hits > 0 AS ok
+    f"""SELECT total, named, round(100.0 * named / total, 1) AS named_pct, last_filing, orphans, errors, probe_hits, errors = 0 AND orphans = 0 AND total > 100 AND probe_hits > 0 AS ok
         FROM (SELECT count(*) AS total, count(*) FILTER (WHERE p_name <> '') AS named, DATE '2024-01-31' AS last_filing,
           count(*) FILTER (WHERE len(list_intersect(g, h)) / len(list_distinct(list_concat(g, h))) >= 0.3) AS probe_hits
           FROM (SELECT p_name, {trigrams("p_name")} AS g, {trigrams("'brand'")} AS h FROM part)),
-        (SELECT count(*) AS orphans FROM v_classes WHERE serial_number NOT IN (SELECT serial_number FROM v_trademarks))""",
+        (SELECT count(*) AS orphans FROM v_classes WHERE serial_number NOT IN (SELECT serial_number FROM v_trademarks)),
+        (SELECT count(*) FILTER (WHERE position % 10 = 0) AS errors FROM v_changes)""",
 )
 def _(a: Analog) -> DataFrame:
     marks = a.view("v_trademarks").withColumn("filing_date", F.lit("2024-01-31").cast("date"))
     orphans = registry.orphan_counts(marks, classes=a.view("v_classes"))
-    errors = a.view("v_changes").select(F.lit(0).alias("errored"))
-    return registry.registry_quality(marks, orphans, errors, "brand", least_total=100)
+    return registry.registry_quality(marks, orphans, _load_stats(a), "brand", least_total=100)
 
 
 @query(
@@ -531,8 +610,7 @@ def _(a: Analog) -> DataFrame:
 
 @query("a13_file_load_stats", "SELECT source_file, count(*) AS total, count(*) FILTER (WHERE position % 10 <> 0) AS inserted, count(*) FILTER (WHERE position % 10 = 0) AS errored FROM v_changes GROUP BY 1")
 def _(a: Analog) -> DataFrame:
-    serial = F.when(F.col("position") % 10 == 0, "x1").otherwise(F.col("serial_number").cast("string"))
-    return registry.file_load_stats(a.view("v_changes").withColumn("serial-number", serial))
+    return _load_stats(a)
 
 
 @query(
@@ -603,26 +681,88 @@ def _categories(a: Analog) -> DataFrame:
     given = {
         "walmart_product_type": F.col("p_brand"), "l1": F.col("p_type"), "l2": F.when(F.col("p_size") > 20, F.col("p_name")), "confidence": F.lit("高"),
         "sample": F.col("p_size").cast("string"), "cert": F.when(F.col("p_size") % 2 == 0, "无"), "ip_risk": F.when(F.col("p_size") % 5 == 0, "高"),
-        "sales_qualification": F.lit(" none "),
+        "sales_qualification": F.when(F.col("p_size") % 4 == 0, " 资质A ").when(F.col("p_size") % 4 == 1, " none ").when(F.col("p_size") % 4 == 2, "B"),
+        "walmart_category": F.concat(F.lit(" "), "p_brand"), "walmart_ptg": F.when(F.col("p_size") % 3 > 0, F.col("p_type")), "bsr": F.col("p_size").cast("string"),
+        "source": F.lit("none"), "compliance_notes": F.when(F.col("p_size") % 6 == 0, " n "), "notes": F.col("p_name"),
     }
     return part.select(*[given.get(c, F.lit(None).cast("string")).alias(c) for c in lists.CATEGORY_COLUMNS], F.col("p_partkey").alias("position"))
 
 
-_CATEGORY = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY amazon_path, walmart_product_type ORDER BY p_partkey) AS k FROM (
-        SELECT p_type || CASE WHEN p_size > 20 THEN ' > ' || p_name ELSE '' END AS amazon_path, p_brand AS walmart_product_type, '0.90' AS confidence,
-        p_size AS history_sample_count, CASE WHEN p_size % 5 = 0 THEN '高' END AS ip_risk_level, p_size % 5 <> 0 AS is_safe, p_partkey FROM part)) WHERE k = 1)"""
+_CATEGORY = """(SELECT * EXCLUDE (k, p_partkey) FROM (SELECT *, row_number() OVER (PARTITION BY amazon_path, walmart_product_type ORDER BY p_partkey) AS k FROM (
+        SELECT p_type || CASE WHEN p_size > 20 THEN ' > ' || p_name ELSE '' END AS amazon_path, p_brand AS walmart_product_type, p_brand AS walmart_category,
+        CASE WHEN p_size % 3 > 0 THEN p_type END AS walmart_ptg, p_type AS recommended_amazon_l1, CASE WHEN p_size > 20 THEN p_name END AS recommended_amazon_l2,
+        NULL::STRING AS recommended_amazon_l3, CAST(p_size AS STRING) AS recommended_amazon_bsr, p_type || CASE WHEN p_size > 20 THEN ' > ' || p_name ELSE '' END AS recommended_amazon_path,
+        '0.90' AS confidence, p_size AS history_sample_count, NULL::STRING AS source, CASE WHEN p_size % 2 = 0 THEN '无' END AS cert_required_text,
+        CASE WHEN p_size % 5 = 0 THEN '高' END AS ip_risk_level, CASE WHEN p_size % 6 = 0 THEN 'n' END AS compliance_notes,
+        CASE p_size % 4 WHEN 0 THEN '资质A' WHEN 2 THEN 'B' END AS sales_qualification, p_name AS notes, p_size % 5 <> 0 AS is_safe, p_partkey FROM part)) WHERE k = 1)"""
 
 
-@query("c9_category_map", f"SELECT amazon_path, walmart_product_type, confidence, history_sample_count, is_safe FROM {_CATEGORY}")
+@query("c9_category_map", f"SELECT * FROM {_CATEGORY}")
 def _(a: Analog) -> DataFrame:
-    return lists.category_map(_categories(a)).select("amazon_path", "walmart_product_type", "confidence", "history_sample_count", "is_safe")
+    return lists.category_map(_categories(a))
 
 
-@query("a16_category_stats", f"SELECT 'ip_risk_level' AS kind, ip_risk_level AS label, count(*) AS categories FROM {_CATEGORY} WHERE ip_risk_level IS NOT NULL GROUP BY 2")
+@query(
+    "a16_category_stats",
+    f"""SELECT 'ip_risk_level' AS kind, ip_risk_level AS label, count(*) AS categories FROM {_CATEGORY} WHERE ip_risk_level IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'sales_qualification', sales_qualification, count(*) FROM {_CATEGORY} WHERE sales_qualification IS NOT NULL GROUP BY 2""",
+)
 def _(a: Analog) -> DataFrame:
     return lists.category_stats(lists.category_map(_categories(a)))
 
 
+_PATENT = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY source_tar, o_orderkey) AS k FROM (
+        SELECT *, o_orderkey // 2 AS n, o_orderkey // 2 % 4 = 0 AS design, CASE WHEN o_orderkey // 2 % 4 = 0 THEN 'D' ELSE '' END || lpad(CAST(o_orderkey // 2 AS STRING), 7, '0') AS patent_number,
+          'I' || year(o_orderdate) || '.tar' AS source_tar, o_orderkey || '.ZIP' AS source_zip FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        WHERE o_orderkey % 97 <> 0)) WHERE k = 1)"""
+
+
+@query(
+    "x1_load_patents",
+    f"""SELECT patent_number, o_orderstatus AS kind, CAST(o_custkey AS STRING) AS application_number, CASE WHEN design THEN 'design' ELSE 'utility' END AS appl_type,
+        'Order of ' || o_orderpriority || ' & more' AS title, CAST(o_orderdate AS DATE) AS grant_date, CAST(NULL AS DATE) AS filing_date, 'First of ' || o_orderkey || '. Second.' AS abstract,
+        CAST(o_orderkey % 30 AS INT) AS num_claims, CAST(NULL AS INT) AS num_figures, CAST(o_orderkey % 5 AS INT) AS num_drawing_sheets, CASE WHEN design THEN 15 END AS term_years,
+        CAST(NULL AS INT) AS term_extension_days, source_tar FROM {_PATENT}""",
+)
+def _(a: Analog) -> DataFrame:
+    return patents.load_patents(a.patent_records)["grants"]
+
+
+@query(
+    "x1_patent_children",
+    f"""SELECT patent_number, 'assignees' AS child, c_name || ' Inc.' AS a, n_name AS b, '' AS c FROM {_PATENT}
+        UNION ALL SELECT patent_number, 'inventors', c_mktsegment, c_name, n_name FROM {_PATENT}
+        UNION ALL SELECT patent_number, 'classifications', unnest(['cpc', 'cpc', 'uspc', 'uspc', 'uspc']), unnest(['H01M ' || o_custkey % 50 || '/' || o_orderkey % 9, 'G06F 1/2', 'D24', 'D1', 'D2']),
+          unnest(['true', 'false', 'true', 'false', 'false']) FROM {_PATENT}
+        UNION ALL SELECT patent_number, 'classifications', 'locarno', lpad(CAST(o_custkey % 99 AS STRING), 4, '0'), 'true' FROM {_PATENT} WHERE design
+        UNION ALL SELECT patent_number, 'citations', CAST(l_partkey AS STRING), l_returnflag, CASE WHEN l_linestatus = 'O' THEN 'cited by examiner' ELSE 'cited by applicant' END
+          FROM {_PATENT} JOIN lineitem ON l_orderkey = o_orderkey
+        UNION ALL SELECT patent_number, 'images', i, 'design_images/' || patent_number || '/' || i, ''
+          FROM (SELECT *, unnest(['D00000.TIF', 'D' || lpad(CAST(o_orderkey % 7 AS STRING), 5, '0') || '.TIF']) AS i FROM {_PATENT} WHERE design)""",
+)
+def _(a: Analog) -> DataFrame:
+    t = patents.load_patents(a.patent_records)
+    shown = {
+        "assignees": ("orgname", "city", None), "inventors": ("first_name", "last_name", "city"), "classifications": ("system", "code", "is_main"),
+        "citations": ("cited_doc_number", "cited_kind", "category"), "images": ("image_name", "image_path", None),
+    }
+    out = None
+    for name, columns in shown.items():
+        text = [F.lit("") if c is None else F.col(c).cast("string") for c in columns]
+        one = t[name].select("patent_number", F.lit(name).alias("child"), *[x.alias(c) for x, c in zip(text, "abc", strict=True)])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "x1_load_errors",
+    """SELECT 'I' || year(o_orderdate) || '.tar' AS source_file, count(*) AS total, count(*) FILTER (WHERE o_orderkey % 97 <> 0) AS inserted, count(*) FILTER (WHERE o_orderkey % 97 = 0) AS errored
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+)
+def _(a: Analog) -> DataFrame:
+    return patents.load_errors(a.patent_records)
+
+
 @query(
     "x2_insert_patents",
     """SELECT patent_number, min(image_id) AS position FROM v_images GROUP BY 1""",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from ..functions.similarity import PATTERN_STOP, SCORE_STOP
 from ..functions.text import BRAND_RUN, PLAINTIFF_ENDS
-from ..operators.reports import QUALITIES
 from ..sources.status import STATUS_CODES
 from .analog import TABLES, VIEWS
 
@@ -52,8 +51,9 @@ def trigrams(c: str) -> str:
     return f"list_distinct(flatten({grams}))"
 
 
-_case = " ".join(f"WHEN {quote(q)} THEN {k}" for k, q in enumerate(QUALITIES, 1))
-RANK = f"CASE match_quality {_case} ELSE {len(QUALITIES) + 1} END"
+#: The report's order of qualities, written out for SQL.
+RANK = """CASE match_quality WHEN 'exact' THEN 1 WHEN 'a_preferred' THEN 2 WHEN 'a_only' THEN 3 WHEN 'ai_high' THEN 4 WHEN 'ai_medium' THEN 5
+    WHEN 'b_only' THEN 6 WHEN 'ai_low' THEN 7 WHEN 'b_uncertain' THEN 8 ELSE 9 END"""
 
 CTES = {
     **{name: text.format(**{t: t for t in TABLES}) for name, text in VIEWS.items()},
@@ -112,6 +112,62 @@ CTES = {
             CASE WHEN ab.n > 0 THEN 'exact' WHEN a.n > 0 AND b.n > 0 THEN 'a_preferred' WHEN a.n > 0 THEN 'a_only'
                  WHEN b.n <= 5 THEN 'b_only' WHEN b.n > 5 THEN 'b_uncertain' ELSE 'not_found' END AS q
           FROM cases c LEFT JOIN best_a a USING (case_number) LEFT JOIN best_b b USING (case_number) LEFT JOIN best_ab ab USING (case_number))""",
+    **{
+        f"exact_{x}1": f"SELECT name, {c} FROM names_{x}, (SELECT DISTINCT {c} FROM marks) WHERE {c} ILIKE '%' || name || '%'"
+        for x, c in (("a", "owner_name"), ("b", "mark_identification"))
+    },
+    **{
+        f"path_{x}1": f"""SELECT n.name, coalesce(r.match_type, 'miss') AS match_type, r.serial_number, r.mark_identification, r.owner_name, r.status_code, r.live_dead
+        FROM names_{x} n LEFT JOIN (
+          SELECT name, 'exact' AS match_type, m.* FROM exact_{x}1 JOIN marks m USING ({c}) UNION
+          SELECT name, 'fuzzy', serial_number, mark_identification, owner_name, status_code, live_dead FROM (
+            SELECT name, m.*, row_number() OVER (PARTITION BY name ORDER BY owner_name, serial_number, mark_identification, status_code) AS k
+            FROM (SELECT name, {c} FROM (SELECT name, {words("name")} AS w FROM names_{x} WHERE name NOT IN (SELECT name FROM exact_{x}1)), (SELECT DISTINCT {c} FROM marks)
+                  WHERE len(w) >= 2 AND {c} ILIKE '%' || w[1] || '%' || w[2] || '%') JOIN marks m USING ({c})) WHERE k <= 100) r USING (name)"""
+        for x, c in (("a", "owner_name"), ("b", "mark_identification"))
+    },
+    "cand_a1": "SELECT DISTINCT case_number, owner_name FROM cases JOIN path_a1 ON plaintiff_clean = name WHERE plaintiff_clean <> '' AND owner_name IS NOT NULL",
+    "cand_b1": """SELECT DISTINCT case_number, owner_name FROM cases JOIN path_b1 ON brand_clean = name
+        WHERE brand_clean <> '' AND NOT brand_eq_plaintiff AND owner_name IS NOT NULL""",
+    "cand_ab1": "SELECT * FROM cand_a1 INTERSECT SELECT * FROM cand_b1",
+    "scores1": f"""SELECT plaintiff_clean, owner_name, round({score(tokens("plaintiff_clean"), tokens("owner_name"))}, 12) AS s
+        FROM (SELECT DISTINCT plaintiff_clean, owner_name FROM cases JOIN (SELECT * FROM cand_a1 UNION SELECT * FROM cand_b1) USING (case_number))""",
+    **{
+        f"best_{x}1": f"""SELECT case_number, count(*) AS n, arg_min(owner_name, (-s, owner_name)) AS owner, max(s) AS s
+        FROM cand_{x}1 JOIN cases USING (case_number) JOIN scores1 USING (plaintiff_clean, owner_name) GROUP BY case_number"""
+        for x in ("a", "b", "ab")
+    },
+    "matched1": """SELECT case_number, plaintiff_clean, brand_clean,
+          CASE WHEN q = 'exact' THEN x WHEN q IN ('a_preferred', 'a_only') THEN y WHEN q = 'b_only' THEN z END AS real_company, q AS match_quality,
+          coalesce(q IN ('a_preferred', 'a_only') AND sa < 0.3, false) OR q = 'b_only' AND nb > 1 OR q = 'not_found' AS needs_review,
+          CASE WHEN q IN ('a_preferred', 'a_only') AND sa < 0.3 THEN 'low_similarity: ' || printf('%.3f', sa)
+               WHEN q = 'b_only' AND nb > 1 THEN 'multiple_b_owners: ' || nb || ', best_score=' || printf('%.3f', sb)
+               WHEN q = 'not_found' THEN 'nature=' || coalesce(nature_of_suit, '') END AS review_reason
+        FROM (SELECT c.*, ab.owner AS x, a.owner AS y, b.owner AS z, a.s AS sa, b.s AS sb, b.n AS nb,
+            CASE WHEN ab.n > 0 THEN 'exact' WHEN a.n > 0 AND b.n > 0 THEN 'a_preferred' WHEN a.n > 0 THEN 'a_only' WHEN b.n > 0 THEN 'b_only' ELSE 'not_found' END AS q
+          FROM cases c LEFT JOIN best_a1 a USING (case_number) LEFT JOIN best_b1 b USING (case_number) LEFT JOIN best_ab1 ab USING (case_number))""",
+    "lost": "SELECT c.* FROM cases c JOIN matched m USING (case_number) WHERE m.match_quality = 'not_found'",
+    "lost_names": f"""SELECT name, trim(regexp_replace(regexp_replace(name, '[.,;:''"()\\[\\]]+', ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned, {words("name")} AS w
+        FROM (SELECT DISTINCT plaintiff_clean AS name FROM lost WHERE plaintiff_clean NOT IN ('', '？', '?') AND length(trim(plaintiff_clean)) >= 2)""",
+    "owners_r": f"SELECT owner_name, {trigrams('owner_name')} AS h FROM (SELECT DISTINCT owner_name FROM marks WHERE owner_name IS NOT NULL)",
+    "retry_1": """SELECT name, 'clean_exact' AS strategy, owner_name, 1.0 AS rank FROM lost_names JOIN owners_r
+        ON upper(replace(replace(cleaned, ',', ''), '.', '')) = upper(replace(replace(owner_name, ',', ''), '.', ''))""",
+    "retry_2": """SELECT name, 'name_flip' AS strategy, owner_name, 1.0 AS rank FROM (
+          SELECT name, CASE len(w) WHEN 2 THEN w[2] || ', ' || w[1] WHEN 3 THEN w[3] || ', ' || w[1] || ' ' || w[2] END AS flipped FROM lost_names
+          WHERE name NOT IN (SELECT name FROM retry_1)) JOIN owners_r ON contains(lower(owner_name), lower(flipped))""",
+    "retry_3": f"""SELECT name, 'trgm' AS strategy, owner_name, sim AS rank FROM (
+          SELECT *, max(sim) OVER (PARTITION BY name) AS best, row_number() OVER (PARTITION BY name ORDER BY sim DESC, owner_name) AS k FROM (
+            SELECT name, owner_name, len(list_intersect(g, h)) / len(list_distinct(list_concat(g, h))) AS sim
+            FROM (SELECT name, {trigrams("name")} AS g FROM lost_names WHERE length(cleaned) >= 5 AND name NOT IN (SELECT name FROM retry_1) AND name NOT IN (SELECT name FROM retry_2)), owners_r)
+          WHERE sim >= 0.3) WHERE best >= 0.4 AND k <= 5""",
+    "retry_names": """SELECT name, strategy, list(owner_name ORDER BY rank DESC, owner_name)[1:3] AS companies
+        FROM (SELECT * FROM retry_1 UNION ALL SELECT * FROM retry_2 UNION ALL SELECT * FROM retry_3) GROUP BY name, strategy""",
+    "retry_brands": f"""SELECT brand_clean AS name, list(DISTINCT owner_name ORDER BY owner_name)[1:3] AS companies FROM (SELECT DISTINCT brand_clean FROM lost) JOIN marks
+          ON upper(trim(regexp_replace(regexp_replace(brand_clean, '[.,;:''"()\\[\\]]+', ' ', 'g'), '\\s+', ' ', 'g'))) = upper(mark_identification)
+        WHERE length(brand_clean) >= 2 AND regexp_matches(regexp_replace(brand_clean, '[一-鿿]', '', 'g'), '\\p{{L}}') AND owner_name IS NOT NULL GROUP BY 1""",
+    "retried": """SELECT case_number, strategy, 'a' AS source, companies FROM lost JOIN retry_names ON plaintiff_clean = name UNION ALL
+        SELECT case_number, 'brand_exact', 'b', companies FROM lost JOIN retry_brands ON brand_clean = name
+        WHERE coalesce(plaintiff_clean, '') = '' OR plaintiff_clean NOT IN ('', '？', '?') AND length(trim(plaintiff_clean)) >= 2 AND plaintiff_clean NOT IN (SELECT name FROM retry_names)""",
     "companies": "SELECT DISTINCT real_company FROM matched WHERE real_company IS NOT NULL",
     "details": """SELECT DISTINCT c.real_company, t.mark_identification, t.serial_number, t.registration_number, t.status_code, s.live_dead, s.category,
           k.international_code, n.name_cn AS international_desc_cn, n.name_en AS international_desc_en, g.text AS goods_services, k.first_use_date
@@ -136,5 +192,5 @@ def with_ctes(final: str) -> str:
                 add(CTES[name])
 
     add(final)
-    used = [f"{name} AS {'MATERIALIZED ' if name in ('pairs_a', 'marks', 'cases', 'path_a', 'path_b', 'matched', 'details') else ''}({CTES[name]})" for name in CTES if name in need]
+    used = [f"{name} AS {'MATERIALIZED ' if name in ('pairs_a', 'marks', 'cases', 'path_a', 'path_b', 'path_a1', 'path_b1', 'exact_a1', 'exact_b1', 'matched', 'details', 'retry_1', 'retry_2', 'retry_names') else ''}({CTES[name]})" for name in CTES if name in need]
     return (f"WITH {', '.join(used)}\n" if used else "") + final

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import re
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lineage import settled
+from .archives import zipped_records
+
 S = T.StringType()
 
 
@@ -65,49 +62,21 @@ def read_case_files(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({"source_file": F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), "position": F.input_file_block_start() + number})
 
 
-_RECORD = re.compile(rb"<case-file>.*?</case-file>", re.S)
-
-
-def _records(data: bytes, chunk: int = 1 << 22) -> Iterator[str]:
-    """The records of the first member of a zip archive, read in chunks."""
-    with zipfile.ZipFile(io.BytesIO(data)) as archive:
-        names = archive.namelist()
-        if not names:
-            return
-        with archive.open(names[0]) as member:
-            rest = b""
-            while part := member.read(chunk):
-                rest += part
-                end = 0
-                for m in _RECORD.finditer(rest):
-                    yield m[0].decode("utf-8", "replace")
-                    end = m.end()
-                rest = rest[end:]
-
-
-def _unzip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for path, content in zip(frame["path"], frame["content"], strict=True):
-            name, out, at = path.rsplit("/", 1)[-1], [], 0
-            for record in _records(content):
-                out.append((name, at, record))
-                at += 1
-                if len(out) == 500:
-                    yield pd.DataFrame(out, columns=["source_file", "position", "record"])
-                    out = []
-            if out:
-                yield pd.DataFrame(out, columns=["source_file", "position", "record"])
+def zipped_case_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(source_file, position, error, and the record's fields) of zip archives of any size, read as streams.
 
-
-def unzip_case_files(files: DataFrame) -> DataFrame:
-    """Records of (path, content) rows; one task for an archive, a few hundred records in memory."""
-    records = files.select("path", "content").mapInPandas(_unzip, "source_file string, position long, record string")
-    parsed = records.withColumn("r", F.from_xml("record", CASE_FILE))
-    return parsed.select("r.*", "source_file", "position")
+    The first member of each archive is read.  An archive that is broken gives a row with ``error`` set, besides the
+    records before the break.
+    """
+    found = zipped_records(spark, paths, ("case-file",))
+    return found.withColumn("r", F.from_xml("record", CASE_FILE)).select("r.*", "source_file", "position", "error")
 
 
-def read_zipped_case_files(spark: SparkSession, path: str) -> DataFrame:
-    return unzip_case_files(spark.read.format("binaryFile").load(path))
+def read_zipped_case_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The records of zip archives; a broken archive is an error (``zipped_case_files`` gives it as a row)."""
+    rows = zipped_case_files(spark, path)
+    broken = F.raise_error(F.concat("source_file", F.lit(": "), "error")).cast("boolean")
+    return rows.filter(F.when(F.col("error").isNotNull(), broken).otherwise(True)).drop("error")
 
 
 def read_rows(spark: SparkSession, path: str, columns: tuple[str, ...], form: str = "csv") -> DataFrame:
@@ -126,6 +95,27 @@ def write_table(df: DataFrame, path: str, partition: tuple[str, ...] = ()) -> No
     df.write.mode("overwrite").partitionBy(*partition).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, form: str = "csv") -> None:
+def write_report(df: DataFrame, path: str, order: list[Column] | None = None, form: str = "csv", place: str = "place") -> None:
+    """Write a report; with ``order``, part files follow each other in it and ``place`` numbers the rows from 1.
+
+    Rows are dealt by range, sorted in each part, and numbered from the sizes of the parts before, so no task has more
+    than its range and the order can be checked and restored after any read.
+    """
+    if order is not None:
+        df = placed(df, order, place)
     writer = df.write.mode("overwrite")
     writer.option("header", True).csv(path) if form == "csv" else writer.format(form).save(path)
+
+
+def placed(df: DataFrame, order: list[Column], place: str = "place") -> DataFrame:
+    """``df`` with each row's place in ``order``, sorted by it; rows equal in ``order`` go by their other columns."""
+    ties = [F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    part, inside = "__part", "__inside"
+    dealt = df.repartitionByRange(*order, *ties).sortWithinPartitions(*order, *ties)
+    dealt = settled(dealt.withColumns({part: F.spark_partition_id(), inside: F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    before, starts = 0, []
+    for r in sorted(dealt.groupBy(part).agg(F.count("*").alias("n")).collect()):  # one row a partition
+        starts.append((r[0], before))
+        before += r[1]
+    starts = df.sparkSession.createDataFrame(starts, f"{part} int, start long")
+    return dealt.join(F.broadcast(starts), part).withColumn(place, F.col("start") + F.col(inside) + 1).select(*df.columns, place)

@@ -2,7 +2,10 @@ import zipfile
 
 from brandspark.operators.registry import file_load_stats, load_registry
 from brandspark.sources.readers import read_case_files, read_zipped_case_files
-from brandspark.streaming.ingest import ingest_daily, last_version
+from brandspark.operators.keys import upsert, upsert_children
+from brandspark.sources.bucketed import listed
+from brandspark.streaming import ingest
+from brandspark.streaming.ingest import ingest_daily
 
 RECORD = """<case-file><serial-number>{0}</serial-number><case-file-header><mark-identification>{1}</mark-identification>
 <status-code>700</status-code><filing-date>20240105</filing-date><trademark-in>T</trademark-in></case-file-header>
@@ -37,7 +40,7 @@ def test_daily_stream_replaces_serial_numbers(spark, tmp_path):
     seen = []
     run = lambda: ingest_daily(spark, str(folder), str(tmp_path / "cp"), str(tmp_path / "v"), seen.append).awaitTermination()
     run()
-    assert {r.mark_identification for r in spark.read.parquet(seen[-1]["trademarks"]).collect()} == {"OLD", "TWO"}
+    assert {r.mark_identification for r in seen[-1]["trademarks"].collect()} == {"OLD", "TWO"}
     run()
     assert len(seen) == 1
 
@@ -50,14 +53,15 @@ def test_second_run_keeps_what_the_first_took_in(spark, tmp_path):
     _zip(folder / "apc240101.zip", (1, "OLD"), (2, "TWO"))
     run()
     _zip(folder / "apc240102.zip", (1, "NEW"), (3, "THREE"))
-    (tmp_path / "v" / "v000000" / "x").mkdir()
+    (tmp_path / "v" / "data" / "v000001" / "owners" / "bucket=3").mkdir(parents=True)  # left by a run that was cut off
     run()
     assert len(seen) == 2
-    assert sorted(r.mark_identification for r in spark.read.parquet(seen[-1]["trademarks"]).collect()) == ["NEW", "THREE", "TWO"]
-    assert sorted(r.party_name for r in spark.read.parquet(seen[-1]["owners"]).collect()) == ["NEW Inc.", "THREE Inc.", "TWO Inc."]
-    assert spark.read.parquet(seen[-1]["classes"]).count() == 3
-    (tmp_path / "v" / "v000001" / "owners" / "_SUCCESS").unlink()  # not complete: the version before it is the base
-    assert last_version(spark, str(tmp_path / "v"), 2)["owners"].endswith("v000000/owners")
+    assert sorted(r.mark_identification for r in seen[-1]["trademarks"].collect()) == ["NEW", "THREE", "TWO"]
+    assert sorted(r.party_name for r in seen[-1]["owners"].collect()) == ["NEW Inc.", "THREE Inc.", "TWO Inc."]
+    assert seen[-1]["classes"].count() == 3
+    (tmp_path / "v" / "manifests" / "v000001.json").unlink()  # not complete: the version before it is in force
+    before = ingest.read_registry(ingest.store(spark, str(tmp_path / "v")))
+    assert sorted(r.mark_identification for r in before["trademarks"].collect()) == ["OLD", "TWO"]
 
 
 def test_last_record_of_a_serial_in_one_file_wins(spark, tmp_path):
@@ -72,3 +76,87 @@ def test_last_record_of_a_serial_in_one_file_wins(spark, tmp_path):
         assert {r.party_name for r in tables["owners"].collect()} == {f"MARK {350 + k} Inc." for k in range(50)}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _files(root):
+    return {str(p.relative_to(root)) for p in root.glob("data/v*/*/bucket=*")}
+
+
+def test_small_day_rewrites_its_buckets_only(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "v"
+    folder.mkdir()
+    tables, seen = ingest.store(spark, str(root), buckets=64), []
+    run = lambda: ingest_daily(spark, str(folder), str(tmp_path / "cp"), str(root), seen.append, buckets=64).awaitTermination()
+    _zip(folder / "apc240101.zip", *[(k, f"MARK {k}") for k in range(200)])
+    run()
+    first = _files(root)
+    _zip(folder / "apc240102.zip", (7, "SEVEN"), (900, "NEW"))
+    run()
+    new = {f for f in _files(root) if "/v000001/" in f or f.startswith("data/v000001")}
+    touched = tables.touched(spark.createDataFrame([(7,), (900,)], "serial_number long"))
+    assert {f.rsplit("=")[-1] for f in new} == {str(k) for k in touched} and len(touched) == 2
+    assert first <= _files(root)  # the version before is kept whole
+    for day in range(3, 5):
+        _zip(folder / f"apc24010{day}.zip", (7, f"SEVEN {day}"))
+        run()
+    names = {r.serial_number: r.mark_identification for r in seen[-1]["trademarks"].collect()}
+    assert names == {k: f"MARK {k}" for k in range(200)} | {7: "SEVEN 4", 900: "NEW"}
+    assert {r.party_name for r in seen[-1]["owners"].filter("serial_number = 7").collect()} == {"SEVEN 4 Inc."}
+    assert listed(spark, f"{root}/manifests") == ["v000002.json", "v000003.json"]
+    held = {f for f in _files(root) if f"bucket={tables.touched(spark.createDataFrame([(7,)], 'serial_number long'))[0]}" in f}
+    assert {f.split("/")[1] for f in held} == {"v000002", "v000003"}  # older ones of this bucket are gone
+
+
+def test_ledger_counts_and_failures(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "v"
+    folder.mkdir()
+    seen = []
+    run = lambda: ingest_daily(spark, str(folder), str(tmp_path / "cp"), str(root), seen.append, buckets=4).awaitTermination()
+    _zip(folder / "apc240101.zip", (1, "ONE"), ("x", "BAD"), (2, "TWO"))
+    _zip(folder / "apc240102.zip", *[(k, f"MARK {k}") for k in range(10, 400)])
+    whole = (folder / "apc240102.zip").read_bytes()
+    (folder / "apc240102.zip").write_bytes(whole[: len(whole) // 2])
+    (folder / "apc240103.zip").write_bytes(b"no archive at all")
+    with zipfile.ZipFile(folder / "apc240104.zip", "w"):
+        pass
+    run()
+    row = lambda r: (r.source_file, r.status, r.records_total, r.records_inserted, r.records_errored)
+    rows = {r.source_file: r for r in seen[-1]["ledger"].collect()}
+    assert row(rows["apc240101.zip"]) == ("apc240101.zip", "completed", 3, 2, 1)
+    assert rows["apc240102.zip"].status == rows["apc240103.zip"].status == "failed" and rows["apc240103.zip"].error_message
+    assert rows["apc240102.zip"].records_inserted == 0
+    assert row(rows["apc240104.zip"]) == ("apc240104.zip", "completed", 0, 0, 0)
+    assert {r.serial_number for r in seen[-1]["trademarks"].collect()} == {1, 2}
+    tables = ingest.store(spark, str(root), 4)
+    assert [p.rsplit("/", 1)[-1] for p in ingest.failed_files(tables)] == ["apc240102.zip", "apc240103.zip"]
+    (folder / "apc240102.zip").write_bytes(whole)  # mended in place; taken with the next new file
+    _zip(folder / "apc240105.zip", (3, "THREE"))
+    run()
+    assert {r.serial_number for r in seen[-1]["trademarks"].collect()} == {1, 2, 3, *range(10, 400)}
+    assert [p.rsplit("/", 1)[-1] for p in ingest.failed_files(tables)] == ["apc240103.zip"]
+    assert ingest.read_ledger(tables).count() == 4 + 3
+
+
+def test_batch_that_was_cut_off_is_loaded_again(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "v"
+    folder.mkdir()
+    tables = ingest.store(spark, str(root), 8)
+    _zip(folder / "apc240101.zip", (1, "ONE"), (2, "TWO"))
+    ingest.load_archives(tables, [str(folder / "apc240101.zip")], 0)
+    _zip(folder / "apc240102.zip", (1, "ONE B"), (3, "THREE"))
+    ingest.load_archives(tables, [str(folder / "apc240102.zip")], 1)
+    (root / "manifests" / "v000001.json").unlink()
+    assert ingest.read_ledger(tables).count() == 1
+    ingest.load_archives(tables, [str(folder / "apc240102.zip")], 1)
+    assert {r.mark_identification for r in ingest.read_registry(tables)["trademarks"].collect()} == {"ONE B", "TWO", "THREE"}
+
+
+def test_children_follow_their_parents_as_in_a_plain_upsert(spark, sf):
+    parts = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_orderkey AS serial_number", "l_partkey AS code", "l_linenumber AS n")
+    base, delta = parts.filter("n <= 2"), parts.filter("n = 3 AND serial_number % 5 = 0")
+    parents = delta.select("serial_number").distinct()
+    got = upsert_children(base, parents, delta, "serial_number")
+    gone = {r[0] for r in parents.collect()}
+    want = [tuple(r) for r in base.collect() if r[0] not in gone] + [tuple(r) for r in delta.collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert upsert(parents, parents, ["serial_number"], ["serial_number"]).count() == len(gone)
