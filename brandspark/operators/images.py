@@ -73,7 +73,7 @@ def similar_images(queries: DataFrame, images: DataFrame, k: int = 5, block: int
     """
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
     fit = F.col("embedding").isNotNull() & whole & F.exists("embedding", lambda v: v != 0)
-    of = lambda df: df.select("image_id", F.col("embedding").cast("array<double>").alias("embedding"), F.size("embedding").alias("size")).filter(fit)
+    of = lambda df: df.select(F.col("image_id").alias("image_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.size("embedding").alias("size")).filter(fit)
     q, x = of(queries).dropDuplicates(["image_id"]), of(images)
     count = {r["size"]: r["n"] for r in q.groupBy("size").agg(F.count("*").alias("n")).collect()}  # a row for each length
     held = {r["size"]: r["n"] for r in x.groupBy("size").agg(F.count("*").alias("n")).collect()}
