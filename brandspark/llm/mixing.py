@@ -9,9 +9,12 @@ key for each pass), and blocks are joined by number.
 
 Plan: sizes are counted in the JVM and checkpointed (narrow); offsets come from
 three levels of prefix sums over chunks of about ``CHUNK`` rows, so no window
-holds a whole source; the join key (source, block) is unique on the slot side.
-What reaches the driver is one row a source, of some 100 bytes; the plan is drawn
-from these, and it is broadcast for ``FEW_SOURCES`` sources or fewer.
+holds a whole source; rows that repeat more often than that are dealt over
+several chunks.  The join key (source, block) is unique on the slot side.
+What reaches the driver is one Arrow row a source, of some 100 bytes, and tasks get
+two numbers a source.  Counts of a shard are drawn in its own tasks: the slots are
+halved by shards over and over, the source counts of each left half are drawn by a
+generator of that half, and a task goes down to its shard.
 
 Rows are numbered by their place in the input, which is the same whenever a
 stored table is read again; ``docs`` has to be one.
@@ -57,39 +60,51 @@ def targets(sizes: list[int], factor: float = 1.5, weights: tuple[int, ...] = (5
 
 @dataclass
 class Plan:
-    sources: list[str | None]
+    sources: pa.Array
     sizes: list[int]
-    docs: list[int]
+    docs: np.ndarray
     targets: list[float]
     blocks: np.ndarray
     quotas: np.ndarray
-    runs: np.ndarray  # first slot, shard, source, first draw of each run of slots
+    shards: int
     slots: int
 
 
-def draw_plan(rows: list, block_words: int, shards: int, seed: int, factor: float, weights: tuple[int, ...]) -> Plan:
-    sizes = [int(r["size"]) for r in rows]
+def draw_plan(rows: pa.Table, block_words: int, shards: int, factor: float, weights: tuple[int, ...]) -> Plan:
+    """Blocks and quota, in blocks, of each source of (source, size, docs)."""
+    sizes = rows.column("size").to_pylist()
     target = targets(sizes, factor, weights)
     blocks = np.array([-(-n // block_words) for n in sizes], dtype=np.int64)
-    mean = np.array([n / max(1, b) for n, b in zip(sizes, blocks, strict=True)])
+    mean = np.array(sizes, dtype=float) / np.maximum(blocks, 1)
     quotas = np.minimum(np.rint(np.array(target) / np.maximum(mean, 1e-9)).astype(np.int64) * (blocks > 0), 2 * blocks)
-    owed, drawn, total = quotas.copy(), np.zeros_like(quotas), int(quotas.sum())
-    shards = max(1, min(shards, total))
-    runs, at = [], 0
-    rng = np.random.Generator(np.random.PCG64(seed))
-    for shard in range(shards):
-        n = total * (shard + 1) // shards - total * shard // shards
-        take = np.zeros_like(owed)
-        while (left := n - int(take.sum())) > 0:  # draws beyond what a source is owed are drawn again
-            rest = owed - take
-            take = np.minimum(take + rng.multinomial(left, rest / rest.sum()), owed)
-        for k in np.flatnonzero(take):
-            runs.append((at, shard, k, drawn[k]))
-            at += int(take[k])
-        owed -= take
-        drawn += take
-    table = np.array(runs, dtype=np.int64).reshape(-1, 4)
-    return Plan([r["source"] for r in rows], sizes, [r["docs"] for r in rows], target, blocks, quotas, table, total)
+    total = int(quotas.sum())
+    return Plan(rows.column("source").combine_chunks(), sizes, rows.column("docs").to_numpy(), target, blocks, quotas, max(1, min(shards, total)), total)
+
+
+def drawn(owed: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """Multinomial counts of ``n`` draws by what each source is owed; draws beyond that are drawn again."""
+    take = np.zeros_like(owed)
+    if n == int(owed.sum()):
+        return owed.copy()
+    while (left := n - int(take.sum())) > 0:
+        rest = owed - take
+        take = np.minimum(take + rng.multinomial(left, rest / rest.sum()), owed)
+    return take
+
+
+def shard_counts(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The draws of each source in a shard, and in all shards before it; all shards together draw the quotas."""
+    total = int(quotas.sum())
+    low, high, owed, before = 0, shards, quotas, np.zeros_like(quotas)
+    while high - low > 1:
+        middle = (low + high) // 2
+        n = total * middle // shards - total * low // shards
+        left = drawn(owed, n, np.random.Generator(np.random.PCG64([seed, low, high])))
+        if shard < middle:
+            owed, high = left, middle
+        else:
+            before, owed, low = before + left, owed - left, middle
+    return owed, before
 
 
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -107,36 +122,48 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
     return out.astype(np.int64)
 
 
-def slots(spark, plan: Plan, seed: int) -> DataFrame:
-    """(shard, slot, sidx, block) of every slot of the mix."""
-    runs, blocks = plan.runs, plan.blocks
+def slots(spark, plan: Plan, seed: int, most: int = 1 << 20) -> DataFrame:
+    """(shard, slot, sidx, block) of every slot of the mix, in tasks of some ``most`` slots."""
+    quotas, blocks, shards, total = plan.quotas, plan.blocks, plan.shards, plan.slots
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
         for batch in batches:
-            slot = batch.column(0).to_numpy()
-            run = np.searchsorted(runs[:, 0], slot, "right") - 1
-            source = runs[run, 2]
-            draw = runs[run, 3] + slot - runs[run, 0]
-            size = blocks[source]
-            key = mix64((source * 4 + draw // size + seed * 1_000_003).astype(np.uint64))
-            block = permuted(draw % size, size, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(runs[run, 1].astype(np.int32)), pa.array(slot), pa.array(source.astype(np.int32)), pa.array(block)],
-                names=["shard", "slot", "sidx", "block"],
-            )
-
-    parts = max(spark.sparkContext.defaultParallelism, plan.slots // 1_000_000)
-    return spark.range(0, plan.slots, 1, parts).mapInArrow(place, "shard int, slot long, sidx int, block long")
+            for shard, first, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if known != shard:
+                    known, (take, before) = shard, shard_counts(quotas, shards, shard, seed)
+                    ends = np.cumsum(take)
+                start = total * shard // shards
+                for at in range(first, first + n, 1 << 17):
+                    slot = np.arange(at, min(at + (1 << 17), first + n))
+                    source = np.searchsorted(ends, slot - start, "right")
+                    draw = before[source] + slot - start - (ends[source] - take[source])
+                    size = blocks[source]
+                    key = mix64((source * 4 + draw // size + seed * 1_000_003).astype(np.uint64))
+                    block = permuted(draw % size, size, key)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(slot), shard, np.int32)), pa.array(slot), pa.array(source.astype(np.int32)), pa.array(block)],
+                        names=["shard", "slot", "sidx", "block"],
+                    )
+
+    if not total:
+        return spark.createDataFrame([], "shard int, slot long, sidx int, block long")
+    bound = lambda k: F.expr(f"cast(cast({total} as decimal(38,0)) * ({k}) div {shards} as long)")
+    parts = spark.range(0, shards, 1, min(shards, 4096)).select(F.col("id").cast("int").alias("shard"), bound("id").alias("a"), bound("id + 1").alias("z"))
+    parts = parts.select("shard", "z", F.explode(F.sequence("a", F.greatest(F.col("a"), F.col("z") - 1), F.lit(most))).alias("first"))
+    tasks = max(spark.sparkContext.defaultParallelism, total // most)
+    parts = parts.select("shard", "first", F.least(F.lit(most), F.col("z") - F.col("first")).alias("n")).repartition(tasks, "first")
+    return parts.mapInArrow(place, "shard int, slot long, sidx int, block long")
 
 
 def _offsets(rows: DataFrame) -> DataFrame:
-    """Adds ``start``: the words of the source before each row, in the order (chunk, doc_id, size)."""
+    """Adds ``start``: the words of the source before each row, in the order (chunk, doc_id, size, digest of the text, place)."""
     before = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     chunks = rows.groupBy("sidx", "chunk").agg(F.sum("size").alias("size")).withColumn("part", F.expr("chunk div 1024"))
     parts = chunks.groupBy("sidx", "part").agg(F.sum("size").alias("size"))
     parts = parts.select("sidx", "part", before(Window.partitionBy("sidx").orderBy("part")).alias("p"))
     chunks = chunks.withColumn("c", before(Window.partitionBy("sidx", "part").orderBy("chunk"))).join(parts, ["sidx", "part"])
-    inside = before(Window.partitionBy("sidx", "chunk").orderBy("doc_id", "size", "rid"))
+    inside = before(Window.partitionBy("sidx", "chunk").orderBy("doc_id", "size", "digest", "rid"))
     return rows.withColumn("inside", inside).join(chunks.select("sidx", "chunk", (F.col("c") + F.col("p")).alias("base")), ["sidx", "chunk"]).withColumn("start", F.col("inside") + F.col("base"))
 
 
@@ -161,18 +188,25 @@ def mix(
     spark = docs.sparkSession
     rows = saved(
         docs.select(
-            F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size")
+            F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text")).alias("size"),
+            F.xxhash64(F.col("text").cast("string")).alias("digest"),
         )
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
-    per_source = per_source.orderBy(F.col("source").asc_nulls_last()).collect()
-    plan = draw_plan(per_source, block_words, shards, seed, factor, weights)
+    plan = draw_plan(per_source.orderBy(F.col("source").asc_nulls_last()).toArrow(), block_words, shards, factor, weights)
+    columns = [np.arange(len(plan.sizes), dtype=np.int32), plan.sources, plan.sizes, plan.targets, -(-plan.docs // CHUNK)]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.float64(), pa.int64()]
     table = spark.createDataFrame(
-        [(k, s, plan.sizes[k], plan.targets[k], -(-plan.docs[k] // CHUNK)) for k, s in enumerate(plan.sources)],
-        "sidx int, name string, source_size long, target double, chunks long",
+        pa.table([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["sidx", "name", "source_size", "target", "chunks"])
     )
     rows = rows.join(F.broadcast(table) if len(plan.sources) <= FEW_SOURCES else table, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks")).drop("chunks")
+    # rows that repeat more often than a chunk has rows are dealt by their place
+    crowded = rows.groupBy("sidx", "doc_id", "digest").agg(F.count("*").alias("copies")).filter(F.col("copies") > CHUNK)
+    crowded = crowded.select(F.col("sidx").alias("c_sidx"), F.col("doc_id").alias("c_id"), F.col("digest").alias("c_digest"), "copies")
+    same = (F.col("sidx") == F.col("c_sidx")) & F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("digest").eqNullSafe(F.col("c_digest"))
+    rows = rows.join(crowded, same, "left").drop("c_sidx", "c_id", "c_digest")
+    turn = F.coalesce(F.pmod("rid", F.ceil(F.col("copies") / CHUNK)), F.lit(0))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "digest", turn), "chunks")).drop("chunks", "copies")
     placed = slots(spark, plan, seed)
     times = placed.groupBy("sidx", "block").agg(F.count("*").alias("times"))
     b = F.lit(block_words)

@@ -1,8 +1,11 @@
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
+from brandspark.llm import mixing
 from brandspark.llm.common import read
 from brandspark.llm.mixing import mix, mixed_texts, permuted, targets
 
@@ -97,3 +100,33 @@ def test_targets_and_taken_equal_a_plain_computation(spark, sf):
         assert r.source_size == sizes[r.source] and abs(r.target - share[r.source]) <= 1e-6 * max(1, share[r.source])
         taken[r.source] = taken.get(r.source, 0) + r.taken
     assert all(abs(taken[s] - share[s]) <= 0.02 * share[s] + 64 for s in names)
+
+
+def test_shards_draw_the_quotas():
+    quotas = np.array([0, 5, 1, 700, 33, 2, 0, 4096])
+    total, before = np.zeros_like(quotas), np.zeros_like(quotas)
+    for shard in range(13):
+        take, drawn = mixing.shard_counts(quotas, 13, shard, 7)
+        assert (drawn == before).all() and take.sum() == quotas.sum() * (shard + 1) // 13 - quotas.sum() * shard // 13
+        before, total = before + take, total + take
+    assert (total == quotas).all()
+
+
+def test_many_sources_need_little_of_the_driver():
+    n = 200_000
+    rows = pa.table({"source": [f"s{k}" for k in range(n)], "size": np.arange(n) % 90 + 1, "docs": np.ones(n, np.int64)})
+    tracemalloc.start()
+    plan = mixing.draw_plan(rows, 32, 256, 1.5, (5, 2, 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6 and plan.slots == plan.quotas.sum()
+    take, before = mixing.shard_counts(plan.quotas, plan.shards, 255, 17)
+    assert (take + before == plan.quotas).all()
+
+
+def test_rows_that_repeat_are_dealt_over_chunks(spark):
+    docs = spark.range(3000).selectExpr("IF(id < 2500, NULL, id) AS doc_id", "IF(id < 2000, 'a b c', concat('w ', id)) AS text", "'s' AS source")
+    result = mixing.mix(docs)[0].collect()
+    taken = sum(r.taken for r in result)
+    assert len(result) == 3000 and abs(taken - result[0].target) <= 64 and all(r.taken <= 2 * r.size for r in result)
+    assert sorted(r.taken for r in mixing.mix(docs)[0].collect()) == sorted(r.taken for r in result)
