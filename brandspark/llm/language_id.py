@@ -10,8 +10,10 @@ The tables behind the last three come from grouped aggregations of the text
 posteriors over all rows, so a lying declaration loses its weight by itself.
 
 The trigram model alone is fitted on a bounded sample: ``per_language`` labelled
-documents of each of the ``MAX_LANGUAGES`` languages that have most of them.  One more class,
-``und``, spreads its likelihood evenly over all trigrams.
+documents of each language.  Labels are language codes of two or three letters,
+what follows a sign (as in ``en-GB``) is ignored, and other labels are none; so the
+classes are bounded by the form, and the model has 128 KB for each that occurs.  One
+more class, ``und``, spreads its likelihood evenly over all trigrams.
 
 Plan: one vectorised scan, checkpointed narrow; map-side-combined sums by
 declared code, suffix, path code (each at most a few thousand keys by their
@@ -38,8 +40,9 @@ from .common import read, saved
 from .textcore import LOWER, slices, text_bytes
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 128
 OTHER = "und"
+#: Labels that name a language.
+LABEL = r"^\s*([A-Za-z]{2,3})(?:\s*$|[-_])"
 
 #: Digits, signs and white space count as one space.
 _FOLD = np.full(256, 32, dtype=np.uint32)
@@ -99,12 +102,14 @@ def _trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def fit(labelled: DataFrame, per_language: int = 400) -> Model:
     """Trigram model from ``labelled`` (doc_id, text, lang), on at most ``per_language`` documents of each language."""
-    usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    most = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in most)
+    usable = labelled.filter("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.lower(F.regexp_extract("lang", LABEL, 1)).alias("lang"))
+    usable = usable.filter("lang <> ''")
+    languages = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
     code = {name: k for k, name in enumerate(languages)}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.filter(F.col("lang").isin(languages)).select("doc_id", "lang").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
+    chosen = usable
+    for part in (F.pmod(F.xxhash64("doc_id"), F.lit(64)), F.lit(0)):  # of parts of a language first, so that no task sees a whole one
+        order = Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("part", part).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language).drop("part", "place")
     spark = labelled.sparkSession
     keys = spark.createDataFrame([(r["doc_id"], code[r["lang"]]) for r in chosen.select("doc_id", "lang").collect()], "doc_id long, code int")
     texts = labelled.select("doc_id", "text").join(F.broadcast(keys), "doc_id").select("code", "text")

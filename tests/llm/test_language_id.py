@@ -89,3 +89,14 @@ def test_many_languages_and_clashing_names(spark):
     assert len(model.languages) == 70
     got = {r.id: r.lang for r in language_id.identify(docs, model, "doc_id", "text").collect()}
     assert sum(got[r[0]] == r[2] for r in rows) >= 0.9 * len(rows)
+
+
+def test_more_languages_than_there_were_classes(spark):
+    """Each of 140 languages has letters of its own; labels may name a region, and other labels are none."""
+    codes = [a + b for a in "abcdefghijkl" for b in "abcdefghijkl"][:140]
+    text = lambda k: " ".join(chr(0x4E00 + 40 * k + j % 40) * 2 for j in range(60))
+    rows = [(2 * k + j, text(k), (code, code.upper() + "-XX")[j]) for k, code in enumerate(codes) for j in range(2)]
+    rows += [(1000, text(0), "no code"), (1001, text(1), None), (1002, text(2), "q")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == sorted(codes)
+    assert model.log_likelihood.shape[1] == 141
