@@ -217,7 +217,7 @@ def mix(
         .withColumn("words", F.least((F.col("block") + 1) * b - F.col("start"), F.col("size")) - F.col("first"))
     )
     taken = (
-        pieces.join(times, ["sidx", "block"])
+        pieces.join(times.hint("merge"), ["sidx", "block"])  # the planner takes what comes of a few rows of shards for small
         .groupBy("rid")
         .agg(F.sum(F.col("words") * F.col("times")).alias("taken"), F.collect_list(F.struct("first", "words", "times")).alias("runs"))
     )
