@@ -1,9 +1,10 @@
 import random
 from collections import Counter
 
-from brandspark.operators import collect
+from brandspark.operators import collect, matching
 
 STATUS = [("700", "LIVE", "Registered", "d"), ("710", "DEAD", "Cancelled", "d"), ("620", "LIVE", None, "d")]
+MARK = "serial_number long, mark_identification string, owner_name string, status_code string, live_dead string"
 
 
 def _registry(spark, rng, serials=40):
@@ -46,3 +47,17 @@ def test_details_are_a_product_of_distinct_parts(spark):
     assert "Aggregate" not in details._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     summary = collect.collection_summary(details).first()
     assert tuple(summary) == (len({w[0] for w in want}), len({w[1] for w in want if w[1] is not None}), len(want))
+
+
+def test_owners_alone_are_those_of_the_marks(spark):
+    rng = random.Random(9)
+    word = lambda n: " ".join(rng.choice(["red", "tin", "cup", "ox"]) for _ in range(n))
+    rows = {(rng.randrange(60), word(rng.randint(1, 3)).upper(), rng.choice([None, *[f"{word(2)} {x} Inc." for x in "ab"]]), "700", "LIVE") for _ in range(500)}
+    marks = spark.createDataFrame(sorted(rows, key=str), MARK)
+    names = spark.createDataFrame([(word(rng.randint(1, 4)),) for _ in range(60)] + [("",), ("red cup",), ("The",), ("none such",)], "name string")
+    holders = matching.mark_holders(marks)
+    for cap in (1, 3, 20, 100, None):
+        for path, alone in ((matching.match_owners, matching.match_owner_names), (matching.match_marks, matching.match_mark_owners)):
+            want = {(r.name, r.match_type, r.owner_name) for r in path(names, marks, cap).collect()}
+            got = [tuple(r) for r in alone(names, holders, cap).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
