@@ -2,6 +2,8 @@ import random
 from collections import Counter
 
 from brandspark.operators import collect, matching
+from brandspark.plans import queries
+from brandspark.plans.analog import Analog
 
 STATUS = [("700", "LIVE", "Registered", "d"), ("710", "DEAD", "Cancelled", "d"), ("620", "LIVE", None, "d")]
 MARK = "serial_number long, mark_identification string, owner_name string, status_code string, live_dead string"
@@ -61,3 +63,11 @@ def test_owners_alone_are_those_of_the_marks(spark):
             want = {(r.name, r.match_type, r.owner_name) for r in path(names, marks, cap).collect()}
             got = [tuple(r) for r in alone(names, holders, cap).collect()]
             assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_details_are_not_stored_for_pending_cases(spark, sf, monkeypatch):
+    written = []
+    keep = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a, **b: (written.append(self.columns), keep(self, *a, **b))[1])
+    queries._pending_run(Analog(spark, sf))
+    assert written and not [c for c in written if "goods_services" in c or "serial_number" in c]
