@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from brandspark.operators import collect, matching
+from brandspark.operators import collect, incremental, matching
 from brandspark.plans import queries
 from brandspark.plans.analog import Analog
 
@@ -71,3 +71,14 @@ def test_details_are_not_stored_for_pending_cases(spark, sf, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a, **b: (written.append(self.columns), keep(self, *a, **b))[1])
     queries._pending_run(Analog(spark, sf))
     assert written and not [c for c in written if "goods_services" in c or "serial_number" in c]
+
+
+def test_refresh_counts_old_and_new_rows(spark):
+    registry = _registry(spark, random.Random(6))
+    matched = spark.createDataFrame([("1", "A Inc."), ("2", None), ("3", "B Inc.")], "case_number string, real_company string")
+    old = collect.collect_brands(spark.createDataFrame([("A Inc.",)], "real_company string"), **registry)
+    fresh, counts = incremental.refresh_brands(matched, old, registry)
+    a, b = (len(_details(registry, set(c))) for c in (["A Inc."], ["A Inc.", "B Inc."]))
+    assert tuple(counts.first()) == (a, b, b - a) and fresh.count() == b
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Aggregate" in line and "real_company" in line and "goods_services" in line]  # rows are counted, not compared
