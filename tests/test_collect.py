@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from brandspark.operators import collect, incremental, matching
+from brandspark.operators import collect, incremental, matching, resolve
 from brandspark.plans import queries
 from brandspark.plans.analog import Analog
 
@@ -51,6 +51,25 @@ def test_details_are_a_product_of_distinct_parts(spark):
     assert tuple(summary) == (len({w[0] for w in want}), len({w[1] for w in want if w[1] is not None}), len(want))
 
 
+def test_refresh_counts_old_and_new_rows(spark):
+    registry = _registry(spark, random.Random(6))
+    matched = spark.createDataFrame([("1", "A Inc."), ("2", None), ("3", "B Inc.")], "case_number string, real_company string")
+    old = collect.collect_brands(spark.createDataFrame([("A Inc.",)], "real_company string"), **registry)
+    fresh, counts = incremental.refresh_brands(matched, old, registry)
+    a, b = (len(_details(registry, set(c))) for c in (["A Inc."], ["A Inc.", "B Inc."]))
+    assert tuple(counts.first()) == (a, b, b - a) and fresh.count() == b
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Aggregate" in line and "real_company" in line and "goods_services" in line]  # rows are counted, not compared
+
+
+def test_details_are_not_stored_for_pending_cases(spark, sf, monkeypatch):
+    written = []
+    keep = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a, **b: (written.append(self.columns), keep(self, *a, **b))[1])
+    queries._pending_run(Analog(spark, sf))
+    assert written and not [c for c in written if "goods_services" in c or "serial_number" in c]
+
+
 def test_owners_alone_are_those_of_the_marks(spark):
     rng = random.Random(9)
     word = lambda n: " ".join(rng.choice(["red", "tin", "cup", "ox"]) for _ in range(n))
@@ -65,20 +84,17 @@ def test_owners_alone_are_those_of_the_marks(spark):
             assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_details_are_not_stored_for_pending_cases(spark, sf, monkeypatch):
-    written = []
-    keep = type(spark.range(1)).checkpoint
-    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a, **b: (written.append(self.columns), keep(self, *a, **b))[1])
-    queries._pending_run(Analog(spark, sf))
-    assert written and not [c for c in written if "goods_services" in c or "serial_number" in c]
-
-
-def test_refresh_counts_old_and_new_rows(spark):
-    registry = _registry(spark, random.Random(6))
-    matched = spark.createDataFrame([("1", "A Inc."), ("2", None), ("3", "B Inc.")], "case_number string, real_company string")
-    old = collect.collect_brands(spark.createDataFrame([("A Inc.",)], "real_company string"), **registry)
-    fresh, counts = incremental.refresh_brands(matched, old, registry)
-    a, b = (len(_details(registry, set(c))) for c in (["A Inc."], ["A Inc.", "B Inc."]))
-    assert tuple(counts.first()) == (a, b, b - a) and fresh.count() == b
-    plan = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    assert not [line for line in plan if "Aggregate" in line and "real_company" in line and "goods_services" in line]  # rows are counted, not compared
+def test_candidates_and_overlap_of_cases(spark):
+    rng = random.Random(10)
+    path = lambda names: spark.createDataFrame([(n, rng.choice(["exact", "fuzzy"]), f"o{rng.randrange(30)}") for n in names for _ in range(12)] + [("p1", "miss", None)], "name string, match_type string, owner_name string")
+    plaintiffs, brands = ["", *[f"p{k}" for k in range(6)]], ["", *[f"b{k}" for k in range(6)]]
+    a, b = path(plaintiffs), path(brands)
+    rows = [(str(k), rng.choice(plaintiffs), rng.choice(brands), rng.random() < 0.2) for k in range(300)]
+    cases = spark.createDataFrame(rows, "case_number string, plaintiff_clean string, brand_clean string, brand_eq_plaintiff boolean")
+    held = lambda p: {(r.name, r.owner_name) for r in p.collect() if r.owner_name}
+    want_a = {(n, o) for n, p, _, _ in rows for x, o in held(a) if x == p != ""}
+    want_b = {(n, o) for n, _, q, same in rows for x, o in held(b) if x == q != "" and not same}
+    got_a, got_b = resolve.case_candidates(cases, a, b)
+    assert Counter(map(tuple, got_a.collect())) == Counter(want_a) and Counter(map(tuple, got_b.collect())) == Counter(want_b)
+    assert "Aggregate" not in got_b._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]  # rows of cases are not compared again
+    assert Counter(map(tuple, resolve.overlap(cases, a, b).collect())) == Counter(want_a & want_b)
