@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions.dates import parse_registry_date
 from ..sources.archives import tarred_records
 from .keys import first_by_key
-from .lineage import settled
+from .lineage import stored
 
 S = T.StringType()
 GRANT = "us-patent-grant"
@@ -63,8 +63,12 @@ def _number(c: Column) -> Column:
 
 
 def parse_patents(records: DataFrame) -> DataFrame:
-    """Adds ``g``, the parsed record, and ``patent_number``; a record that does not parse has none."""
-    parsed = records.withColumn("g", F.from_xml("record", SCHEMA))
+    """Adds ``g``, the parsed record, and ``patent_number``; a record that does not parse has none.
+
+    The parsed record is the one item of an exploded array: a filter on a plain column would be moved below it, and Spark
+    would parse each record for the filter and once more for its parts.
+    """
+    parsed = records.withColumn("g", F.explode(F.array(F.from_xml("record", SCHEMA))))
     return parsed.withColumn("patent_number", _text(F.col("g.us-bibliographic-data-grant.publication-reference.document-id.doc-number")))
 
 
@@ -75,10 +79,15 @@ def load_patents(records: DataFrame) -> dict[str, DataFrame]:
     are exploded; records without a number are left out (``load_errors`` counts them).  Only designs have images.
     """
     named = parse_patents(records).filter("patent_number IS NOT NULL").drop("record")
-    rows = settled(first_by_key(named, ["patent_number"], ["source_tar", "position"]))  # six tables read it
+    parsed = stored(named.withColumn("__id", F.monotonically_increasing_id()))  # six tables read parts of it
+    # records are chosen by their keys alone; each table moves its own parts of those that stay
+    first = stored(first_by_key(parsed.select("patent_number", "source_tar", "position", "__id"), ["patent_number"], ["source_tar", "position", "__id"]).select("__id"))
+    chosen = lambda some: some.join(first, "__id", "left_semi")
+    rows = chosen(parsed)
     b = lambda name: F.col(f"g.us-bibliographic-data-grant.{name}")
     kind = F.lower(_text(b("application-reference._appl-type")))
-    grants = rows.select(
+    grants = parsed.select(
+        "__id",
         "patent_number",
         _text(b("publication-reference.document-id.kind")).alias("kind"),
         _text(b("application-reference.document-id.doc-number")).alias("application_number"),
@@ -94,6 +103,7 @@ def load_patents(records: DataFrame) -> dict[str, DataFrame]:
         _number(b("us-term-of-grant.us-term-extension")).alias("term_extension_days"),
         "source_tar",
     )
+    grants = chosen(grants).drop("__id")
     child = lambda items: rows.select("patent_number", F.explode(items).alias("c"))
     of = lambda name, alias: _text(F.col(f"c.{name}")).alias(alias)
     place = [of(f"addressbook.address.{x}", x) for x in ("city", "state", "country")]

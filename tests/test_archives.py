@@ -146,6 +146,13 @@ def test_patents_of_a_small_archive(spark, tmp_path):
     assert tuple(patents.load_errors(records).first()) == ("I20240709.tar", 5, 3, 2)  # the broken record, and the broken member
 
 
+def test_records_are_parsed_once(spark):
+    records = spark.createDataFrame([("<us-patent-grant><us-bibliographic-data-grant><publication-reference><document-id><doc-number>D1</doc-number></document-id></publication-reference></us-bibliographic-data-grant></us-patent-grant>",), ("<broken",), (None,)], "record string")
+    named = patents.parse_patents(records).filter("patent_number IS NOT NULL")
+    assert [r.patent_number for r in named.collect()] == ["D1"] and patents.parse_patents(records).count() == 3
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
+
+
 def test_children_of_new_patents_replace_what_is_there(spark):
     old = spark.createDataFrame([("1", "a"), ("2", "b")], "patent_number string, orgname string")
     delta = spark.createDataFrame([("2", "c"), ("3", "d"), ("1", "e")], "patent_number string, orgname string")
