@@ -112,6 +112,24 @@ def test_search_reads_the_lists_of_its_grams(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+", plan) and re.search(r"PushedFilters: \[[^\]]*\bg\b", plan)
 
 
+def test_few_and_many_queries_find_the_same(spark, tmp_path, monkeypatch):
+    names = spark.range(400).selectExpr("concat('name ', id % 90, ' of ', hex(id * 7919)) AS name")
+    index = name_index.build_name_index(names, str(tmp_path / "index"), buckets=4)
+    queries = spark.range(30).selectExpr("concat('name ', id, ' of ', hex(id * 7919 + 16)) AS query")
+    few = {tuple(r) for r in name_index.search_names(index, queries, top=None).collect()}
+    monkeypatch.setattr(name_index, "FEW_ASKED", 0)
+    assert few == {tuple(r) for r in name_index.search_names(index, queries, top=None).collect()} and few
+
+
+def test_search_compares_stored_sets(spark, tmp_path):
+    names = spark.range(200).selectExpr("concat('name ', id, ' of ', hex(id * 7919)) AS name")
+    index = name_index.build_name_index(names, str(tmp_path / "index"), buckets=4)
+    found = name_index.search_names(index, spark.createDataFrame([("name 77 of",)], "query string"), top=None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "split(lower(name" not in plan  # candidates are hashed, and their texts not taken apart again
+    assert found.count() > 0
+
+
 def test_similar_images_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = [list(map(float, v)) for v in rng.normal(size=(300, 6)).astype(np.float32)]
