@@ -133,3 +133,22 @@ def test_repeats_of_a_host_decide_between_articles(spark):
         for k in range(6):
             assert he.page_blocks(rows[k][2])[0] != got[k].text  # markup alone would keep the cards
             assert got[k].n_repeated == len(told(cards[k % 3]).split()) + len(told(cards[(k + 1) % 3]).split())
+
+
+def test_teasers_of_only_articles_go(spark):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(n))
+    a, b, c, d = own(40), own(60), own(40), own(12)
+    teaser = lambda text: f"<div><article><p>{text}</p></article></div>"
+    start = " ".join(b.split()[:12])
+    pages = {
+        1: ("h", f"<article><p>{a}</p></article>{teaser(start)}"),  # the start of page 2, on this page alone
+        2: ("h", f"<article><p>{b}</p></article>"),
+        3: ("g", f"<article><p>{c}</p></article>{teaser(start)}"),  # another host: nothing is repeated
+        4: ("h", f"<article><p>{c}</p></article>{teaser(d)}{teaser(' '.join(c.split()[:12]))}"),  # of its own article, and of none
+        5: ("h", f"<p>{a}</p>"),  # markup is silent: a copy of an article stays
+    }
+    want = {1: a, 2: b, 3: f"{c} {start}", 4: f"{c} {d} {' '.join(c.split()[:12])}", 5: a}
+    df = spark.createDataFrame([(k, f"http://{host}.example/{k}", page(body)) for k, (host, body) in pages.items()], "page_id long, url string, html string")
+    for cell in (1 << 24, 700):  # hosts that share a cell, and one over several
+        assert {r.page_id: r.text for r in he.extract(df, cell).collect()} == want
